@@ -20,7 +20,7 @@ def count_by(
     df: DataFrame, *keys: str, drop_null_keys: bool = False, name: str = "count"
 ) -> DataFrame:
     if drop_null_keys:
-        df = df.na.drop(subset=list(keys))
+        df = df.filter(" and ".join(f"`{k}` is not null" for k in keys))
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 

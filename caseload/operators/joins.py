@@ -13,6 +13,8 @@ Three situations, three ways:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,15 +33,29 @@ def pick_key(left: DataFrame, right: DataFrame, candidates: Sequence[str]) -> st
     return next((c for c in candidates if c in left.columns and c in right.columns), None)
 
 
+def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame marked for broadcast if it has at most ``max_rows`` rows."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def lookup(
-    df: DataFrame, dim: DataFrame, key: str, columns: dict[str, str], dim_key: str | None = None
+    df: DataFrame,
+    dim: DataFrame,
+    key: str,
+    columns: dict[str, str],
+    dim_key: str | None = None,
+    counted: bool = False,
 ) -> DataFrame:
-    """Left join to a lookup table; ``columns`` maps its columns to new names."""
+    """Left join to a lookup table; ``columns`` maps its columns to new names.
+
+    Spark broadcasts the table if its estimated size is small. ``counted`` has
+    its rows counted instead, for tables whose estimate is likely too high.
+    """
     dim_key = dim_key or key
     side = dim.select(
         F.col(dim_key).alias(key), *[F.col(c).alias(name) for c, name in columns.items()]
     )
-    return df.join(side, key, "left")
+    return df.join(small(side) if counted else side, key, "left")
 
 
 def attach(
@@ -56,10 +72,7 @@ def attach(
     Above, both are shuffled; a hot key then sits on the large frame's side,
     which adaptive execution splits for inner and left joins.
     """
-    side = settle(side)
-    if side.limit(max_rows + 1).count() <= max_rows:
-        side = F.broadcast(side)
-    return df.join(side, list(on), how)
+    return df.join(small(settle(side), max_rows), list(on), how)
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float | None = None) -> list[int]:
@@ -71,7 +84,7 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float | None = None) -> li
     if share is None:
         share = 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(share, 0.001)
-    keys = df.select(*on).na.drop().select(F.xxhash64(*on).alias("h"))
+    keys = df.filter(_present(on)).select(F.xxhash64(*on).alias("h"))
     found = keys.agg(
         F.expr(f"approx_top_k(h, {int(1 / share) + 1}, 20000)").alias("top"),
         F.count(F.lit(1)).alias("n"),
@@ -86,60 +99,60 @@ def join_facts(
     share: float | None = None,
     max_rows: int = BROADCAST_ROWS,
     probe: tuple[DataFrame, Sequence[str]] | None = None,
+    sparse: bool = False,
 ) -> DataFrame:
     """Left join of two large frames that keeps hot keys out of single tasks.
 
-    * Left rows with a null key cannot match; they are spread over partitions.
     * Keys hot on the right are joined apart. Every left row with such a key
       has a match, so an inner join is enough, and the few left rows are
       broadcast to where the right rows lie (counted first; if they are many
       the inner join is shuffled, and adaptive execution splits either side).
     * Keys hot on the left only are split by adaptive execution.
+    * With ``sparse``, left rows with a null key, which cannot match, are spread
+      over the partitions instead of meeting in one.
 
     ``probe`` names a stored table and columns without whose hot values the
     right side cannot have a hot key. With it, derived sides are computed once
     into the shared folder, and only when the probe finds something.
     """
     on = list(on)
-    right = right.na.drop(subset=on)
+    right = right.filter(_present(on))
     if probe is not None:
         if not hot_keys(*probe, share):
-            return _left_join(left, right, on)
+            return _left_join(left, right, on, sparse)
         left, right = settle(left), settle(right)
     hot = hot_keys(right, on, share)
     if not hot:
-        return _left_join(left, right, on)
+        return _left_join(left, right, on, sparse)
     is_hot = _present(on) & F.xxhash64(*on).isin(*hot)
-    hot_left = left.filter(is_hot)
-    if hot_left.limit(max_rows + 1).count() <= max_rows:
-        hot_left = F.broadcast(hot_left)
-    matched = hot_left.join(right.filter(is_hot), on, "inner")
-    rest = _left_join(left.filter(~is_hot), right.filter(~is_hot), on)
+    matched = small(left.filter(is_hot), max_rows).join(right.filter(is_hot), on, "inner")
+    rest = _left_join(left.filter(~is_hot), right.filter(~is_hot), on, sparse)
     return union_states([rest, matched])
 
 
 def _present(on: Sequence[str]) -> Column:
-    out = F.lit(True)
-    for c in on:
-        out = out & F.col(c).isNotNull()
-    return out
+    return reduce(and_, [F.col(c).isNotNull() for c in on])
 
 
-def _left_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Left join whose null-key rows do not all meet in one partition."""
+def _left_join(left: DataFrame, right: DataFrame, on: list[str], sparse: bool) -> DataFrame:
+    if not sparse:
+        return left.join(right, on, "left")
+    # the right side's zero is written so that it stays a join key: a constant
+    # would be turned into a filter and the null keys would meet again
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
     spread = F.when(_present(on), F.lit(0)).otherwise(
         1 + F.pmod(F.xxhash64(*left.columns), F.lit(100_000))
     )
     return (
-        left.withColumn("_spread", spread.cast("int"))
-        .join(right.withColumn("_spread", F.lit(0)), [*on, "_spread"], "left")
+        left.withColumn("_spread", spread.cast("bigint"))
+        .join(right.withColumn("_spread", zero), [*on, "_spread"], "left")
         .drop("_spread")
     )
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join to a large frame with one row per key."""
-    return _left_join(left, right, [key])
+    return left.join(right, key, "left")
 
 
 def join_first(
@@ -150,7 +163,7 @@ def join_first(
     columns: Sequence[str],
 ) -> DataFrame:
     """Left join to the first right row per key, so left rows never multiply."""
-    first = first_per_key(right.na.drop(subset=[key]), [key], order_by)
+    first = first_per_key(right.filter(F.col(key).isNotNull()), [key], order_by)
     return join_unique(left, first.select(key, *columns), key)
 
 

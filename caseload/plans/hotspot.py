@@ -133,7 +133,7 @@ def max_bins(df: DataFrame, at_least: int = 32) -> int:
 
 def train_rf(train: DataFrame, bins: int = 32, params: Mapping[str, Any] = V.FOREST) -> Model:
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol=LABEL, maxBins=bins, cacheNodeIds=True,
+        featuresCol="features", labelCol=LABEL, maxBins=bins,
         checkpointInterval=10, **params,
     )
     return forest.fit(train)
@@ -152,7 +152,7 @@ def train_gbt(
     )
     boosted = GBTClassifier(
         featuresCol="features", labelCol=LABEL, validationIndicatorCol="_valid",
-        validationTol=tolerance, maxBins=bins, cacheNodeIds=True, checkpointInterval=10, **params,
+        validationTol=tolerance, maxBins=bins, checkpointInterval=10, **params,
     )
     return boosted.fit(marked)
 
