@@ -7,9 +7,27 @@ from pyspark.sql import Column, functions as F
 from ._cols import as_col
 
 ISO = "yyyy-MM-dd"
-SHORT = "d-MMM-yy"
-# Accepted formats, day first, in the order they are tried.
-ANY_FORMATS = (ISO, SHORT, "d-MMM-yyyy", "d/M/yyyy", "M/d/yyyy")
+# Accepted forms as (shape, format), None for Spark's own cast;
+# day first where both fit.
+_ISO_FORM = (r"^\d{4}-\d{1,2}-\d{1,2}$", None)
+_SHORT_FORM = (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy")
+_LONG_FORM = (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy")
+_MONTH_FIRST_FORM = (r"^\d{1,2}/(1[3-9]|[23]\d)/\d{4}$", "M/d/yyyy")
+_DAY_FIRST_FORM = (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy")
+_ALL_FORMS = (_ISO_FORM, _SHORT_FORM, _LONG_FORM, _MONTH_FIRST_FORM, _DAY_FIRST_FORM)
+
+
+def _parse(text: Column, *forms: tuple[str, str | None]) -> Column:
+    """Date of a text by its shape.
+
+    A failing parse costs an exception per row, so the shape picks the one
+    format that fits instead of trying them in turn.
+    """
+    out = F
+    for shape, form in forms:
+        date = text.try_cast("date") if form is None else F.try_to_date(text, form)
+        out = out.when(text.rlike(shape), date)
+    return out
 
 
 def parse_date(c: Column | str) -> Column:
@@ -18,12 +36,13 @@ def parse_date(c: Column | str) -> Column:
 
 
 def parse_date_lenient(c: Column | str) -> Column:
-    return F.try_to_date(as_col(c).cast("string"), ISO)
+    """ISO text or a date; anything else is null."""
+    return _parse(F.trim(as_col(c).cast("string")), _ISO_FORM)
 
 
 def parse_date_any(c: Column | str) -> Column:
-    text = F.trim(as_col(c))
-    return F.coalesce(*[F.try_to_date(text, f) for f in ANY_FORMATS])
+    """Any accepted form; text that is none of them is null."""
+    return _parse(F.trim(as_col(c)), *_ALL_FORMS)
 
 
 def fix_2020_date(c: Column | str, year: Column | str, short_year: int = 2020) -> Column:
@@ -32,7 +51,7 @@ def fix_2020_date(c: Column | str, year: Column | str, short_year: int = 2020) -
     Other years are only trimmed, and text that does not parse is kept.
     """
     text = F.trim(as_col(c))
-    iso = F.date_format(F.try_to_date(text, SHORT), ISO)
+    iso = F.date_format(_parse(text, _SHORT_FORM), ISO)
     return F.when(as_col(year) == short_year, F.coalesce(iso, text)).otherwise(text)
 
 

@@ -10,6 +10,7 @@ from operator import add
 from pyspark.sql import Column, functions as F
 
 from ._cols import as_col
+from .text import as_number
 
 
 def rate(a: Column | str, b: Column | str, per: float) -> Column:
@@ -45,7 +46,7 @@ def absolute(c: Column | str) -> Column:
 
 def to_int(c: Column | str) -> Column:
     """Text such as '30' or '30.0' to int, other text to null."""
-    return as_col(c).cast("string").try_cast("double").try_cast("int")
+    return as_number(c).try_cast("int")
 
 
 def season_sin(month: Column | str) -> Column:

@@ -10,6 +10,10 @@ from ..vocabulary import STATE_CODES, STATE_NAMES
 from ._cols import as_col
 
 
+# casts that fail cost an exception per row, so texts are looked at first
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+
+
 def lower(c: Column | str) -> Column:
     return F.lower(as_col(c))
 
@@ -37,12 +41,14 @@ def as_text(c: Column | str) -> Column:
 
 def as_number(c: Column | str, dtype: str = "double") -> Column:
     """Text to number; text that is not a number becomes null."""
-    return F.trim(as_col(c)).try_cast(dtype)
+    text = F.trim(as_col(c).cast("string"))
+    return F.when(text.rlike(_NUMBER), text.try_cast(dtype))
 
 
 def coerce_key(c: Column | str) -> Column:
     """Key text ('12', '12.0') to bigint. Only a trailing '.0' is removed."""
-    return F.regexp_replace(F.trim(as_col(c).cast("string")), r"\.0$", "").try_cast("bigint")
+    text = F.regexp_replace(F.trim(as_col(c).cast("string")), r"\.0$", "")
+    return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
 
 
 def strip_suffix(c: Column | str, words: Sequence[str] = ("county", "parish")) -> Column:

@@ -162,8 +162,9 @@ def standardise(
     """
     aged = df.withColumns({c: parse_age(c) for c in ages if c in df.columns})
     if date in df.columns:
-        text = fix_2020_date(date, "year", short_year)
-        aged = aged.withColumns({f"{date}_text": text, date: parse_date_lenient(text)})
+        fixed = fix_2020_date(date, "year", short_year)
+        aged = aged.withColumn(f"{date}_text", fixed)
+        aged = aged.withColumn(date, parse_date_lenient(f"{date}_text"))
     out = drop_invalid_age(aged, invalid_age, ages[0]) if ages[0] in df.columns else aged
     counters = {"rows_in": F.count(F.lit(1))}
     for c in ages:

@@ -16,6 +16,8 @@ def local_session(cores: str = "8", app: str = "caseload") -> SparkSession:
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # methods above this size are not compiled by the JVM; Spark then splits them
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
