@@ -278,7 +278,11 @@ def hotspot_global(spark, sf):
     return hotspot.hotspot_label(_monthly(spark, sf))
 
 
-@query("hotspot_global_approx")
+@query(
+    "hotspot_global_approx",
+    "select *, case when crime_count >= (select quantile_disc(crime_count, 0.9) "
+    f"from ({_MONTHLY})) then 1 else 0 end as is_hotspot from ({_MONTHLY})",
+)
 def hotspot_global_approx(spark, sf):
     return hotspot.hotspot_label(_monthly(spark, sf), exact=False)
 
@@ -293,7 +297,12 @@ def hotspot_county(spark, sf):
     return hotspot.hotspot_by_county(_monthly(spark, sf), exact=True)
 
 
-@query("hotspot_county_approx")
+@query(
+    "hotspot_county_approx",
+    "select *, case when crime_count > threshold then 1 else 0 end as is_hotspot from ("
+    "select *, quantile_disc(crime_count, 0.75) over (partition by state, county) as threshold "
+    f"from ({_MONTHLY}))",
+)
 def hotspot_county_approx(spark, sf):
     return hotspot.hotspot_by_county(_monthly(spark, sf))
 

@@ -319,9 +319,9 @@ def label_codes_many(spark, sf):
     return op.label_code(rows, "label", "code")
 
 
-@query("state_code_filter", "select offense_id, year, offense_category from inc "
+@query("year_and_category_filter", "select offense_id, year, offense_category from inc "
        "where year = 1998 and offense_category = 'Robbery'")
-def state_code_filter(spark, sf):
+def year_and_category_filter(spark, sf):
     rows = incidents(spark, sf, "offense_id", "year", "offense_category")
     return op.select_category(op.select_year(rows, 1998), "Robbery")
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from .. import vocabulary as V
 from ..functions.ages import parse_age
@@ -160,7 +161,7 @@ def standardise(
     Returns the frame and a one-row frame of counters. Narrow operations only:
     no shuffle. A date text that does not parse is kept in ``<date>_text``.
     """
-    aged = df.withColumns({c: parse_age(c) for c in ages if c in df.columns})
+    aged = df.withColumns({c: _age(df, c) for c in ages if c in df.columns})
     if date in df.columns:
         fixed = fix_2020_date(date, "year", short_year)
         aged = aged.withColumn(f"{date}_text", fixed)
@@ -171,9 +172,16 @@ def standardise(
         if c in df.columns:
             counters[f"{c}_converted"] = F.count(c)
     if ages[0] in df.columns:
-        bad = parse_age(ages[0]) == invalid_age
+        bad = _age(df, ages[0]) == invalid_age
         counters["rows_dropped"] = F.count(F.when(bad, 1))
     if date in df.columns:
         counters["dates_fixed"] = F.count(F.when(F.col("year") == short_year, 1))
     metrics = df.agg(*[c.alias(n) for n, c in counters.items()])
     return out, metrics
+
+
+def _age(df: DataFrame, column: str) -> Column:
+    """An age column that is a number already only has its gaps filled."""
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return F.coalesce(F.col(column), F.lit(V.UNKNOWN_AGE)).cast("int")
+    return parse_age(column)
