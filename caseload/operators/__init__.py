@@ -19,6 +19,7 @@ from .grouping import (
     mean_by,
     mode_of,
     pivot_share,
+    rate_of_units,
     rate_per_100k,
     row_of_max,
     share_of_group,
@@ -68,7 +69,7 @@ __all__ = [
     "explode_counties", "filter_not_in", "firearm_only", "first_per_key", "group_median",
     "hot_keys", "join_facts", "join_first", "join_unique", "keep_top_groups", "label_code", "lag_month",
     "long_rows", "lookup", "max_nulls", "mean_by", "mode_of", "night_only", "null_count",
-    "pick_key", "pivot_share", "predictions_by_fips", "project_ordered", "rate_per_100k",
+    "pick_key", "pivot_share", "predictions_by_fips", "project_ordered", "rate_of_units", "rate_per_100k",
     "rename_map", "row_of_max", "sanitize_columns", "sanitize_name", "select_category",
     "select_year", "share_of_group", "share_of_total", "sort_by_metric", "sort_weekday",
     "subset_rate", "sum_by", "top_n", "top_per_group", "total_change", "union_states",

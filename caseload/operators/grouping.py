@@ -113,21 +113,32 @@ def unknown_rate(
     )
 
 
-def rate_per_100k(df: DataFrame, by: str = "state", unit: str = "county") -> DataFrame:
+def rate_per_100k(
+    df: DataFrame, by: str = "state", unit: str = "county", null_unit: bool = True
+) -> DataFrame:
     """Incidents per 100,000 people; people = sum over units of the largest
     population reported. Two small aggregates, the second on the first.
 
+    Rows without a unit always count as incidents; ``null_unit`` says whether
+    their population counts as that of one more unit.
+
     Without a population or unit column the count stands in for the rate.
     """
     if unit not in df.columns or "population" not in df.columns:
         counts = count_by(df, by, name="incidents")
         return counts.withColumn("rate", F.col("incidents").cast("double"))
     units = df.groupBy(by, unit).agg(
-        F.max("population").alias("people"), F.count(F.lit(1)).alias("n")
+        F.max("population").alias("people"), F.count(F.lit(1)).alias("count")
     )
+    return rate_of_units(units, by, unit, null_unit)
+
+
+def rate_of_units(units: DataFrame, by: str, unit: str, null_unit: bool = True) -> DataFrame:
+    """Rates from counted units, each with its count and people."""
+    people = F.col("people") if null_unit else F.when(F.col(unit).isNotNull(), F.col("people"))
     return (
         units.groupBy(by)
-        .agg(F.sum("n").alias("incidents"), F.sum("people").alias("population"))
+        .agg(F.sum("count").alias("incidents"), F.sum(people).alias("population"))
         .withColumn("rate", rate("incidents", "population", 100_000))
     )
 

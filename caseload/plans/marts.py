@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import day_name, month_abbr
 from ..functions.numbers import log_count, pct
 from ..operators.filters import select_category, select_year
-from ..operators.grouping import rate_per_100k, row_of_max, sum_by
+from ..operators.grouping import rate_of_units, rate_per_100k, row_of_max, sum_by
 from ..operators.joins import attach_fips, keep_top_groups, predictions_by_fips
 from ..operators.ranking import sort_by_metric, sort_weekday, top_n
 from ..operators.shape import rename_map
@@ -41,26 +41,34 @@ def with_calendar(df: DataFrame, date: str = "incident_date") -> DataFrame:
     )
 
 
-def count_sets(df: DataFrame, sets: Mapping[str, Sequence[str]]) -> dict[str, DataFrame]:
+def count_sets(
+    df: DataFrame,
+    sets: Mapping[str, Sequence[str]],
+    keep_nulls: Sequence[str] = (),
+    **extra: Column,
+) -> dict[str, DataFrame]:
     """Counts for several groupings from one scan and one shuffle.
 
     Grouping sets are summed map-side, so the shuffle carries counts only. The
     counted rows, all groupings together, are kept in the shared folder; each
-    result is a filter on them. Rows with a null key are left out of a result.
+    result is a filter on them. Rows with a null key are left out of a result
+    unless it is named in ``keep_nulls``.
+    ``extra`` adds further aggregates beside the count.
     """
     columns = list(dict.fromkeys(c for keys in sets.values() for c in keys))
     counted = settle(
         df.groupingSets([list(keys) for keys in sets.values()], *columns).agg(
-            F.count(F.lit(1)).alias("count"), F.grouping_id().alias("_set")
+            F.count(F.lit(1)).alias("count"),
+            *[c.alias(n) for n, c in extra.items()],
+            F.grouping_id().alias("_set"),
         )
     )
     out = {}
     for name, keys in sets.items():
         # the grouping id has one bit per column, set where it is summed away
         bits = int("".join("0" if c in keys else "1" for c in columns), 2)
-        out[name] = (
-            counted.filter(F.col("_set") == bits).select(*keys, "count").na.drop(subset=list(keys))
-        )
+        found = counted.filter(F.col("_set") == bits).select(*keys, "count", *extra)
+        out[name] = found if name in keep_nulls else found.na.drop(subset=list(keys))
     return out
 
 
@@ -108,7 +116,11 @@ def sex_crosstab(sex_by_offense: DataFrame, sexes: Sequence[str] | None = None)
 
 
 def state_rate_mart(df: DataFrame) -> DataFrame:
-    rates = rate_per_100k(df.filter(F.col("state").isNotNull()), "state", "agency_name")
+    named = df.filter(F.col("state").isNotNull())
+    return _rates(rate_per_100k(named, "state", "agency_name", null_unit=False))
+
+
+def _rates(rates: DataFrame) -> DataFrame:
     return rename_map(
         rates,
         {"state": "State", "incidents": "count", "population": "Population",
@@ -128,19 +140,39 @@ def _coded(counts: DataFrame, fips: DataFrame | None) -> DataFrame:
 def build_marts(
     df: DataFrame, fips: DataFrame | None = None, sexes: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    """All marts. Everything but the rates comes from one pass over ``df``."""
+    """All marts from one pass over ``df``.
+
+    The rates need the largest population of each agency, which is taken along
+    in the same pass.
+    """
     wanted = {n: list(k) for n, k in COUNT_MARTS.items() if all(c in df.columns for c in k)}
-    counted = count_sets(df, {**wanted, "county_heatmap": HEATMAP_KEYS})
-    marts = {n: rename_map(counted[n], COUNT_MARTS[n]) for n in wanted}
+    rated = "population" in df.columns and "agency_name" in df.columns
+    counted = count_sets(
+        df,
+        {
+            **wanted,
+            "county_heatmap": HEATMAP_KEYS,
+            **({"agencies": ("state", "agency_name")} if rated else {}),
+        },
+        keep_nulls=["agencies"],
+        **({"people": F.max("population")} if rated else {}),
+    )
+    marts = {n: rename_map(counted[n].drop("people"), COUNT_MARTS[n]) for n in wanted}
     if "day_of_week_patterns" in marts:
         marts["day_of_week_patterns"] = sort_weekday(marts["day_of_week_patterns"])
     if "victim_sex_by_offense" in marts:
         marts["victim_sex_by_offense_crosstab"] = sex_crosstab(
             marts["victim_sex_by_offense"], sexes
         )
-    marts["state_crime_rates"] = state_rate_mart(df)
+    if rated:
+        agencies = counted["agencies"].filter(F.col("state").isNotNull())
+        marts["state_crime_rates"] = _rates(
+            rate_of_units(agencies, "state", "agency_name", null_unit=False)
+        )
+    else:
+        marts["state_crime_rates"] = state_rate_mart(df)
     marts["county_heatmap"] = rename_map(
-        _coded(counted["county_heatmap"], fips),
+        _coded(counted["county_heatmap"].drop("people"), fips),
         {"state": "State", "county": "County", "offense_category": "Offense Category"},
     )
     return marts

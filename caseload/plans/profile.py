@@ -1,12 +1,15 @@
 """Profiling and rule checks.
 
-Statistics of all columns come from one aggregate over one scan. The outlier
-count needs the mean first, so it is a second scan; value counts are a third.
+A section is a set of aggregates and the layout of its rows. Alone, a section
+is one aggregate over one scan; the full profile computes all of them together
+and needs three scans: aggregates, outliers (which need the mean first) and
+value counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,6 +21,21 @@ from ..functions.numbers import pct
 from ..operators.grouping import count_by
 from ..operators.ranking import top_n, top_per_group
 from ..operators.shape import long_rows
+from ..session import settle
+
+
+@dataclass(frozen=True)
+class Section:
+    """Aggregates by unique name, and one entry per output row over them."""
+
+    aggregates: Mapping[str, Column]
+    rows: Sequence[Mapping[str, Column]]
+
+    def columns(self) -> list[Column]:
+        return [c.alias(name) for name, c in self.aggregates.items()]
+
+    def over(self, df: DataFrame) -> DataFrame:
+        return long_rows(df.agg(*self.columns()), self.rows)
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -28,71 +46,98 @@ def categorical_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if not isinstance(f.dataType, T.NumericType)]
 
 
+def _rows() -> Column:
+    return F.count(F.lit(1))
+
+
+def _overview(df: DataFrame) -> Section:
+    return Section(
+        {"rows": _rows()}, [{"rows": F.col("rows"), "columns": F.lit(len(df.columns))}]
+    )
+
+
 def overview(df: DataFrame) -> DataFrame:
     """Row count and number of columns."""
-    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
+    return _overview(df).over(df)
 
 
-def missing_report(df: DataFrame, blank: bool = True) -> DataFrame:
-    """(column, missing, percent): null, blank or NaN values of every column."""
-    counts = [
-        F.count(F.when(is_missing(f.name, f.dataType, blank), 1)).alias(f"m{i}")
+def _missing(df: DataFrame, blank: bool) -> Section:
+    counts = {
+        f"missing{i}": F.count(F.when(is_missing(f.name, f.dataType, blank), 1))
         for i, f in enumerate(df.schema)
-    ]
-    row = df.agg(F.count(F.lit(1)).alias("rows"), *counts)
-    return long_rows(
-        row,
+    }
+    return Section(
+        {"rows": _rows(), **counts},
         [
-            {"column": F.lit(c), "missing": F.col(f"m{i}"), "percent": pct(f"m{i}", "rows")}
-            for i, c in enumerate(df.columns)
+            {"column": F.lit(c), "missing": F.col(n), "percent": pct(n, "rows")}
+            for c, n in zip(df.columns, counts)
         ],
     )
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(column, count, mean, stddev, min, max)."""
-    columns = list(columns or numeric_columns(df))
-    makers = {
-        "count": F.count,
-        "mean": F.avg,
-        "stddev": F.stddev,
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    }
-    row = df.agg(
-        *[make(F.col(c)).alias(f"{n}{i}") for i, c in enumerate(columns) for n, make in makers.items()]
-    )
-    return long_rows(
-        row,
+def missing_report(df: DataFrame, blank: bool = True) -> DataFrame:
+    """(column, missing, percent): null, blank or NaN values of every column."""
+    return _missing(df, blank).over(df)
+
+
+_STATISTICS = {
+    "count": F.count,
+    "mean": F.avg,
+    "stddev": F.stddev,
+    "min": lambda c: F.min(c).cast("double"),
+    "max": lambda c: F.max(c).cast("double"),
+}
+
+
+def _describe(columns: Sequence[str]) -> Section:
+    return Section(
+        {f"{n}{i}": make(c) for i, c in enumerate(columns) for n, make in _STATISTICS.items()},
         [
-            {"column": F.lit(c), **{n: F.col(f"{n}{i}") for n in makers}}
+            {"column": F.lit(c), **{n: F.col(f"{n}{i}") for n in _STATISTICS}}
             for i, c in enumerate(columns)
         ],
     )
 
 
-def zscore_outliers(df: DataFrame, columns: Sequence[str] | None = None, k: float = 3.0) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column, count, mean, stddev, min, max)."""
+    return _describe(columns or numeric_columns(df)).over(df)
+
+
+def zscore_outliers(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    k: float = 3.0,
+    statistics: DataFrame | None = None,
+) -> DataFrame:
     """(column, outliers): values more than k standard deviations off the mean.
 
-    A column without spread has no outliers. The statistics are one scalar
-    subquery used by the counting pass.
+    A column without spread has no outliers. The statistics, one row of
+    ``mean<i>`` and ``stddev<i>``, enter the counting pass as a scalar subquery.
     """
     columns = list(columns or numeric_columns(df))
-    stats = df.agg(
-        F.struct(
-            *[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
-            *[F.stddev(c).alias(f"s{i}") for i, c in enumerate(columns)],
-        ).alias("stats")
-    ).scalar()
-    judged = df.select(*columns).withColumn("_z", stats)
+    if statistics is None:
+        statistics = df.agg(*_describe(columns).columns())
+    wanted = [f"{n}{i}" for i in range(len(columns)) for n in ("mean", "stddev")]
+    judged = df.select(*columns).withColumn("_z", statistics.select(F.struct(*wanted)).scalar())
 
     def far(i: int, c: str) -> Column:
-        distance = F.try_divide(F.col(c) - F.col(f"_z.m{i}"), F.col(f"_z.s{i}"))
+        distance = F.try_divide(F.col(c) - F.col(f"_z.mean{i}"), F.col(f"_z.stddev{i}"))
         return F.abs(distance) > k
 
-    row = judged.agg(*[F.count(F.when(far(i, c), 1)).alias(f"o{i}") for i, c in enumerate(columns)])
-    return long_rows(
-        row, [{"column": F.lit(c), "outliers": F.col(f"o{i}")} for i, c in enumerate(columns)]
+    counted = {f"outliers{i}": F.count(F.when(far(i, c), 1)) for i, c in enumerate(columns)}
+    rows = [{"column": F.lit(c), "outliers": F.col(n)} for c, n in zip(columns, counted)]
+    return Section(counted, rows).over(judged)
+
+
+def _cardinality(columns: Sequence[str]) -> Section:
+    sketches = {f"distinct{i}": F.approx_count_distinct(c) for i, c in enumerate(columns)}
+    return Section(
+        {"rows": _rows(), **sketches},
+        [
+            {"column": F.lit(c), "distinct": F.col(n), "ratio": F.try_divide(F.col(n), F.col("rows"))}
+            for c, n in zip(columns, sketches)
+        ],
     )
 
 
@@ -105,26 +150,12 @@ def cardinality_report(
     distinct (column, value) pairs, which spreads every column over all tasks.
     """
     columns = list(columns or categorical_columns(df))
-    if exact:
-        rows = df.agg(F.count(F.lit(1)).alias("rows")).scalar()
-        pairs = value_counts(df, columns).filter(F.col("value").isNotNull())
-        found = pairs.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
-        return found.withColumn("ratio", F.try_divide("distinct", rows))
-    row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(columns)],
-    )
-    return long_rows(
-        row,
-        [
-            {
-                "column": F.lit(c),
-                "distinct": F.col(f"d{i}"),
-                "ratio": F.try_divide(F.col(f"d{i}"), F.col("rows")),
-            }
-            for i, c in enumerate(columns)
-        ],
+    if not exact:
+        return _cardinality(columns).over(df)
+    found = value_counts(df, columns).groupBy("column").agg(
+        F.count("value").alias("distinct"), F.sum("count").alias("_rows")
     )
+    return found.select("column", "distinct", F.try_divide("distinct", "_rows").alias("ratio"))
 
 
 def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -138,43 +169,63 @@ def value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def top_values(df: DataFrame, columns: Sequence[str] | None = None, n: int = 10) -> DataFrame:
     """The n most frequent values of each column with their rank."""
-    return top_per_group(value_counts(df, columns), ["column"], "count", n, ties=["value"])
+    return _top_values(value_counts(df, columns), n)
+
+
+def _top_values(counts: DataFrame, n: int) -> DataFrame:
+    return top_per_group(counts, ["column"], "count", n, ties=["value"])
+
+
+def _dates(date: str) -> Section:
+    found = {"earliest": F.min(date), "latest": F.max(date)}
+    return Section(found, [{n: F.col(n) for n in found}])
 
 
 def date_coverage(df: DataFrame, date: str = "incident_date") -> DataFrame:
     """First and last date, of parsed dates rather than of their text."""
-    return df.agg(F.min(date).alias("earliest"), F.max(date).alias("latest"))
+    return _dates(date).over(df)
 
 
-def sanity_checks(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
-    """(check, rows): how many rows contradict themselves."""
-    rules = rules or {
+def _rules(rules: Mapping[str, Column], name: str, count: str) -> Section:
+    counted = {f"{name}{i}": F.count(F.when(c, 1)) for i, c in enumerate(rules.values())}
+    return Section(
+        counted, [{name: F.lit(r), count: F.col(n)} for r, n in zip(rules, counted)]
+    )
+
+
+def default_checks() -> dict[str, Column]:
+    return {
         "individual_without_age": (F.col("victim_type") == "Individual")
         & F.col("victim_age_group").isNull(),
         "homicide_without_weapon": (F.col("offense_category") == "Homicide Offenses")
         & F.col("weapon_name").isNull(),
     }
-    return rule_report(df, rules).withColumnsRenamed({"rule": "check", "n": "rows"})
 
 
-def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """(a, b, correlation) of every pair of numeric columns, in one aggregate."""
-    pairs = list(combinations(columns or numeric_columns(df), 2))
-    row = df.agg(
-        *[
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}")
+def sanity_checks(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
+    """(check, rows): how many rows contradict themselves."""
+    return _rules(rules or default_checks(), "check", "rows").over(df)
+
+
+def _correlations(columns: Sequence[str]) -> Section:
+    pairs = list(combinations(columns, 2))
+    return Section(
+        {
+            f"corr{i}": F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
             for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return long_rows(
-        row,
+        },
         [
-            {"a": F.lit(a), "b": F.lit(b), "correlation": F.col(f"r{i}")}
+            {"a": F.lit(a), "b": F.lit(b), "correlation": F.col(f"corr{i}")}
             for i, (a, b) in enumerate(pairs)
         ],
     )
 
 
+def correlations(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(a, b, correlation) of every pair of numeric columns, in one aggregate."""
+    return _correlations(columns or numeric_columns(df)).over(df)
+
+
 def age_rules(column: str) -> dict[str, Column]:
     """Checks of an age column; a valid age is neither missing nor -1."""
     age = F.col(column)
@@ -210,10 +261,7 @@ def default_rules(
 
 def rule_report(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """(rule, n): rows meeting each rule, one aggregate for all of them."""
-    row = df.agg(*[F.count(F.when(c, 1)).alias(f"r{i}") for i, c in enumerate(rules.values())])
-    return long_rows(
-        row, [{"rule": F.lit(name), "n": F.col(f"r{i}")} for i, name in enumerate(rules)]
-    )
+    return _rules(rules, "rule", "n").over(df)
 
 
 def offending_values(df: DataFrame, limits: Mapping[str, tuple[int, int]]) -> DataFrame:
@@ -232,25 +280,57 @@ def offending_values(df: DataFrame, limits: Mapping[str, tuple[int, int]]) -> Da
 
 
 def profile(df: DataFrame, date: str = "incident_date") -> dict[str, DataFrame]:
-    """The whole report, one frame per section."""
-    return {
-        "overview": overview(df),
-        "missing": missing_report(df),
-        "statistics": describe_numeric(df),
-        "outliers": zscore_outliers(df),
-        "cardinality": cardinality_report(df),
-        "top_values": top_values(df),
-        "dates": date_coverage(df, date),
-        "years": count_by(df, "year").orderBy("year"),
-        "sanity": sanity_checks(df),
-        "counties": top_n(count_by(df, "county"), "count", 10, ["county"]),
-        "categories": top_n(count_by(df, "offense_category"), "count", 10, ["offense_category"]),
-        "weapons": top_n(count_by(df, "weapon_name"), "count", 10, ["weapon_name"]),
-        "demographics": top_n(
-            count_by(df, "victim_sex", "victim_race"), "count", 10, ["victim_sex", "victim_race"]
-        ),
-        "year_by_category": count_by(df, "year", "offense_category")
-        .orderBy("year", F.desc("count"), "offense_category")
-        .limit(20),
-        "correlations": correlations(df),
+    """The whole report, one frame per section, from three scans."""
+    numbers, texts = numeric_columns(df), categorical_columns(df)
+    sections = {
+        "overview": _overview(df),
+        "missing": _missing(df, blank=True),
+        "statistics": _describe(numbers),
+        "cardinality": _cardinality(texts),
+        "dates": _dates(date),
+        "sanity": _rules(default_checks(), "check", "rows"),
+        "correlations": _correlations(numbers),
+    }
+    aggregates = {n: c for s in sections.values() for n, c in s.aggregates.items()}
+    row = settle(df.agg(*[c.alias(n) for n, c in aggregates.items()]))
+    report = {name: long_rows(row, s.rows) for name, s in sections.items() if s.rows}
+    report["outliers"] = zscore_outliers(df, numbers, statistics=row)
+
+    # values of single columns and of pairs, counted together
+    def entry(name: str, first: str, second: str | None = None) -> dict[str, Column]:
+        other = F.lit(None) if second is None else F.col(second)
+        return {
+            "column": F.lit(name),
+            "value": F.col(first).cast("string"),
+            "other": other.cast("string"),
+        }
+
+    pairs = {
+        "years": ("year", None),
+        "demographics": ("victim_sex", "victim_race"),
+        "year_by_category": ("year", "offense_category"),
     }
+    entries = [entry(c, c) for c in texts] + [entry(f"_{n}", *cs) for n, cs in pairs.items()]
+    counts = settle(count_by(long_rows(df, entries), "column", "value", "other"))
+
+    def counted(name: str, *columns: str) -> DataFrame:
+        found = counts.filter(F.col("column") == name)
+        values = [F.col(v).alias(c) for v, c in zip(("value", "other"), columns)]
+        return found.select(*values, "count")
+
+    singles = counts.filter(F.col("column").isin(*texts)).drop("other")
+    report["top_values"] = _top_values(singles, 10)
+    for name, column in (
+        ("counties", "county"), ("categories", "offense_category"), ("weapons", "weapon_name")
+    ):
+        report[name] = top_n(counted(column, column), "count", 10, [column])
+    report["years"] = counted("_years", "year").orderBy("year")
+    report["demographics"] = top_n(
+        counted("_demographics", *pairs["demographics"]), "count", 10, pairs["demographics"]
+    )
+    report["year_by_category"] = (
+        counted("_year_by_category", *pairs["year_by_category"])
+        .orderBy("year", F.desc("count"), "offense_category")
+        .limit(20)
+    )
+    return report

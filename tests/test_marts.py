@@ -82,3 +82,12 @@ def test_map_tables(spark, incidents, rows):
     tables = marts.map_tables(heat, predictions)
     assert {r["fips"] for r in tables["counts"].collect()} == {"48001", "36003"}
     assert rows(tables["probability"]) == [("TX", "A", 0.75, "48001")]
+
+
+def test_rates_with_unnamed_agencies(spark, rows):
+    values = [("TX", "p", 100), ("TX", None, 900), ("TX", "q", 200), (None, "p", 5)]
+    df = spark.createDataFrame(values, "state string, agency_name string, population long")
+    df = df.selectExpr("*", "'c' as county", "'x' as offense_category", "date'2020-01-01' as incident_date")
+    want = [("TX", 3, 300, 1000.0)]
+    assert rows(marts.state_rate_mart(df)) == want
+    assert rows(marts.build_marts(marts.with_calendar(df))["state_crime_rates"]) == want
