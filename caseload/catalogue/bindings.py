@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..sources.readers import read_table
 
@@ -180,8 +181,15 @@ FIPS = (
 )
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    """A test table; its schema is read from the file once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    frame = read_table(spark, path, _SCHEMAS.get(path))
+    _SCHEMAS.setdefault(path, frame.schema)
+    return frame
 
 
 def _tables_for(columns: Sequence[str]) -> list[str]:
@@ -215,10 +223,6 @@ def events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return frame.select(*[F.expr(EV[c]).alias(c) for c in columns])
 
 
-def _views(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: table(spark, sf_dir, n) for n in names}
-
-
 def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """A binding written as SQL, over the tables it names."""
     names = [t for t in ("lineitem", *_ON) if f" {t}" in text]
@@ -226,7 +230,7 @@ def from_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     for n in names:
         for word in ("from", "join"):
             marked = marked.replace(f"{word} {n}", f"{word} {{{n}}}")
-    return spark.sql(marked, **_views(spark, sf_dir, *names))
+    return spark.sql(marked, **{n: table(spark, sf_dir, n) for n in names})
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from .. import vocabulary as V
 from ..plans import cleaning, profile
-from .bindings import INC, incidents
+from .bindings import INC, incidents, table
 from .registry import query
 
 _TEXT = (
@@ -282,7 +282,7 @@ def oversample_exact(spark, sf):
     rows = incidents(spark, sf, "offense_id", "line_no", "victim_race").filter(
         "victim_race is not null"
     )
-    target = rows.sparkSession.read.parquet(f"{sf}/lineitem.parquet").count() // 4
+    target = table(spark, sf, "lineitem").count() // 4
     return op.count_by(cleaning.oversample_to(rows, target, "victim_race"), "victim_race")
 
 
