@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..plans import hotspot, marts
-from .bindings import EV, events, fips, incidents
+from .bindings import events, fips, incidents
 from .registry import query
 
 _MART_COLUMNS = (
@@ -17,7 +17,7 @@ _MART_COLUMNS = (
 
 
 def _mart_rows(spark, sf, *columns):
-    return marts.with_calendar(incidents(spark, sf, "incident_date", *columns))
+    return incidents(spark, sf, "incident_date", *columns)
 
 
 def _count_sql(columns: dict[str, str], view: str = "inc") -> str:
@@ -28,10 +28,9 @@ def _count_sql(columns: dict[str, str], view: str = "inc") -> str:
 
 
 def _mart(name: str):
-    columns = [c for c in marts.COUNT_MARTS[name] if c not in ("year", "month", "weekday")]
-
     def run(spark, sf):
-        return marts.count_marts(_mart_rows(spark, sf, *columns), [name])[name]
+        rows = incidents(spark, sf, *marts.mart_keys(name))
+        return marts.count_marts(rows, [name])[name]
 
     return run
 
@@ -60,8 +59,8 @@ for _name, _columns in {
     "where incident_hour is not null group by 1",
 )
 def mart_hourly_events(spark, sf):
-    rows = events(spark, sf, *[c for c in EV if c not in ("state", "county")])
-    return marts.trend_marts(marts.with_calendar(rows))["hourly_distribution"]
+    rows = events(spark, sf, "incident_date", "incident_hour")
+    return marts.trend_marts(rows)["hourly_distribution"]
 
 
 @query(

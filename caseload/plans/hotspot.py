@@ -58,7 +58,12 @@ def county_month(
 def hotspot_label(
     monthly: DataFrame, p: float = V.HOTSPOT_QUANTILE, exact: bool = True
 ) -> DataFrame:
-    """1 where the count reaches the quantile over all county-months."""
+    """1 where the count reaches the quantile over all county-months.
+
+    The county-months are kept in the shared folder: the quantile and the label
+    both need them, and the incidents should be read once.
+    """
+    monthly = settle(monthly)
     make = exact_quantile if exact else approx_quantile
     threshold = make(monthly, "crime_count", p).scalar()
     return monthly.withColumn(LABEL, F.when(F.col("crime_count") >= threshold, 1).otherwise(0))
@@ -94,10 +99,10 @@ def features(monthly: DataFrame, gaps: str = "observed", encoding: str = "text")
     ``encoding='text'`` numbers labels in text order and leaves them plain
     numbers; ``'frequency'`` indexes them by frequency as categories.
     """
-    out = lag_month(season_and_rate(monthly), COUNTY, "crime_count", gaps)
+    out = settle(lag_month(season_and_rate(monthly), COUNTY, "crime_count", gaps))
     if encoding == "text":
         for column in COUNTY:
-            out = attach(out, label_code(monthly, column), [column])
+            out = attach(out, label_code(out, column), [column])
         return out
     if encoding != "frequency":
         raise ValueError(f"unknown encoding: {encoding}")
@@ -219,10 +224,9 @@ def run_hotspot(
 ) -> HotspotRun:
     """Incidents to scored test year: series, labels, features, fit, score.
 
-    The incidents are read once: the county-months, far fewer, are kept in the
-    shared folder and everything after starts from them.
+    The incidents are read once; everything after starts from county-months.
     """
-    monthly = hotspot_label(settle(county_month(df)), exact=exact)
+    monthly = hotspot_label(county_month(df), exact=exact)
     data = assemble(features(monthly, encoding=encoding))
     bins = max_bins(data)
     train, test = (part.persist(StorageLevel.MEMORY_AND_DISK) for part in time_split(data))

@@ -6,39 +6,43 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.dates import day_name, month_abbr
+from ..functions.dates import month_abbr
 from ..functions.numbers import log_count, pct
 from ..operators.filters import select_category, select_year
 from ..operators.grouping import rate_of_units, rate_per_100k, row_of_max, sum_by
 from ..operators.joins import attach_fips, keep_top_groups, predictions_by_fips
 from ..operators.ranking import sort_by_metric, sort_weekday, top_n
 from ..operators.shape import rename_map
+from ..schemas import DISPLAY_NAMES
 from ..session import settle
 
-# mart -> grouping columns (internal name -> name in the mart)
-COUNT_MARTS: dict[str, dict[str, str]] = {
-    "yearly_trends": {"year": "Year"},
-    "monthly_trends": {"year": "Year", "month": "Month"},
-    "hourly_distribution": {"incident_hour": "Incident Hour"},
-    "offense_categories": {"offense_category": "Offense Category"},
-    "top_offense_names": {"offense_name": "Offense Name"},
-    "top_locations": {"location_name": "Location Name"},
-    "victim_age_distribution": {"victim_age_group": "Victim Age Group"},
-    "victim_race_by_offense": {
-        "offense_category": "Offense Category", "victim_race": "Victim Race"},
-    "victim_sex_by_offense": {
-        "offense_category": "Offense Category", "victim_sex": "Victim Sex"},
-    "weapon_usage": {"weapon_name": "Weapon Name"},
-    "day_of_week_patterns": {"weekday": "DayOfWeek"},
+# mart -> its columns, each as (name in the mart, incident column, expression)
+_DATE = "incident_date"
+COUNT_MARTS: dict[str, tuple[tuple[str, str, str], ...]] = {
+    "yearly_trends": (("Year", _DATE, f"year({_DATE})"),),
+    "monthly_trends": (("Year", _DATE, f"year({_DATE})"), ("Month", _DATE, f"month({_DATE})")),
+    "day_of_week_patterns": (("DayOfWeek", _DATE, f"date_format({_DATE}, 'EEEE')"),),
+    **{
+        mart: tuple((DISPLAY_NAMES[c], c, c) for c in columns)
+        for mart, columns in {
+            "hourly_distribution": ("incident_hour",),
+            "offense_categories": ("offense_category",),
+            "top_offense_names": ("offense_name",),
+            "top_locations": ("location_name",),
+            "victim_age_distribution": ("victim_age_group",),
+            "victim_race_by_offense": ("offense_category", "victim_race"),
+            "victim_sex_by_offense": ("offense_category", "victim_sex"),
+            "weapon_usage": ("weapon_name",),
+        }.items()
+    },
 }
 HEATMAP_KEYS = ("state", "county", "offense_category")
+AGENCY_KEYS = ("state", "agency_name")
 
 
-def with_calendar(df: DataFrame, date: str = "incident_date") -> DataFrame:
-    """Year, month and weekday of the incident date."""
-    return df.withColumns(
-        {"year": F.year(date), "month": F.month(date), "weekday": day_name(date)}
-    )
+def mart_keys(mart: str) -> tuple[str, ...]:
+    """The incident columns a mart is counted by."""
+    return tuple(dict.fromkeys(column for _, column, _ in COUNT_MARTS[mart]))
 
 
 def count_sets(
@@ -74,13 +78,41 @@ def count_sets(
 
 def count_marts(df: DataFrame, names: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The named count marts; those whose columns are absent are left out."""
-    wanted = {
-        n: keys
-        for n, keys in COUNT_MARTS.items()
-        if (names is None or n in names) and all(c in df.columns for c in keys)
-    }
-    counted = count_sets(df, {n: list(keys) for n, keys in wanted.items()})
-    marts = {n: rename_map(counted[n], keys) for n, keys in wanted.items()}
+    wanted = _wanted(df, names)
+    return _roll_up(wanted, _count_bases(df, [mart_keys(n) for n in wanted]))
+
+
+def _wanted(df: DataFrame, names: Sequence[str] | None) -> list[str]:
+    return [
+        n
+        for n in COUNT_MARTS
+        if (names is None or n in names) and set(mart_keys(n)) <= set(df.columns)
+    ]
+
+
+Bases = dict[tuple[str, ...], DataFrame]
+
+
+def _count_bases(df: DataFrame, keys: Sequence[tuple[str, ...]], **extra: Column) -> Bases:
+    """Counts by the widest of the key sets; the others follow from them."""
+    distinct = list(dict.fromkeys(keys))
+    widest = [k for k in distinct if not any(set(k) < set(other) for other in distinct)]
+    names = {",".join(k): k for k in widest}
+    counted = count_sets(df, names, keep_nulls=list(names), **extra)
+    return {k: counted[n] for n, k in names.items()}
+
+
+def _roll_up(names: Sequence[str], bases: Bases) -> dict[str, DataFrame]:
+    """Marts from counted bases. Year, month and weekday are taken from the
+    counted dates, a few thousand rows, instead of from every incident."""
+    marts = {}
+    for name in names:
+        keys = mart_keys(name)
+        base = next(b for b in bases if set(keys) <= set(b))
+        columns = [F.expr(e).alias(n) for n, _, e in COUNT_MARTS[name]]
+        labels = [n for n, _, _ in COUNT_MARTS[name]]
+        rows = bases[base].select(*columns, "count").na.drop(subset=labels)
+        marts[name] = rows.groupBy(*labels).agg(F.sum("count").alias("count"))
     if "day_of_week_patterns" in marts:
         marts["day_of_week_patterns"] = sort_weekday(marts["day_of_week_patterns"])
     return marts
@@ -145,34 +177,26 @@ def build_marts(
     The rates need the largest population of each agency, which is taken along
     in the same pass.
     """
-    wanted = {n: list(k) for n, k in COUNT_MARTS.items() if all(c in df.columns for c in k)}
-    rated = "population" in df.columns and "agency_name" in df.columns
-    counted = count_sets(
-        df,
-        {
-            **wanted,
-            "county_heatmap": HEATMAP_KEYS,
-            **({"agencies": ("state", "agency_name")} if rated else {}),
-        },
-        keep_nulls=["agencies"],
-        **({"people": F.max("population")} if rated else {}),
-    )
-    marts = {n: rename_map(counted[n].drop("people"), COUNT_MARTS[n]) for n in wanted}
-    if "day_of_week_patterns" in marts:
-        marts["day_of_week_patterns"] = sort_weekday(marts["day_of_week_patterns"])
+    wanted = _wanted(df, None)
+    rated = {"population", "agency_name"} <= set(df.columns)
+    keys = [*map(mart_keys, wanted), HEATMAP_KEYS, *([AGENCY_KEYS] if rated else [])]
+    people = {"people": F.max("population")} if rated else {}
+    bases = _count_bases(df, keys, **people)
+    marts = _roll_up(wanted, bases)
     if "victim_sex_by_offense" in marts:
         marts["victim_sex_by_offense_crosstab"] = sex_crosstab(
             marts["victim_sex_by_offense"], sexes
         )
     if rated:
-        agencies = counted["agencies"].filter(F.col("state").isNotNull())
+        agencies = bases[AGENCY_KEYS].filter(F.col("state").isNotNull())
         marts["state_crime_rates"] = _rates(
             rate_of_units(agencies, "state", "agency_name", null_unit=False)
         )
     else:
         marts["state_crime_rates"] = state_rate_mart(df)
+    heat = bases[HEATMAP_KEYS].select(*HEATMAP_KEYS, "count").na.drop(subset=list(HEATMAP_KEYS))
     marts["county_heatmap"] = rename_map(
-        _coded(counted["county_heatmap"].drop("people"), fips),
+        _coded(heat, fips),
         {"state": "State", "county": "County", "offense_category": "Offense Category"},
     )
     return marts

@@ -105,7 +105,7 @@ def test_one_scan_per_report(table):
 
 
 def test_marts_do_not_read_the_table_again(table):
-    built = marts.build_marts(marts.with_calendar(table))
+    built = marts.build_marts(table)
     for name, mart in built.items():
         assert "FileScan" not in planned(mart), name
 
