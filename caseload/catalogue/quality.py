@@ -365,3 +365,14 @@ def drop_incomplete(spark, sf):
 )
 def max_nulls(spark, sf):
     return op.max_nulls(incidents(spark, sf, *_CLEAN))
+
+
+@query(
+    "rows_in_and_out",
+    "select state, count(*) as rows_in, count(*) filter (where weapon_name is not null and "
+    "victim_age is not null) as rows_out, count(*) filter (where weapon_name is not null and "
+    "victim_age is not null) - count(*) as change from inc group by 1",
+)
+def rows_in_and_out(spark, sf):
+    rows = incidents(spark, sf, "state", "weapon_name", "victim_age")
+    return cleaning.row_change(rows, op.drop_incomplete(rows, ["weapon_name", "victim_age"]))

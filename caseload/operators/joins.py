@@ -4,8 +4,8 @@ Three situations, three ways:
 
 * a lookup table read from files: plain join, Spark broadcasts it only if its
   size on disk is below ``spark.sql.autoBroadcastJoinThreshold``;
-* a side this package has just aggregated: ``attach`` counts it and broadcasts
-  it only under a row limit, otherwise it stays a shuffled join;
+* a side this package has just aggregated: ``attach`` measures it and broadcasts
+  it only under a row and byte limit, otherwise it stays a shuffled join;
 * two large tables: ``join_facts`` treats keys that hold more than their share
   of rows apart from the rest.
 """
@@ -14,9 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import fips5, normalise_county, state_name
 from ..session import settle
@@ -24,8 +25,9 @@ from .grouping import sum_by
 from .ranking import top_n
 from .shape import explode_counties, first_per_key, union_states
 
-# Rows of a few small columns: some tens of megabytes at most.
+# What may be broadcast, measured before it is: rows, and bytes of their values.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def pick_key(left: DataFrame, right: DataFrame, candidates: Sequence[str]) -> str | None:
@@ -33,9 +35,27 @@ def pick_key(left: DataFrame, right: DataFrame, candidates: Sequence[str]) -> st
     return next((c for c in candidates if c in left.columns and c in right.columns), None)
 
 
-def small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame marked for broadcast if it has at most ``max_rows`` rows."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: 16 per column, and what its texts and arrays hold."""
+    held = [F.lit(16 * len(df.columns))]
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            held.append(F.coalesce(F.octet_length(f.name), F.lit(0)))
+        elif isinstance(f.dataType, T.ArrayType):
+            held.append(F.greatest(F.size(f.name), F.lit(0)) * 16)
+    return reduce(add, held).cast("bigint")
+
+
+def small(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The frame marked for broadcast if its rows and bytes are within limits."""
+    measured = df.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(_row_bytes(df)), F.lit(0)).alias("bytes")
+    )
+    found = measured.first()
+    fits = found["rows"] <= max_rows and found["bytes"] <= max_bytes
+    return F.broadcast(df) if fits else df
 
 
 def lookup(
@@ -67,8 +87,8 @@ def attach(
 ) -> DataFrame:
     """Join a computed side with at most one row per key.
 
-    The side is computed once into the shared folder and counted. Up to
-    ``max_rows`` it is broadcast, so the large frame is not shuffled at all.
+    The side is computed once into the shared folder and measured. Up to
+    ``max_rows`` rows (and 64 MB) it is broadcast, so the large frame is not shuffled at all.
     Above, both are shuffled; a hot key then sits on the large frame's side,
     which adaptive execution splits for inner and left joins.
     """

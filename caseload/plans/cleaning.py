@@ -49,6 +49,20 @@ def clean_by_state(
     )
 
 
+def row_change(before: DataFrame, after: DataFrame, by: str = "state") -> DataFrame:
+    """(group, rows_in, rows_out, change) of a step."""
+    sides = [
+        count_by(before, by, name="n").select(by, F.col("n").alias("i"), F.lit(0).alias("o")),
+        count_by(after, by, name="n").select(by, F.lit(0).alias("i"), F.col("n").alias("o")),
+    ]
+    return (
+        union_states(sides)
+        .groupBy(by)
+        .agg(F.sum("i").alias("rows_in"), F.sum("o").alias("rows_out"))
+        .withColumn("change", F.col("rows_out") - F.col("rows_in"))
+    )
+
+
 def oversample_to(
     df: DataFrame,
     target: int = V.MIN_ROWS_PER_STATE,

@@ -196,3 +196,16 @@ def test_names_and_unions(spark, rows):
 def test_unknown_rate_counts_fields(spark, rows):
     df = spark.createDataFrame([("a", "Unknown", "Unknown"), ("a", "F", None)], "state string, p string, q string")
     assert rows(op.unknown_rate(df, ["p", "q"])) == [("a", 2, 2, 1.0)]
+
+
+def test_what_is_too_large_is_not_broadcast(spark):
+    from caseload.operators.joins import small
+
+    def hinted(df):
+        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+
+    df = spark.range(100).selectExpr("id", "repeat('x', 1000) as text", "array(1, 2) as a")
+    assert hinted(small(df))
+    assert not hinted(small(df, max_rows=99))
+    assert not hinted(small(df, max_bytes=100_000))
+    assert hinted(small(df.filter("id < 0"), max_rows=0))
