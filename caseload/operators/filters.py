@@ -9,7 +9,6 @@ from operator import add
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import vocabulary as V
-from ..functions.nulls import is_missing
 
 
 def violent(
@@ -70,9 +69,3 @@ def select_category(
 ) -> DataFrame:
     return df.filter(F.col(column) == category)
 
-
-__all__ = [
-    "drop_incomplete", "drop_invalid_age", "filter_not_in", "firearm_only", "is_firearm",
-    "is_missing", "is_night", "max_nulls", "night_only", "null_count", "select_category",
-    "select_year", "violent",
-]
