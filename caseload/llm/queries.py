@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op01_token_store, op02_mixing, op03_chat, op04_topk
+from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op10_jaccard
 from .common import table
 from .registry import query
 
@@ -130,3 +130,8 @@ select query_id, rank::int as rank, vec_id, score from (
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return op04_topk.top_k(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
