@@ -35,7 +35,7 @@ from .common import mix, partitions, ship
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-CACHE_WORDS = 200_000  # encoded words kept by a task; a matter of memory and speed only
+CACHE_WORDS = 400_000  # encoded chunks of a generation; a matter of memory and speed only
 GAMMA = 2.0  # bits of a level for each key that is still without a slot
 MAGIC = b"TOKMPH01"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -62,25 +62,77 @@ class Encoder:
 
     White space always ends a token of this vocabulary and leaves no id itself, so a text's ids
     are the ids of its space-separated chunks one after another, and a chunk met before need not
-    be encoded again.
+    be encoded again. New chunks go to the library many at a time: words of letters as one text,
+    cut behind the ids that end a word; others as one text with a special token between them.
     """
 
     def __init__(self, path: str, dtype: str):
-        self.tokenizer, self.dtype, self.known = _tokenizer(path), dtype, {"": b""}
+        self.tokenizer, self.dtype = _tokenizer(path), dtype
+        self.new, self.old = {"": b""}, {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.mark = next((t.content for t in self.tokenizer.get_added_tokens_decoder().values()), None)
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype)
+
+    def _cut(self, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
+        raw, ends = ids.tobytes(), (at * ids.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        ids = self._ids(" ".join(words))
+        found = self._cut(ids, np.flatnonzero(self.ends[ids]) + 1)
+        return found if len(found) == len(words) else self._chunks(words)
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        if self.mark is None or any("<|" in c or self.mark in c for c in chunks):
+            return [self._ids(c).tobytes() for c in chunks]
+        ids = self._ids(self.mark.join(chunks))
+        special = ids == self.tokenizer.token_to_id(self.mark)
+        inner = np.flatnonzero(special) - np.arange(int(special.sum()))
+        return self._cut(ids[~special], np.append(inner, int((~special).sum())))
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Encode chunks that neither generation holds; when the newer one is full it becomes the
+        older one."""
+        if len(self.new) + len(chunks) > CACHE_WORDS:
+            self.new, self.old = {"": b""}, self.new
+        new, old = self.new, self.old
+        for c in [c for c in chunks if c in old]:
+            new[c] = old.pop(c)
+        # a comma or full stop behind a letter is a token of its own
+        bases = {c: c[:-1] if c[-1] in ".," and len(c) > 1 and c[-2].isascii() and c[-2].isalpha() else c for c in chunks if c not in new}
+        known = {b: new.get(b) or old.get(b) for b in {*bases.values(), *(c[-1] for c, b in bases.items() if c != b)}}
+        for kind, encode in ((True, self._words), (False, self._chunks)):
+            todo = [b for b, got in known.items() if got is None and (b.isascii() and b.isalpha()) is kind]
+            for low in range(0, len(todo), 5000):
+                part = todo[low : low + 5000]
+                known.update(zip(part, encode(part)))
+        for c, b in bases.items():
+            new[c] = known[b] if c == b else known[b] + known[c[-1]]
 
     def __call__(self, text: str) -> bytes:
+        # the vocabulary ignores case; A-Z are folded here already, so that fewer chunks are new
+        if "<|" not in text:
+            text = text.encode().lower().decode()
         chunks = text.replace("\n", " ").split(" ")
-        known = self.known
-        new = {c for c in chunks if c not in known}
-        if new:
-            if len(known) + len(new) > CACHE_WORDS:
-                known.clear()
-                known[""] = b""
-                new = set(chunks)
-            new = list(new)
-            for chunk, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                known[chunk] = np.asarray(got.ids, self.dtype).tobytes()
-        return b"".join([known[c] for c in chunks])
+        missing = set(chunks).difference(self.new)
+        if missing:
+            self._learn(missing)
+        known = self.new
+        try:
+            return b"".join([known[c] for c in chunks])
+        except KeyError:  # the generation changed within this text
+            self._learn(set(chunks).difference(known))
+            return b"".join([known[c] for c in chunks])
+
+
+@lru_cache(2)
+def _encoder(path: str, dtype: str) -> Encoder:
+    """A worker process keeps what it has encoded from task to task."""
+    return Encoder(path, dtype)
 
 
 def id_type(path: str) -> str:
@@ -249,7 +301,7 @@ def _write_shard(root: str, vocabulary: str, dtype: str, end_id: int):
 
         files, base = _store(root)
         number = TaskContext.get().partitionId()
-        name, encode = f"shard-{number:06d}", Encoder(vocabulary, dtype)
+        name, encode = f"shard-{number:06d}", _encoder(vocabulary, dtype)
         tail, width = np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize
         keys, known, counts = [], [], []
 
