@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op10_jaccard
+from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op08_quality, op09_toxicity, op10_jaccard
 from .common import table
 from .registry import query
 
@@ -135,3 +135,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return op08_quality.score_quality(docs, op08_quality.fit_quality(docs, labels))
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return op09_toxicity.score_toxicity(docs, op09_toxicity.fit_toxicity(docs, labels))
