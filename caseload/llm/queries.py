@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op06_language, op08_quality, op09_toxicity, op10_jaccard
+from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op05_decontaminate, op06_language, op08_quality, op09_toxicity, op10_jaccard
 from .common import table
 from .registry import query
 
@@ -137,6 +137,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+@query("op5_decontaminate")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op05_decontaminate.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_language")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
