@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op05_decontaminate, op06_language, op08_quality, op09_toxicity, op10_jaccard
+from . import op01_token_store, op02_mixing, op03_chat, op04_topk, op05_decontaminate, op06_language, op07_suffix_dedup, op08_quality, op09_toxicity, op10_jaccard
 from .common import table
 from .registry import query
 
@@ -148,6 +148,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op06_language.label_languages(docs, op06_language.fit_language(docs)).drop("spans")
 
 
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op07_suffix_dedup.dedup_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op8_quality")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
