@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .common import blocks, ship, texts_of
 
@@ -93,8 +93,11 @@ def fit(rows: DataFrame, learn: Callable[[list[np.ndarray], np.ndarray, list[str
     return made[0].model if made else learn([], np.zeros(0, np.int64), [])
 
 
-def score(docs: DataFrame, scorer: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
-    """(doc_id, held_out, score) of every row; ``scorer`` sees the bytes of texts alone."""
+Scorer = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def _scored(scorer: Scorer, name: str):
+    """Batches (kept column, text) -> (kept column, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,11 +107,25 @@ def score(docs: DataFrame, scorer: Callable[[np.ndarray, np.ndarray], np.ndarray
                 for low, high in blocks(offsets):
                     cut = offsets[low : high + 1]
                     out[low:high] = scorer(data[cut[0] : cut[-1]], cut - cut[0])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], [name, "score"])
+
+    return run
+
 
+def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
+    """(doc_id, held_out, score) of every row; ``scorer`` sees the bytes of texts alone."""
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, score double").select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+    scored = texts.mapInArrow(_scored(scorer, "doc_id"), "doc_id long, score double")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
+
+
+def below(docs: DataFrame, scorer: Scorer, threshold: float) -> DataFrame:
+    """Rows that score below the threshold, with all their columns, whatever their names."""
+    ship(docs.sparkSession)
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
+    schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
+    return packed.mapInArrow(_scored(scorer, "row"), schema).filter(F.col("score") < threshold).select("row.*")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from .common import BASE, Words, byte_values, mix, row_of, separators, words_of
-from .learning import TRAIN_ROWS, Vocabulary, fit, labelled, score, sigmoid
+from .learning import TRAIN_ROWS, Vocabulary, below, fit, labelled, score, sigmoid
 
 THRESHOLD = 0.5
 MIN_TEXTS = 4
@@ -184,3 +184,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
 def score_toxicity(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of (doc_id, text)."""
     return score(docs, scorer(model)).withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))
+
+
+def drop_toxic(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFrame:
+    """Documents that score below the threshold, with all their columns."""
+    return below(docs, scorer(model), threshold)

@@ -36,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import common
 from .common import blocks, byte_values, grams, land, mix, partitions, row_of, separators, ship, texts_of, words_of
@@ -358,8 +358,8 @@ def _verified(docs: DataFrame, pairs: DataFrame, owners: DataFrame, words: int,
 # -- 5. all -----------------------------------------------------------------------------------
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
+def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, n, node, ...), and (node, doc_id, root) of the nodes with n-grams."""
     spark = docs.sparkSession
     ship(spark)
     parts = partitions(spark)
@@ -384,6 +384,12 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
         links = links.union(_crossing(docs, shared, members, owners, pairs, failed, roots, words, parts))
         roots = components(links, "jaccard-roots")
     to_root = nodes.join(land(roots, "jaccard-root"), "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
+    return signatures, to_root
+
+
+def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
+    signatures, to_root = _components(docs, words)
     lowest = to_root.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     component = to_root.join(lowest, "root").select("node", "component_id")
     return signatures.join(component, "node", "left").select(
@@ -392,6 +398,48 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
+def keep_representatives(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """One document of each component, with all its columns: the smallest doc_id, nulls last, then
+    the smallest key of its set. Documents without words all stay. Rows that agree in id and set
+    are one document.
+
+    Where ids are unique, the ids to drop suffice and texts are not shuffled while those may be
+    broadcast; otherwise rows are told apart by id and set.
+    """
+    signatures, to_root = _components(docs, words)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    filled = signatures.filter("n > 0").select("doc_id", "node").distinct()
+    rooted = land(filled.join(to_root.select("node", "root"), "node").select("root", order.alias("key")), "jaccard-rooted")
+    kept = rooted.groupBy("root").agg(F.min("key").alias("key"))
+    lost = rooted.join(kept.select("key"), "key", "left_anti").select("key.doc_id", "key.node")
+    rows = signatures.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("ids")).first()
+    if rows.n == rows.ids:
+        ids = land(lost.select(F.col("doc_id").alias("_id")), "jaccard-lost")
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        return docs.join(ids, docs["doc_id"].cast("long") == ids["_id"], "left_anti")
+    packed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"),
+    )
+    schema = T.StructType([packed.schema["row"], T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType())])
+    keyed = packed.mapInArrow(_keyed(words), schema)
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("_lost.doc_id")) & (F.col("node") == F.col("_lost.node"))
+    left = keyed.filter("n > 0").join(lost.select(F.struct("doc_id", "node").alias("_lost")), same, "left_anti")
+    once = left.withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "node"])
+    return once.select("row.*").unionByName(keyed.filter("n = 0").select("row.*"))
+
+
+def _keyed(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, node = [], []
+            for part in _signatures(words, np.zeros(0, np.uint64))(iter([batch.select([1, 2])])):
+                n += part.column(1).to_pylist()
+                node += part.column(2).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(node, pa.binary())], ["row", "n", "node"])
+
+    return run
+
+
 def _crossing(
     docs: DataFrame, shared: DataFrame, members: DataFrame, owners: DataFrame, pairs: DataFrame, failed: DataFrame,
     roots: DataFrame, words: int, parts: int,
