@@ -33,6 +33,7 @@ BLOCK_WORDS = 32
 POINTS = 1 << 31
 GOLDEN = 1327217885  # POINTS / 1.618..., odd
 CELLS = 4096  # cells of the unit interval that slots and sources meet in
+BROADCAST_ROWS = 1_000_000
 CHUNK = 1 << 14  # slots that are ranked in one window
 RANGE_ROWS = 20_000  # documents of a source whose running total is taken in one window
 
@@ -179,3 +180,27 @@ def mix_words(
     return taken.unionByName(empty).join(ends, F.col("source").eqNullSafe(F.col("_source"))).select(
         "doc_id", "source", "size", "source_size", "target", "taken",
     )
+
+
+def mix_documents(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The mix in whole documents, with all their columns: each stays as often as its words are
+    taken, rounded half up. Rows that agree in id, source and size share what is taken of them.
+
+    What is taken is broadcast while it has ``BROADCAST_ROWS`` rows at most, else joined by key.
+    """
+    key = ["doc_id", "source", "size"]
+    times = F.floor(F.sum("taken") / F.sum("size") + 0.5)
+    taken = mix_words(docs, weights, epochs, block_words).filter("size > 0").groupBy(*key).agg(times.cast("int").alias("times"))
+    taken = land(taken.filter("times > 0").select(F.struct(*key, "times").alias("_taken")), "mix-times")
+    taken = F.broadcast(taken) if taken.count() <= BROADCAST_ROWS else taken
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
+    size = F.coalesce(F.regexp_count(F.col("_row.text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    same = (
+        F.col("_row.doc_id").cast("long").eqNullSafe(F.col("_taken.doc_id"))
+        & F.col("_row.source").cast("string").eqNullSafe(F.col("_taken.source")) & (F.col("_size") == F.col("_taken.size"))
+    )
+    matched = whole.withColumn("_size", size).join(taken, same)
+    copies = F.explode(F.sequence(F.lit(1), F.col("_taken.times")))
+    return matched.select("_row", copies.alias("_copy")).select("_row.*")
