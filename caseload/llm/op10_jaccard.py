@@ -46,7 +46,7 @@ WORDS = 5
 NUM, DEN = 3, 4  # similarity of 0.75
 FREQUENT = 65_536
 SEEN = 4  # times a task must see an n-gram to report it
-BITS = 512
+BITS = 512  # of a bitmap at least
 MEMBERS = 256  # sets in one row of a group
 UNIT = 2048  # groups that meet under one n-gram in one unit
 BROADCAST_IDS = 1_000_000
@@ -117,6 +117,16 @@ def frequent_grams(texts: DataFrame, words: int = WORDS) -> np.ndarray:
 # -- 2. signatures ----------------------------------------------------------------------------
 
 
+def _bitmaps(sets: np.ndarray, row: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """Parity of each set's members by the low bits of their hash: as many bits as the next power
+    of two from the set's size on. Half as many bits are the exclusive or of both halves."""
+    size = np.maximum(BITS, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    start = np.cumsum(size) - size
+    at = start[row] + (mix(sets + np.uint64(3)) & (size[row] - 1).astype(np.uint64)).astype(np.int64)
+    parity = np.packbits((np.bincount(at, minlength=int(size.sum())) & 1).astype(bool), bitorder="little").tobytes()
+    return [parity[a // 8 : (a + b) // 8] for a, b in zip(start.tolist(), size.tolist())]
+
+
 def _signatures(words: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(frequent)
@@ -137,8 +147,7 @@ def _signatures(words: int, frequent: np.ndarray):
                 for seed in (1, 2):
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets + np.uint64(seed * 0x632BE59BD9B4E019 % (1 << 64))))])
                     sums.append(mix(total[first[1:]] - total[first[:-1]] + n.astype(np.uint64)))
-                parity = np.bincount(row * BITS + (mix(sets + np.uint64(3)) >> np.uint64(55)).astype(np.int64), minlength=(high - low) * BITS) & 1
-                bits = np.packbits(parity.astype(bool)).reshape(high - low, BITS // 8)
+                bits = _bitmaps(sets, row, n)
                 take = n - (-(-NUM * n // DEN)) + (n > 0)
                 prefixes, gids = [], []
                 for r in range(high - low):
@@ -149,7 +158,7 @@ def _signatures(words: int, frequent: np.ndarray):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(low, high - low), pa.array(n.astype(np.int64)),
                     pa.array([nodes[16 * r : 16 * r + 16] for r in range(high - low)], pa.binary()), pa.array(gids, pa.int64()),
-                    pa.array([b.tobytes() for b in bits], pa.binary()), pa.array(prefixes, pa.binary()),
+                    pa.array(bits, pa.binary()), pa.array(prefixes, pa.binary()),
                 ], ["doc_id", "n", "node", "gid", "bits", "prefix"])
 
     return run
@@ -237,18 +246,33 @@ class _Forest:
         return True
 
 
-def _unit_pairs(node: list[bytes], n: np.ndarray, bits: np.ndarray, label: list | None, forest: _Forest) -> list[tuple]:
+def _unit_pairs(node: list[bytes], n: np.ndarray, bits: list[bytes], label: list | None, forest: _Forest) -> list[tuple]:
     """Kept pairs of one unit: a forest of them, or with labels all that cross two labels."""
     out = []
     order = sorted(range(len(node)), key=lambda i: (n[i], node[i]))
-    n, bits, node = n[order], bits[order], [node[i] for i in order]
+    n, bits, node = n[order], [bits[i] for i in order], [node[i] for i in order]
     names = np.array([hash(label[i]) for i in order]) if label is not None else None
+    # sizes ascend, and so do the lengths of bitmaps: one matrix for each length
+    length = np.array([len(b) for b in bits])
+    tables = {int(k): (np.searchsorted(length, k), np.frombuffer(b"".join([b for b in bits if len(b) == k]), np.uint64).reshape(-1, k // 8)) for k in np.unique(length)}
+    lengths = sorted(tables)
     for i in range(1, len(node)):
         low = int(np.searchsorted(n[:i], -(-NUM * n[i] // DEN)))
         if low == i:
             continue
-        differ = np.bitwise_count(bits[low:i] ^ bits[i]).sum(1, dtype=np.int64)
-        near = low + np.flatnonzero((DEN + NUM) * differ <= (DEN - NUM) * (n[low:i] + n[i]))
+        mine, size, near = np.frombuffer(bits[i], np.uint64), len(bits[i]), []
+        for k in reversed(lengths):
+            start, table = tables[k]
+            if k > length[i] or start + len(table) <= low:
+                continue
+            while size > k:
+                mine, size = mine[: len(mine) // 2] ^ mine[len(mine) // 2 :], size // 2
+            a, b = max(low, start), min(i, start + len(table))
+            if a >= b:
+                continue
+            differ = np.bitwise_count(table[a - start : b - start] ^ mine).sum(1, dtype=np.int64)
+            near.append(a + np.flatnonzero((DEN + NUM) * differ <= (DEN - NUM) * (n[a:b] + n[i])))
+        near = np.sort(np.concatenate(near))
         if names is not None:
             near = near[names[near] != names[i]]
             out += [(node[j], node[i]) for j in near.tolist() if node[j] != node[i]]
@@ -271,7 +295,7 @@ def _pairs(labelled: bool):
             once = {m["node"]: k for k, m in enumerate(members)}
             keep = list(once.values())
             members, size = [members[k] for k in keep], np.array([size[k] for k in keep], np.int64)
-            bits = np.frombuffer(b"".join([m["bits"] for m in members]), np.uint64).reshape(-1, BITS // 64)
+            bits = [m["bits"] for m in members]
             return _unit_pairs(list(once), size, bits, [m["label"] for m in members] if labelled else None, forest)
 
         for batch in batches:
