@@ -9,7 +9,7 @@ from ._cols import as_col
 ISO = "yyyy-MM-dd"
 # Accepted forms as (shape, format), None for Spark's own cast;
 # day first where both fit.
-_ISO_FORM = (r"^\d{4}-\d{1,2}-\d{1,2}$", None)
+_ISO_FORM = (r"^\d{4}-\d{1,2}-\d{1,2}([T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?)?$", None)
 _SHORT_FORM = (r"^\d{1,2}-[A-Za-z]{3}-\d{2}$", "d-MMM-yy")
 _LONG_FORM = (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy")
 _MONTH_FIRST_FORM = (r"^\d{1,2}/(1[3-9]|[23]\d)/\d{4}$", "M/d/yyyy")
@@ -25,7 +25,7 @@ def _parse(text: Column, *forms: tuple[str, str | None]) -> Column:
     """
     out = F
     for shape, form in forms:
-        date = text.try_cast("date") if form is None else F.try_to_date(text, form)
+        date = F.substring_index(F.substring_index(text, "T", 1), " ", 1).try_cast("date") if form is None else F.try_to_date(text, form)
         out = out.when(text.rlike(shape), date)
     return out
 
@@ -36,13 +36,13 @@ def parse_date(c: Column | str) -> Column:
 
 
 def parse_date_lenient(c: Column | str) -> Column:
-    """ISO text or a date; anything else is null."""
+    """ISO text with or without a time of day, a date or a timestamp; anything else is null."""
     return _parse(F.trim(as_col(c).cast("string")), _ISO_FORM)
 
 
 def parse_date_any(c: Column | str) -> Column:
-    """Any accepted form; text that is none of them is null."""
-    return _parse(F.trim(as_col(c)), *_ALL_FORMS)
+    """Any accepted form, a date or a timestamp; text that is none of them is null."""
+    return _parse(F.trim(as_col(c).cast("string")), *_ALL_FORMS)
 
 
 def fix_2020_date(c: Column | str, year: Column | str, short_year: int = 2020) -> Column:

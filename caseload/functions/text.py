@@ -51,6 +51,11 @@ def coerce_key(c: Column | str) -> Column:
     return F.when(text.rlike(r"^[+-]?\d+$"), text.try_cast("bigint"))
 
 
+def text_key(c: Column | str) -> Column:
+    """Code such as '120' or '13A' as text; '120.0' is the same code as '120'."""
+    return F.regexp_replace(F.trim(as_col(c).cast("string")), r"^(\d+)\.0$", "$1")
+
+
 def strip_suffix(c: Column | str, words: Sequence[str] = ("county", "parish")) -> Column:
     """Remove one trailing word such as ' County', whatever its case."""
     return F.regexp_replace(as_col(c), rf"(?i)\s+({'|'.join(words)})\s*$", "")

@@ -40,8 +40,15 @@ def night_only(df: DataFrame, column: str = "incident_hour") -> DataFrame:
     return df.filter(is_night(column))
 
 
+def require_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns, or an error that names those the frame lacks."""
+    if absent := [c for c in columns if c not in df.columns]:
+        raise ValueError(f"critical columns are missing: {absent}")
+    return list(columns)
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str] = V.CRITICAL_COLUMNS) -> DataFrame:
-    return df.na.drop(subset=[c for c in columns if c in df.columns])
+    return df.na.drop(subset=require_columns(df, columns))
 
 
 def null_count(df: DataFrame) -> Column:

@@ -84,29 +84,38 @@ def attach(
     on: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join a computed side with at most one row per key.
 
+    With ``null_safe`` a null key meets a null key.
+
     The side is computed once into the shared folder and measured. Up to
     ``max_rows`` rows (and 64 MB) it is broadcast, so the large frame is not shuffled at all.
     Above, both are shuffled; a hot key then sits on the large frame's side,
     which adaptive execution splits for inner and left joins.
     """
-    return df.join(small(settle(side), max_rows), list(on), how)
+    if not null_safe:
+        return df.join(small(settle(side), max_rows), list(on), how)
+    named = side.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on])
+    return df.join(small(settle(named), max_rows), same, how).drop(*[f"_on_{c}" for c in on])
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float | None = None) -> list[int]:
     """Hashes of the keys holding more than ``share`` of the rows.
 
     One pass over the key columns into a heavy-hitter sketch of fixed size; at
-    most 1/share hashes come back. The default share is one shuffle partition.
+    most 1/share hashes come back. The default share is one shuffle partition,
+    however many there are. Hashes only say where to look: they depend on the
+    columns' types, and different keys may share one.
     """
     if share is None:
         share = 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(share, 0.001)
+    k = int(1 / share) + 1
     keys = df.filter(_present(on)).select(F.xxhash64(*on).alias("h"))
     found = keys.agg(
-        F.expr(f"approx_top_k(h, {int(1 / share) + 1}, 20000)").alias("top"),
+        F.expr(f"approx_top_k(h, {k}, {max(20_000, 4 * k)})").alias("top"),
         F.count(F.lit(1)).alias("n"),
     ).first()
     return [t["item"] for t in found["top"] or [] if t["count"] > share * found["n"]]
@@ -123,10 +132,11 @@ def join_facts(
 ) -> DataFrame:
     """Left join of two large frames that keeps hot keys out of single tasks.
 
-    * Keys hot on the right are joined apart. Every left row with such a key
-      has a match, so an inner join is enough, and the few left rows are
-      broadcast to where the right rows lie (counted first; if they are many
-      the inner join is shuffled, and adaptive execution splits either side).
+    * Keys hot on the right are joined apart, told by their values in the type
+      both sides are compared in. Every left row with such a key has a match,
+      so an inner join is enough, and the few left rows are broadcast to where
+      the right rows lie (counted first; if they are many the inner join is
+      shuffled, and adaptive execution splits either side).
     * Keys hot on the left only are split by adaptive execution.
     * With ``sparse``, left rows with a null key, which cannot match, are spread
       over the partitions instead of meeting in one.
@@ -136,18 +146,35 @@ def join_facts(
     into the shared folder, and only when the probe finds something.
     """
     on = list(on)
-    right = right.filter(_present(on))
+    kinds = {c: left.schema[c].dataType for c in on}
+    left, right = _common_keys(left, right.filter(_present(on)), on)
     if probe is not None:
         if not hot_keys(*probe, share):
-            return _left_join(left, right, on, sparse)
+            return _typed(_left_join(left, right, on, sparse), kinds)
         left, right = settle(left), settle(right)
-    hot = hot_keys(right, on, share)
-    if not hot:
-        return _left_join(left, right, on, sparse)
-    is_hot = _present(on) & F.xxhash64(*on).isin(*hot)
-    matched = small(left.filter(is_hot), max_rows).join(right.filter(is_hot), on, "inner")
-    rest = _left_join(left.filter(~is_hot), right.filter(~is_hot), on, sparse)
-    return union_states([rest, matched])
+    found = hot_keys(right, on, share)
+    if not found:
+        return _typed(_left_join(left, right, on, sparse), kinds)
+    # the keys themselves, as they occur on the right: hashes alone never decide
+    hot = small(settle(right.filter(F.xxhash64(*on).isin(*found)).select(*on).distinct()), max_rows)
+    matched = small(left.join(hot, on, "left_semi"), max_rows).join(right.join(hot, on, "left_semi"), on, "inner")
+    rest = _left_join(left.join(hot, on, "left_anti"), right.join(hot, on, "left_anti"), on, sparse)
+    return _typed(union_states([rest, matched]), kinds)
+
+
+def _common_keys(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with their keys in the type Spark would compare them in."""
+    changed = [c for c in on if left.schema[c].dataType != right.schema[c].dataType]
+    for c in changed:
+        kind = left.select(c).union(right.select(c)).schema[c].dataType
+        left, right = left.withColumn(c, F.col(c).cast(kind)), right.withColumn(c, F.col(c).cast(kind))
+    return left, right
+
+
+def _typed(df: DataFrame, kinds: dict[str, T.DataType]) -> DataFrame:
+    """Keys back in the left frame's types."""
+    changed = {c: F.col(c).cast(k) for c, k in kinds.items() if df.schema[c].dataType != k}
+    return df.withColumns(changed) if changed else df
 
 
 def _present(on: Sequence[str]) -> Column:
@@ -190,7 +217,8 @@ def join_first(
 def keep_top_groups(
     df: DataFrame, by: str, n: int, weight: str | None = None
 ) -> DataFrame:
-    """Rows of the n largest groups; the kept list has n rows."""
+    """Rows of the n largest groups; the kept list has n rows. Null is no group."""
+    df = df.filter(F.col(by).isNotNull())
     if weight is None:
         totals = df.groupBy(by).agg(F.count(F.lit(1)).alias("_w"))
     else:

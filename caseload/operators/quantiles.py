@@ -31,9 +31,9 @@ def exact_quantile(
     p: float,
     by: Sequence[str] = (),
     direct_limit: int = DIRECT_LIMIT,
-    slices: int = 256,
+    slices: int | None = None,
 ) -> DataFrame:
-    """Exact quantile with linear interpolation, one row per group.
+    """Exact quantile with linear interpolation, one row per group; null is a group.
 
     Rows are first reduced to (group, value, frequency). Where every group has
     few distinct values Spark's weighted ``percentile`` answers. Beyond that a
@@ -51,7 +51,8 @@ def exact_quantile(
     largest = freq.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= direct_limit:
         return freq.groupBy(*by).agg(F.percentile("value", p, F.col("freq")).alias("quantile"))
-    return _sliced_quantile(freq, by, p, slices)
+    # a slice holds about half of what a group may hold undivided
+    return _sliced_quantile(freq, by, p, slices or max(16, -(-2 * largest // max(direct_limit, 1))))
 
 
 def _sliced_quantile(freq: DataFrame, by: list[str], p: float, slices: int) -> DataFrame:
@@ -63,7 +64,7 @@ def _sliced_quantile(freq: DataFrame, by: list[str], p: float, slices: int) -> D
         F.sum("freq").alias("_n"),
     )
     if by:
-        cut = attach(freq, bounds, by, how="inner")
+        cut = attach(freq, bounds, by, how="inner", null_safe=True)
     else:
         one = bounds.select(F.struct("_cuts", "_n")).scalar()
         cut = freq.withColumn("_b", one).select(*freq.columns, "_b._cuts", "_b._n")
@@ -83,7 +84,7 @@ def _sliced_quantile(freq: DataFrame, by: list[str], p: float, slices: int) -> D
         .select(*by, "_slice", "_before")
     )
     # at most two slices per group remain
-    held = attach(cut, wanted, [*by, "_slice"], how="inner")
+    held = attach(cut, wanted, [*by, "_slice"], how="inner", null_safe=True)
     inside = Window.partitionBy(*by, "_slice").orderBy("value")
     upto = F.col("_before") + F.sum("freq").over(inside)
     held = held.withColumn("_until", upto).withColumn("_from", upto - F.col("freq"))

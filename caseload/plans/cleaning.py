@@ -10,13 +10,16 @@ from pyspark.sql import types as T
 from .. import vocabulary as V
 from ..functions.ages import parse_age
 from ..functions.dates import fix_2020_date, parse_date_lenient
-from ..operators.filters import drop_invalid_age, null_count
+from ..operators.filters import drop_invalid_age, null_count, require_columns
 from ..operators.grouping import count_by, mode_of
 from ..operators.joins import attach
 from ..operators.quantiles import approx_quantile, exact_quantile, group_median
 from ..operators.shape import union_states
 
 
+RANGE_ROWS = 20_000  # rows of a group that one task orders, about
+
+
 def clean_by_state(
     df: DataFrame,
     critical: Sequence[str] = V.CRITICAL_COLUMNS,
@@ -30,7 +33,7 @@ def clean_by_state(
     One count per state decides, for all states at once. Rows without a state
     belong to no group and are left out.
     """
-    critical = [c for c in critical if c in df.columns]
+    critical = require_columns(df, critical)
     complete = F.lit(True)
     for c in critical:
         complete = complete & F.col(c).isNotNull()
@@ -72,24 +75,37 @@ def oversample_to(
     """Every smaller group repeated to exactly ``target`` rows, others as they are.
 
     Each row of a short group appears floor(target / n) times; the remainder
-    goes to the rows first in a seeded hash order. Repeatable. Only groups
-    below the target are ordered, so a window holds fewer rows than that.
+    goes to the rows first in a seeded hash order. Repeatable. Rows without a
+    group stay as they are.
+
+    The hash order is cut into ranges whose number follows the target; the
+    sizes of the ranges before give each its first rank, and only rows of one
+    range are ordered in one task.
     """
     columns = df.columns
     sizes = count_by(df, by, name="_n")
-    sized = attach(df, sizes, [by])
-    enough = sized.filter(F.col("_n") >= target).select(*columns)
-    order = Window.partitionBy(by).orderBy(F.xxhash64(*columns, F.lit(seed)), *columns)
+    sized = attach(df, sizes, [by], null_safe=True)
+    grouped = F.col(by).isNotNull()
+    enough = sized.filter(~grouped | (F.col("_n") >= target)).select(*columns)
+    bits = max(0, (target // RANGE_ROWS).bit_length())
+    short = (
+        sized.filter(grouped & (F.col("_n") < target))
+        .withColumn("_hash", F.xxhash64(*columns, F.lit(seed)))
+        .withColumn("_range", F.shiftright("_hash", 64 - bits) if bits else F.lit(0).cast("long"))
+    )
+    counts = short.groupBy(by, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select(by, "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
+    order = Window.partitionBy(by, "_range").orderBy("_hash", *columns)
     copies = F.floor(F.lit(target) / F.col("_n")).cast("int")
     extra = F.lit(target) - copies * F.col("_n")
-    short = (
-        sized.filter(F.col("_n") < target)
-        .withColumn("_rank", F.row_number().over(order))
-        .withColumn("_copies", copies + (F.col("_rank") <= extra).cast("int"))
+    repeated = (
+        attach(short.withColumn("_rank", F.row_number().over(order)), first, [by, "_range"])
+        .withColumn("_copies", copies + (F.col("_rank") + F.col("_first") <= extra).cast("int"))
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(*columns)
     )
-    return union_states([enough, short])
+    return union_states([enough, repeated])
 
 
 def oversample_about(
@@ -102,15 +118,16 @@ def oversample_about(
 
     Each row appears floor(target / n) times and once more with probability
     equal to the remaining fraction, decided by a seeded hash of the row, so a
-    task that runs again gives the same rows.
+    task that runs again gives the same rows. Rows without a group stay as they
+    are.
     """
     columns = df.columns
-    sized = attach(df, count_by(df, by, name="_n"), [by])
+    sized = attach(df, count_by(df, by, name="_n"), [by], null_safe=True)
     mean = F.lit(target) / F.col("_n")
     resolution = 1 << 30
     uniform = F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(resolution)) / resolution
     copies = F.floor(mean) + (uniform < mean - F.floor(mean)).cast("int")
-    times = F.when(F.col("_n") >= target, F.lit(1)).otherwise(copies)
+    times = F.when(F.col(by).isNull() | (F.col("_n") >= target), F.lit(1)).otherwise(copies)
     return sized.withColumn(
         "_copy", F.explode(F.sequence(F.lit(1), times.cast("int")))
     ).select(*columns)
@@ -156,7 +173,7 @@ def impute(
     for c, by in group_median_of.items():
         if c in have:
             medians = group_median(df, [by], c, exact).withColumnRenamed("median", f"_{c}_median")
-            out = attach(out, medians, [by])
+            out = attach(out, medians, [by], null_safe=True)
             fills[c] = F.col(f"_{c}_median").cast(df.schema[c].dataType)
     filled = {c: F.coalesce(F.col(c), value).alias(c) for c, value in fills.items()}
     marks = [F.col(c).isNull().alias(f"{c}_imputed") for c in fills] if flag else []

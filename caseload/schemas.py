@@ -95,6 +95,7 @@ KEY_COLUMNS = (
     "incident_id", "offense_id", "victim_id", "offender_id", "agency_id", "location_id",
     "weapon_id", "age_id", "race_id", "offense_type_id", "relationship_id", "victim_type_id",
 )
+TEXT_KEYS = ("offense_code",)
 
 FIPS_SCHEMA = struct(fips=_S, county_name=_S, state_name=_S)
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: dict[str, list[str]] = {}  # paths of each application, for release()
+_own: dict[str, str] = {}  # folders of local sessions without the setting
+_kept: list[tempfile.TemporaryDirectory] = []
+
 
 def local_session(cores: str = "8", app: str = "caseload") -> SparkSession:
     """Session for tests and the bench; on a cluster the caller brings its own."""
@@ -25,37 +30,49 @@ def local_session(cores: str = "8", app: str = "caseload") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see, as the session names it.
+    """The folder all executors see, as ``spark.checkpoint.dir`` of the session names it.
 
-    Only a local session may fall back to a temporary folder: there driver and
-    executors are one process. On a cluster a missing setting is an error.
+    Where driver and executors are one process (master ``local`` or ``local[n]``) a session
+    without the setting gets a folder of its own, which goes when the process ends. Anywhere
+    else a missing setting is an error.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _own.get(spark.sparkContext.applicationId)
     if configured:
         return configured
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="caseload-")
-    context.setCheckpointDir(folder)
-    return folder
+    folder = tempfile.TemporaryDirectory(prefix="caseload-", ignore_cleanup_errors=True)
+    _kept.append(folder)
+    _own[spark.sparkContext.applicationId] = folder.name
+    return folder.name
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path of its own below the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path of its own below the shared folder; ``release`` removes it."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Compute ``df`` once into the shared folder and go on from the file.
+
+    The copy is Parquet: later reads take only the columns and rows they need, and losing
+    executors costs nothing.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and cut its lineage.
+def release(spark: SparkSession) -> int:
+    """Remove what this application has put below the shared folder; returns how many paths.
 
-    The copy lives on the shared file system, so losing executors costs nothing.
+    For the end of a run: frames that still read those paths can't be used afterwards.
     """
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+    return len(paths)

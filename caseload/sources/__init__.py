@@ -1,6 +1,7 @@
 """Readers and writers."""
 
 from .readers import (
+    bad_row_count,
     read_fips,
     read_incidents,
     read_marts,
@@ -13,7 +14,7 @@ from .readers import (
 from .writers import write_cleaned, write_marts, write_predictions, write_result
 
 __all__ = [
-    "read_fips", "read_incidents", "read_marts", "read_raw", "read_raw_set",
+    "bad_row_count", "read_fips", "read_incidents", "read_marts", "read_raw", "read_raw_set",
     "read_state_years", "read_states", "read_table", "write_cleaned", "write_marts",
     "write_predictions", "write_result",
 ]

@@ -4,15 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.text import coerce_key, fips5
+from ..functions.text import coerce_key, fips5, text_key
 from ..operators.grouping import count_by
 
 _LATIN = "ISO-8859-1"
+BAD = "_bad_row"
+
+
+def _csv(spark: SparkSession, multi_line: bool = False) -> DataFrameReader:
+    """CSV with a header; a quote inside a quoted text is doubled.
+
+    Line breaks inside quotes need ``multi_line``, and then a file is read by one task.
+    """
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
 
 
 def _missing(error: AnalysisException) -> bool:
@@ -37,37 +46,48 @@ def read_incidents(
     schema: T.StructType = schemas.INCIDENT_SCHEMA,
     fmt: str = "csv",
     strict: bool = False,
+    multi_line: bool = False,
+    keep_bad: bool = False,
 ) -> DataFrame:
     """Incident table under internal names.
 
     A CSV must carry the display names as header; with ``strict`` a bad row
-    stops the job, otherwise its bad fields are null.
+    stops the job, otherwise its bad fields are null. ``keep_bad`` adds the text
+    of bad rows as ``_bad_row``, for ``bad_row_count``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     if fmt == "parquet":
         return spark.read.schema(schema).parquet(*paths)
-    frame = (
-        spark.read.schema(_display_schema(schema))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-        .csv(paths)
-    )
-    return frame.toDF(*schema.fieldNames())
+    header = _display_schema(schema)
+    names = schema.fieldNames()
+    reader = _csv(spark, multi_line).option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    if keep_bad:
+        header, names = header.add(BAD, T.StringType()), [*names, BAD]
+        reader = reader.option("columnNameOfCorruptRecord", BAD)
+    frame = reader.schema(header).option("enforceSchema", False).csv(paths)
+    return frame.toDF(*names)
+
+
+def bad_row_count(df: DataFrame) -> DataFrame:
+    """(rows, bad_rows) of a table read with ``keep_bad``."""
+    # the parser finds bad fields only in columns that are read, so the count reads all
+    every = F.hash(*[c for c in df.columns if c != BAD]) >= -(1 << 31)
+    return df.agg(F.count(F.when(every, 1)).alias("rows"), F.count(BAD).alias("bad_rows"))
 
 
-def read_raw(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One raw table: Latin-1 CSV, lower-case names, keys as bigint.
+def read_raw(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """One raw table: Latin-1 CSV, lower-case names, keys as bigint, codes as text without '.0'.
 
     Of the columns known for the table, those in the file are kept; the rest of
     the file, such as the year column, is never parsed.
     """
-    frame = spark.read.option("header", True).option("encoding", _LATIN).csv(path)
+    frame = _csv(spark, multi_line).option("encoding", _LATIN).csv(path)
     frame = frame.toDF(*[c.strip().lower() for c in frame.columns])
     known = [c for c in schemas.RAW_TABLES[table] if c in frame.columns]
-    return frame.select(
-        *[coerce_key(c).alias(c) if c in schemas.KEY_COLUMNS else F.col(c) for c in known]
-    )
+    if not known:
+        raise ValueError(f"no column of table {table} in {path}")
+    kept = {c: coerce_key(c) for c in schemas.KEY_COLUMNS} | {c: text_key(c) for c in schemas.TEXT_KEYS}
+    return frame.select(*[kept.get(c, F.col(c)).alias(c) for c in known])
 
 
 def read_raw_set(
@@ -75,20 +95,24 @@ def read_raw_set(
     folder: str,
     files: Mapping[str, str] = schemas.RAW_FILES,
     on_missing: str = "fail",
+    on_unreadable: str = "fail",
 ) -> dict[str, DataFrame]:
     """All raw tables of one state and year.
 
     ``on_missing='fail'`` stops at the first absent file, ``'skip'`` leaves
-    that table out.
+    that table out. ``on_unreadable`` says the same for files that are there but
+    have no header that Spark can read, or none of the table's columns.
     """
-    if on_missing not in ("fail", "skip"):
-        raise ValueError(f"unknown policy for missing files: {on_missing}")
+    for policy in (on_missing, on_unreadable):
+        if policy not in ("fail", "skip"):
+            raise ValueError(f"unknown policy for missing or unreadable files: {policy}")
     tables = {}
     for table, name in files.items():
         try:
             tables[table] = read_raw(spark, f"{folder.rstrip('/')}/{name}", table)
-        except AnalysisException as error:
-            if on_missing == "fail" or not _missing(error):
+        except (PySparkException, ValueError) as error:
+            absent = isinstance(error, AnalysisException) and _missing(error)
+            if (on_missing if absent else on_unreadable) == "fail":
                 raise
     return tables
 
@@ -138,26 +162,42 @@ def read_states(
 
 
 def read_marts(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str, DataFrame]:
-    """The dashboard tables. Optional ones are taken only if they exist."""
+    """The dashboard tables. Optional ones are taken only if they exist.
+
+    Columns are found by their name in the file, whatever their order, and get
+    the stated types; those that a table does not state follow as they are.
+    Tables without stated columns are small and have their types inferred.
+    """
     marts = {}
     for name, (schema, required) in schemas.MART_SCHEMAS.items():
         path = f"{folder.rstrip('/')}/{name}" + (".csv" if fmt == "csv" else "")
-        reader = spark.read.option("header", True)
-        if schema is not None:
-            reader = reader.schema(schema)
+        reader = spark.read
+        if fmt == "csv":
+            reader = _csv(spark).option("inferSchema", schema is None)
         try:
             frame = reader.format(fmt).load(path)
         except AnalysisException as error:
             if required or not _missing(error):
                 raise
             continue
-        marts[name] = frame.withColumn("fips", fips5("fips")) if "fips" in frame.columns else frame
+        marts[name] = _stated(frame, name, schema)
     return marts
 
 
+def _stated(frame: DataFrame, name: str, schema: T.StructType | None) -> DataFrame:
+    if "fips" in frame.columns:
+        frame = frame.withColumn("fips", fips5("fips"))
+    if schema is None:
+        return frame
+    if absent := [c for c in schema.fieldNames() if c not in frame.columns]:
+        raise ValueError(f"columns are missing in {name}: {absent}")
+    rest = [c for c in frame.columns if c not in schema.fieldNames()]
+    return frame.select(*[F.col(f.name).cast(f.dataType) for f in schema], *rest)
+
+
 def read_fips(spark: SparkSession, path: str) -> DataFrame:
     """County codes as text: leading zeros matter."""
-    frame = spark.read.option("header", True).option("encoding", _LATIN).csv(path)
+    frame = _csv(spark).option("encoding", _LATIN).csv(path)
     frame = frame.toDF(*[c.strip().lower() for c in frame.columns])
     state = "state_name" if "state_name" in frame.columns else "state"
     return frame.select("fips", "county_name", F.col(state).alias("state_name"))

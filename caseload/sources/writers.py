@@ -13,7 +13,8 @@ from ..schemas import PREDICTION_COLUMNS
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True)
+        # quotes inside a text are doubled, as other readers expect
+        writer = writer.option("header", True).option("escape", '"')
     writer.format(fmt).save(path)
 
 
