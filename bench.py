@@ -12,7 +12,7 @@ import sys
 import time
 
 from caseload.catalogue import QUERIES
-from caseload.session import local_session
+from caseload.session import local_session, release
 
 HEADLINE = (
     "rate_by_agency_pop", "rate_by_county_pop", "violent_by_state", "offense_distribution",
@@ -45,6 +45,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(line))
+    release(spark)
     spark.stop()
 
 

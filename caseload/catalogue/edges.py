@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import functions as fn, operators as op
-from ..plans import cleaning
+from ..plans import cleaning, hotspot, marts
 from ..session import fresh_path
-from ..sources import bad_row_count, read_incidents, read_marts, read_raw_set, write_result
+from ..sources import bad_row_count, read_incidents, read_marts, read_raw_set, stated_mart, write_result
 from .bindings import fips, incidents, table
 from .registry import query
+from .shares import age_band_sql
 
 
 @query(
@@ -186,3 +188,168 @@ def raw_set_skip(spark, sf):
     return op.union_states([
         t.agg(F.lit(name).alias("name"), F.count(F.when(kept.get(name, F.lit(True)), 1)).alias("rows")) for name, t in tables.items()
     ])
+
+
+# -- figures of models and sketches that SQL can say --------------------------------------------
+
+_SCORED = (
+    f"select case when crime_count >= 3 then 1 else 0 end as label, case when month >= 7 then 1 else 0 end as said, "
+    "(month * 7 % 10) / 10.0::double as score from (select state, county, year(incident_date) as year, "
+    "month(incident_date) as month, count(*) as crime_count from inc group by all)"
+)
+
+
+@query(
+    "evaluate_scores",
+    f"with s as ({_SCORED}), n as (select count(*) filter (label = 1 and said = 1) as tp, count(*) filter (label = 0 and said = 1) as fp, "
+    "count(*) filter (label = 1 and said = 0) as fn, count(*) filter (label = 0 and said = 0) as tn from s), "
+    "g as (select score, count(*) filter (label = 1) as p, count(*) filter (label = 0) as q from s group by 1), "
+    "a as (select sum(p * (below + q / 2.0::double)) / (sum(p) * sum(q)) as auc from (select *, coalesce(sum(q) over "
+    "(order by score rows between unbounded preceding and 1 preceding), 0) as below from g)) "
+    "select round(auc, 6) as auc, round(2.0::double * tp / (2 * tp + fp + fn), 6) as f1, round((tp + tn) / (tp + fp + fn + tn)::double, 6) as accuracy, "
+    "round(tp / (tp + fp)::double, 6) as precision, round(tp / (tp + fn)::double, 6) as recall from n, a",
+)
+def evaluate_scores(spark, sf):
+    """The measures of a score that follows from the data."""
+    rows = incidents(spark, sf, "state", "county", "population", "incident_date")
+    monthly = hotspot.county_month(rows)
+    scored = monthly.select(
+        (F.col("crime_count") >= 3).cast("int").alias("is_hotspot"), (F.col("month") >= 7).cast("double").alias("prediction"),
+        ((F.col("month") * 7 % 10) / 10.0).alias("score"),
+    )
+    measured = hotspot.evaluate(scored, "score")
+    return spark.createDataFrame([tuple(round(x, 6) for x in vars(measured).values())], "auc double, f1 double, accuracy double, precision double, recall double")
+
+
+@query(
+    "prepare_skips",
+    "with m as (select state, county, year(incident_date) as year, month(incident_date) as month, count(*) as n from inc group by all) "
+    "select count(*) as rows, count(*) filter (month = 5) as skipped, count(*) filter (month <> 5) as kept, "
+    "count(*) filter (month = 6) as filled from m",
+)
+def prepare_skips(spark, sf):
+    """A missing rate is filled, a missing month leaves the row out and is counted."""
+    rows = incidents(spark, sf, "state", "county", "population", "incident_date")
+    data = hotspot.season_and_rate(hotspot.county_month(rows)).withColumns(
+        {"crime_rate_per_1000": F.when(F.col("month") != 6, F.col("crime_rate_per_1000")), "crime_last_month": F.lit(1), "state_idx": F.lit(0), "county_idx": F.lit(0)}
+    ).withColumn("month", F.when(F.col("month") != 5, F.col("month")))
+    kept, counted = hotspot.prepare(data)
+    vector = vector_to_array("features")
+    seen = kept.agg(F.count(F.lit(1)).alias("kept"), F.count(F.when((vector[2] == 6) & (vector[6] == 0), 1)).alias("filled"))
+    return counted.join(seen)
+
+
+def _forest(spark, sf, model, **more):
+    rows = incidents(spark, sf, "state", "county", "population", "incident_date")
+    found = hotspot.run_hotspot(rows, model, measure=False, **more).predictions
+    p = F.col("hotspot_probability")
+    agrees = p.between(0, 1) & ((p > 0.5) == (F.col("prediction") == 1) | (p == 0.5))
+    return found.select("state", "county", "year", "month", "crime_count", "is_hotspot", agrees.alias("agrees"))
+
+
+_FOREST_SQL = (
+    "with m as (select state, county, year(incident_date)::int as year, month(incident_date)::int as month, count(*) as crime_count "
+    "from inc group by all) select *, (crime_count >= (select quantile_cont(crime_count, 0.9) from m))::int as is_hotspot, "
+    "true as agrees from m where year = (select max(year) from m)"
+)
+
+
+@query("hotspot_rf_rows", _FOREST_SQL)
+def hotspot_rf_rows(spark, sf):
+    """The scored county-months of the forest; its class follows its probability."""
+    return _forest(spark, sf, "forest", params={"numTrees": 10, "maxDepth": 4, "seed": 42})
+
+
+@query("hotspot_gbt_rows", _FOREST_SQL)
+def hotspot_gbt_rows(spark, sf):
+    return _forest(spark, sf, "boosting", params={"stepSize": 0.1, "maxDepth": 3, "maxIter": 5, "seed": 42})
+
+
+@query(
+    "sketches_within_error",
+    "select 'median' as sketch, state as label, true as within from inc group by 2 union all "
+    "select 'distinct', 'offense_name', true",
+)
+def sketches_within_error(spark, sf):
+    """Rank error of the median sketch under 1 in 1,000; distinct counts within a tenth."""
+    rows = incidents(spark, sf, "state", "population", "offense_name")
+    low, high = (op.exact_quantile(rows, "population", p, ["state"]).withColumnRenamed("quantile", n) for p, n in ((0.498, "low"), (0.502, "high")))
+    middle = op.group_median(rows, ["state"], "population").join(low, "state").join(high, "state")
+    medians = middle.select(F.lit("median").alias("sketch"), F.col("state").alias("label"), F.col("median").between(F.col("low"), F.col("high")).alias("within"))
+    exact, about = F.countDistinct("offense_name"), F.approx_count_distinct("offense_name")
+    return medians.unionByName(rows.agg((F.abs(exact - about) <= exact / 10).alias("within")).select(F.lit("distinct").alias("sketch"), F.lit("offense_name").alias("label"), "within"))
+
+
+@query(
+    "sort_by_metric_position",
+    "select state, row_number() over (order by count(*) desc, state) as position from inc group by 1",
+)
+def sort_by_metric_position(spark, sf):
+    counts = op.count_by(incidents(spark, sf, "state"), "state")
+    ordered = op.sort_by_metric(counts, "count", ["state"])
+    one = ordered.coalesce(1).withColumn("position", F.monotonically_increasing_id() + 1)
+    return one.select("state", "position")
+
+
+@query(
+    "state_names_listed",
+    "select n_nationkey, case n_nationkey % 4 when 0 then 'TEXAS' when 1 then 'NEW MEXICO' when 2 then 'COLORADO' else n_name end as state_name, "
+    "case n_nationkey % 4 when 0 then 'TX' when 1 then 'NM' when 2 then 'CO' end as state_code from nation",
+)
+def state_names_listed(spark, sf):
+    """Listed states by postal code or by name."""
+    key = F.col("n_nationkey") % 4
+    short = F.when(key == 0, "TX").when(key == 1, "NM").when(key == 2, "CO").otherwise(F.col("n_name"))
+    full = F.when(key == 0, "Texas").when(key == 1, "new mexico").when(key == 2, "COLORADO").otherwise(F.col("n_name"))
+    rows = table(spark, sf, "nation").select("n_nationkey", short.alias("short"), full.alias("full"))
+    return rows.select("n_nationkey", fn.state_name("short").alias("state_name"), fn.state_code("full").alias("state_code"))
+
+
+# -- detail marts, written and read back ---------------------------------------------------------
+
+_HIGH_SQL = (
+    "case when offense_category in ('Homicide Offenses', 'Human Trafficking', 'Kidnapping/Abduction', 'Robbery', 'Sex Offenses', "
+    "'Sex Offenses, Non-forcible', 'Assault Offenses') then 'High Severity' else 'Lower Severity' end"
+)
+_KNOWN_SQL = (
+    "case when relationship = 'Victim Was Stranger' then 'Stranger' when relationship is null or relationship = 'Relationship Unknown' "
+    "then 'Unknown' else 'Known Relationship' end"
+)
+_NIGHT_SQL = "incident_hour in (20, 21, 22, 23, 0, 1, 2, 3, 4, 5)"
+
+
+def _share_sql(by: str, key: str, by_name: str, key_name: str) -> str:
+    return (
+        f"select {by} as \"{by_name}\", {key} as \"{key_name}\", count(*) as count, (sum(count(*)) over (partition by {by}))::bigint as \"Total\", "
+        f"round(count(*) / sum(count(*)) over (partition by {by}) * 100, 2) as \"Percentage\" from inc group by 1, 2"
+    )
+
+
+_AGE = age_band_sql("victim_age", "–")
+DETAIL_SQL = {
+    "victim_type_by_severity": _share_sql(_HIGH_SQL, "victim_type", "Severity_Level", "Victim Type"),
+    "relationship_by_severity": _share_sql(_HIGH_SQL, _KNOWN_SQL, "Severity_Level", "Relationship Type"),
+    "victim_age_distribution_summary": f"select {_AGE} as \"Age Range\", count(*) as count, "
+    "round(count(*) / sum(count(*)) over () * 100, 2) as \"Percentage\" from inc group by 1",
+    "victim_age_distribution_nighttime": f"select {_AGE} as \"Age Range\", count(*) as \"Nighttime_Incident_Count\", "
+    f"round(count(*) / sum(count(*)) over () * 100, 2) as \"Percentage\" from inc where {_NIGHT_SQL} group by 1",
+    "victim_age_vulnerability_nighttime": f"select {_AGE} as \"Age Range\", count(*) as \"Total_Incident_Count\", count(*) filter ({_NIGHT_SQL}) "
+    f"as \"Nighttime_Incident_Count\", round(count(*) filter ({_NIGHT_SQL}) / count(*) * 100, 2) as \"Vulnerability % (Nighttime)\" from inc group by 1",
+    "victim_sex_by_offense_percentages": "select offense_category as \"Offense Category\", victim_sex as \"Victim Sex\", count(*) as \"Incident_Count\", "
+    "(sum(count(*)) over (partition by offense_category))::bigint as \"Total_Per_Category\", "
+    "round(count(*) / sum(count(*)) over (partition by offense_category) * 100, 2) as \"Percentage\" from inc group by 1, 2",
+}
+
+
+def _detail(name: str):
+    def run(spark, sf):
+        path = f"{fresh_path(spark, name)}.csv"
+        rows = incidents(spark, sf, "offense_category", "victim_type", "relationship", "victim_age", "incident_hour", "victim_sex")
+        write_result(marts.detail_marts(rows.withColumnRenamed("victim_age", "victim_age_group"))[name], path)
+        return stated_mart(spark.read.option("header", True).option("escape", '"').csv(path), name)
+
+    return run
+
+
+for _name, _sql in DETAIL_SQL.items():
+    query(f"mart_{_name}", _sql)(_detail(_name))

@@ -346,9 +346,9 @@ def time_split(spark, sf):
     return op.union_states(parts)
 
 
-def _run(spark, sf, model, encoding="text"):
+def _run(spark, sf, model, encoding="text", measure=False):
     rows = incidents(spark, sf, "state", "county", "population", "incident_date")
-    return hotspot.run_hotspot(rows, model, encoding=encoding)
+    return hotspot.run_hotspot(rows, model, encoding=encoding, measure=measure)
 
 
 @query("hotspot_rf")
@@ -368,7 +368,7 @@ def hotspot_gbt(spark, sf):
 
 @query("hotspot_metrics")
 def hotspot_metrics(spark, sf):
-    metrics = _run(spark, sf, "forest").metrics
+    metrics = _run(spark, sf, "forest", measure=True).metrics
     return spark.createDataFrame(
         [tuple(vars(metrics).values())], "auc double, f1 double, accuracy double, "
         "precision double, recall double"

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
@@ -128,11 +130,18 @@ def time_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def max_bins(df: DataFrame, at_least: int = 32) -> int:
-    """Bins the trees need: one for every value of the widest category."""
-    widest = at_least
+    """Bins the trees need: one for every value of the widest category.
+
+    Indexed columns carry their labels; codes that are plain numbers are dense,
+    so the largest says how many there are.
+    """
+    widest, plain = at_least, []
     for column in ("state_idx", "county_idx"):
         values = df.schema[column].metadata.get("ml_attr", {}).get("vals")
         widest = max(widest, len(values or ()))
+        plain += [] if values else [column]
+    if plain:
+        widest = max(widest, *[int(x or 0) + 1 for x in df.agg(*[F.max(c) for c in plain]).first()])
     return widest
 
 
@@ -162,12 +171,33 @@ def train_gbt(
     return boosted.fit(marked)
 
 
-def score(model: Model, df: DataFrame, inputs: Sequence[str] = FEATURES) -> DataFrame:
-    """Class and probability of class 1; missing inputs are filled first."""
-    fills = {"crime_last_month": 0, "crime_rate_per_1000": 0, "state_idx": -1, "county_idx": -1}
+FILLS = {"crime_last_month": 0, "crime_rate_per_1000": 0, "state_idx": -1, "county_idx": -1}
+
+
+def prepare(
+    df: DataFrame, inputs: Sequence[str] = FEATURES, invalid: str = "skip"
+) -> tuple[DataFrame, DataFrame]:
+    """(rows with a feature vector, one row with ``rows`` and ``skipped``).
+
+    Inputs that have a fill are filled first; a row that still lacks one is
+    left out with ``invalid='skip'``, stops the job with ``'error'`` and becomes
+    NaN with ``'keep'``.
+    """
+    filled = df.na.fill({k: v for k, v in FILLS.items() if k in df.columns})
+    lacking = reduce(or_, [F.col(c).isNull() | F.isnan(F.col(c).cast("double")) for c in inputs])
+    counted = filled.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(lacking, 1)).alias("skipped"))
+    return assemble(filled, inputs, invalid), counted
+
+
+def score(
+    model: Model, df: DataFrame, inputs: Sequence[str] = FEATURES, invalid: str = "skip"
+) -> DataFrame:
+    """Class and probability of class 1; missing inputs are filled first.
+
+    ``prepare`` says how many rows ``invalid='skip'`` leaves out.
+    """
     if "features" not in df.columns:
-        present = {k: v for k, v in fills.items() if k in df.columns}
-        df = assemble(df.na.fill(present), inputs, invalid="skip")
+        df, _ = prepare(df, inputs, invalid)
     old = [c for c in ("rawPrediction", "probability", "prediction") if c in df.columns]
     scored = model.transform(df.drop(*old))
     return scored.withColumn("hotspot_probability", vector_to_array("probability")[1])
@@ -182,29 +212,29 @@ class Metrics:
     recall: float
 
 
-def evaluate(scored: DataFrame) -> Metrics:
+def evaluate(scored: DataFrame, score_column: str = "probability") -> Metrics:
     """AUC, class-1 F1, precision and recall, and accuracy.
 
+    One pass counts the four kinds of hit and miss, a second ranks the scores.
     With a single class in the data AUC and F1 are 0.
     """
-    classes = scored.select(LABEL).distinct().limit(2).count()
-    labelled = scored.withColumn(LABEL, F.col(LABEL).cast("double"))
-
-    def measure(name: str) -> float:
-        return MulticlassClassificationEvaluator(
-            labelCol=LABEL, predictionCol="prediction", metricName=name, metricLabel=1.0
-        ).evaluate(labelled)
-
-    accuracy = measure("accuracy")
-    if classes < 2:
-        return Metrics(0.0, 0.0, accuracy, 0.0, 0.0)
-    auc = BinaryClassificationEvaluator(
-        labelCol=LABEL, rawPredictionCol="probability", metricName="areaUnderROC"
-    ).evaluate(labelled)
-    return Metrics(
-        auc, measure("fMeasureByLabel"), accuracy, measure("precisionByLabel"),
-        measure("recallByLabel"),
-    )
+    slim = scored.select(F.col(LABEL).cast("double").alias(LABEL), "prediction", score_column)
+    slim = slim.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        truth, said = F.col(LABEL) == 1, F.col("prediction") == 1
+        kinds = {"tp": truth & said, "fp": ~truth & said, "fn": truth & ~said, "tn": ~truth & ~said}
+        n = slim.agg(*[F.count(F.when(c, 1)).alias(k) for k, c in kinds.items()]).first()
+        part = lambda a, b: a / b if b else 0.0
+        accuracy = part(n.tp + n.tn, sum(n))
+        if not (n.tp + n.fn) or not (n.fp + n.tn):
+            return Metrics(0.0, 0.0, accuracy, 0.0, 0.0)
+        auc = BinaryClassificationEvaluator(
+            labelCol=LABEL, rawPredictionCol=score_column, metricName="areaUnderROC"
+        ).evaluate(slim)
+    finally:
+        slim.unpersist()
+    precision, recall = part(n.tp, n.tp + n.fp), part(n.tp, n.tp + n.fn)
+    return Metrics(auc, part(2 * precision * recall, precision + recall), accuracy, precision, recall)
 
 
 @dataclass(frozen=True)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.bands import age_band, relationship_type, severity
 from ..functions.dates import month_abbr
 from ..functions.numbers import log_count, pct
-from ..operators.filters import select_category, select_year
+from ..operators.filters import is_night, select_category, select_year
 from ..operators.grouping import rate_of_units, rate_per_100k, row_of_max, sum_by
 from ..operators.joins import attach_fips, keep_top_groups, predictions_by_fips
 from ..operators.ranking import sort_by_metric, sort_weekday, top_n
@@ -169,6 +170,43 @@ def _coded(counts: DataFrame, fips: DataFrame | None) -> DataFrame:
     return counts if fips is None else attach_fips(counts, fips)
 
 
+def detail_marts(df: DataFrame) -> dict[str, DataFrame]:
+    """Severity, night and share tables of the dashboard, each from counts.
+
+    ``victim_age_group`` holds ages as numbers, as ``standardise`` leaves them.
+    Percentages have two decimals. One count of all incidents by severity,
+    victim type, relationship, age range, night, category and sex is kept in
+    the shared folder; every table sums it up further.
+    """
+    keys = {
+        "Severity_Level": severity("offense_category"), "Victim Type": F.col("victim_type"),
+        "Relationship Type": relationship_type("relationship"), "Age Range": age_band("victim_age_group"),
+        "_night": F.coalesce(is_night(), F.lit(False)), "Offense Category": F.col("offense_category"),
+        "Victim Sex": F.col("victim_sex"),
+    }
+    counts = settle(df.select(*[c.alias(n) for n, c in keys.items()]).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+
+    def shares(by: Sequence[str], keys_: Sequence[str], name: str, rows: DataFrame = counts) -> DataFrame:
+        held = rows.groupBy(*by, *keys_).agg(F.sum("_n").alias(name))
+        total = F.sum(name).over(Window.partitionBy(*by))
+        return held.withColumn("Total", total).withColumn("Percentage", F.round(F.col(name) / F.col("Total") * 100, 2))
+
+    sexes = shares(["Offense Category"], ["Victim Sex"], "Incident_Count").withColumnRenamed("Total", "Total_Per_Category")
+    ages = counts.groupBy("Age Range").agg(
+        F.sum("_n").alias("Total_Incident_Count"),
+        F.coalesce(F.sum(F.when(F.col("_night"), F.col("_n"))), F.lit(0)).alias("Nighttime_Incident_Count"),
+    )
+    part = F.col("Nighttime_Incident_Count") / F.col("Total_Incident_Count") * 100
+    return {
+        "victim_type_by_severity": shares(["Severity_Level"], ["Victim Type"], "count"),
+        "relationship_by_severity": shares(["Severity_Level"], ["Relationship Type"], "count"),
+        "victim_age_distribution_summary": shares([], ["Age Range"], "count").drop("Total"),
+        "victim_age_distribution_nighttime": shares([], ["Age Range"], "Nighttime_Incident_Count", counts.filter("_night")).drop("Total"),
+        "victim_age_vulnerability_nighttime": ages.withColumn("Vulnerability % (Nighttime)", F.round(part, 2)),
+        "victim_sex_by_offense_percentages": sexes,
+    }
+
+
 def build_marts(
     df: DataFrame, fips: DataFrame | None = None, sexes: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:

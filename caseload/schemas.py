@@ -131,10 +131,17 @@ MART_SCHEMAS = {
                prediction=_D, hotspot_probability=_D),
         False,
     ),
-    "victim_type_by_severity": (None, False),
-    "relationship_by_severity": (None, False),
-    "victim_age_distribution_summary": (None, False),
-    "victim_age_distribution_nighttime": (None, False),
-    "victim_age_vulnerability_nighttime": (None, False),
-    "victim_sex_by_offense_percentages": (None, False),
+    "victim_type_by_severity": (
+        struct(**{"Severity_Level": _S, "Victim Type": _S, "count": _L, "Total": _L, "Percentage": _D}), False),
+    "relationship_by_severity": (
+        struct(**{"Severity_Level": _S, "Relationship Type": _S, "count": _L, "Total": _L, "Percentage": _D}), False),
+    "victim_age_distribution_summary": (struct(**{"Age Range": _S, "count": _L, "Percentage": _D}), False),
+    "victim_age_distribution_nighttime": (
+        struct(**{"Age Range": _S, "Nighttime_Incident_Count": _L, "Percentage": _D}), False),
+    "victim_age_vulnerability_nighttime": (
+        struct(**{"Age Range": _S, "Total_Incident_Count": _L, "Nighttime_Incident_Count": _L,
+                  "Vulnerability % (Nighttime)": _D}), False),
+    "victim_sex_by_offense_percentages": (
+        struct(**{"Offense Category": _S, "Victim Sex": _S, "Incident_Count": _L, "Total_Per_Category": _L,
+                  "Percentage": _D}), False),
 }

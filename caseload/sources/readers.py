@@ -180,11 +180,13 @@ def read_marts(spark: SparkSession, folder: str, fmt: str = "csv") -> dict[str,
             if required or not _missing(error):
                 raise
             continue
-        marts[name] = _stated(frame, name, schema)
+        marts[name] = stated_mart(frame, name)
     return marts
 
 
-def _stated(frame: DataFrame, name: str, schema: T.StructType | None) -> DataFrame:
+def stated_mart(frame: DataFrame, name: str) -> DataFrame:
+    """A mart as read, with its stated columns first and in their types."""
+    schema = schemas.MART_SCHEMAS[name][0]
     if "fips" in frame.columns:
         frame = frame.withColumn("fips", fips5("fips"))
     if schema is None:

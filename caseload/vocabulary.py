@@ -154,6 +154,7 @@ STATE_CODES = {
     "colorado": "CO",
 }
 
+# Weekdays in calendar order.
 WEEKDAYS = ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")
 
 # Columns that must be present for a complete row.
@@ -168,6 +169,7 @@ CRITICAL_COLUMNS = (
     "offense_name",
     "offense_category",
 )
+# Rows a state must keep, nulls a row may have, seed.
 MIN_ROWS_PER_STATE = 600_000
 MAX_NULLS_PER_ROW = 2
 SEED = 42

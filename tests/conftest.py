@@ -11,11 +11,12 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 @pytest.fixture(scope="session")
 def spark():
-    from caseload.session import local_session
+    from caseload.session import local_session, release
 
     session = local_session("4", "caseload-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
