@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from .. import vocabulary as V
 from ..functions.ages import parse_age
 from ..functions.dates import fix_2020_date, parse_date_lenient
-from ..operators.filters import drop_invalid_age, null_count, require_columns
+from ..operators.filters import null_count, require_columns
 from ..operators.grouping import count_by, mode_of
 from ..operators.joins import attach
 from ..operators.quantiles import approx_quantile, exact_quantile, group_median
@@ -192,23 +192,35 @@ def standardise(
     Returns the frame and a one-row frame of counters. Narrow operations only:
     no shuffle. A date text that does not parse is kept in ``<date>_text``.
     """
-    aged = df.withColumns({c: _age(df, c) for c in ages if c in df.columns})
+    kept = df.filter(~_is_age(df, ages[0], invalid_age)) if ages[0] in df.columns else df
+    aged = kept.withColumns({c: _age(df, c) for c in ages if c in df.columns})
     if date in df.columns:
         fixed = fix_2020_date(date, "year", short_year)
         aged = aged.withColumn(f"{date}_text", fixed)
         aged = aged.withColumn(date, parse_date_lenient(f"{date}_text"))
-    out = drop_invalid_age(aged, invalid_age, ages[0]) if ages[0] in df.columns else aged
     counters = {"rows_in": F.count(F.lit(1))}
     for c in ages:
         if c in df.columns:
             counters[f"{c}_converted"] = F.count(c)
     if ages[0] in df.columns:
-        bad = _age(df, ages[0]) == invalid_age
-        counters["rows_dropped"] = F.count(F.when(bad, 1))
+        counters["rows_dropped"] = F.count(F.when(_is_age(df, ages[0], invalid_age), 1))
     if date in df.columns:
         counters["dates_fixed"] = F.count(F.when(F.col("year") == short_year, 1))
     metrics = df.agg(*[c.alias(n) for n, c in counters.items()])
-    return out, metrics
+    return aged, metrics
+
+
+def _is_age(df: DataFrame, column: str, age: int) -> Column:
+    """Whether the column means this age; never null.
+
+    The text is looked at before it is parsed: an age of three digits needs a
+    number of three digits, which few texts hold.
+    """
+    exact = F.coalesce(_age(df, column) == age, F.lit(False))
+    if isinstance(df.schema[column].dataType, T.NumericType):
+        return exact
+    possible = F.col(column).cast("string").rlike(rf"\d{{{len(str(age))}}}")
+    return F.coalesce(possible, F.lit(False)) & exact
 
 
 def _age(df: DataFrame, column: str) -> Column:
