@@ -12,7 +12,7 @@ Three situations, three ways:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 from operator import add, and_
 
@@ -110,15 +110,29 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float | None = None) -> li
     however many there are. Hashes only say where to look: they depend on the
     columns' types, and different keys may share one.
     """
+    return hot_keys_of({"": (df, on)}, share)[""]
+
+
+def hot_keys_of(
+    frames: Mapping[str, tuple[DataFrame, Sequence[str]]], share: float | None = None
+) -> dict[str, list[int]]:
+    """``hot_keys`` of several frames and key columns by one job."""
+    if not frames:
+        return {}
+    spark = next(iter(frames.values()))[0].sparkSession
     if share is None:
-        share = 1 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = 1 / int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = int(1 / share) + 1
-    keys = df.filter(_present(on)).select(F.xxhash64(*on).alias("h"))
-    found = keys.agg(
+    keys = union_states([
+        df.filter(_present(on)).select(F.lit(name).alias("name"), F.xxhash64(*on).alias("h"))
+        for name, (df, on) in frames.items()
+    ])
+    found = keys.groupBy("name").agg(
         F.expr(f"approx_top_k(h, {k}, {max(20_000, 4 * k)})").alias("top"),
         F.count(F.lit(1)).alias("n"),
-    ).first()
-    return [t["item"] for t in found["top"] or [] if t["count"] > share * found["n"]]
+    ).collect()  # one row for each frame
+    hot = {r["name"]: [t["item"] for t in r["top"] or [] if t["count"] > share * r["n"]] for r in found}
+    return {name: hot.get(name, []) for name in frames}
 
 
 def join_facts(
@@ -127,8 +141,9 @@ def join_facts(
     on: Sequence[str],
     share: float | None = None,
     max_rows: int = BROADCAST_ROWS,
-    probe: tuple[DataFrame, Sequence[str]] | None = None,
+    probe: tuple[DataFrame, Sequence[str]] | bool | None = None,
     sparse: bool = False,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left join of two large frames that keeps hot keys out of single tasks.
 
@@ -142,17 +157,22 @@ def join_facts(
       over the partitions instead of meeting in one.
 
     ``probe`` names a stored table and columns without whose hot values the
-    right side cannot have a hot key. With it, derived sides are computed once
-    into the shared folder, and only when the probe finds something.
+    right side cannot have a hot key, or says whether it has any. With it, derived
+    sides are computed once into the shared folder, and only when the probe finds
+    something. ``hot`` are the hot keys of the right side where they are known
+    (``hot_keys_of``); with it, or with ``probe=False``, building the join runs no job
+    unless there is a hot key.
     """
     on = list(on)
     kinds = {c: left.schema[c].dataType for c in on}
+    same_types = all(left.schema[c].dataType == right.schema[c].dataType for c in on)
     left, right = _common_keys(left, right.filter(_present(on)), on)
     if probe is not None:
-        if not hot_keys(*probe, share):
+        if not (hot_keys(*probe, share) if isinstance(probe, tuple) else probe):
             return _typed(_left_join(left, right, on, sparse), kinds)
         left, right = settle(left), settle(right)
-    found = hot_keys(right, on, share)
+    # hashes are of one type only
+    found = list(hot) if hot is not None and same_types else hot_keys(right, on, share)
     if not found:
         return _typed(_left_join(left, right, on, sparse), kinds)
     # the keys themselves, as they occur on the right: hashes alone never decide
