@@ -273,22 +273,24 @@ def dashboard_tables(
     top_places: int = 12,
     top_categories: int = 8,
 ) -> dict[str, DataFrame]:
-    """The figures shown for a chosen year, category and metric."""
-    return {
-        "total_incidents": total_incidents(marts["yearly_trends"]),
-        "peak_year": peak_year(marts["yearly_trends"]),
-        "selected_year": select_year(marts["yearly_trends"], year, "Year"),
-        "years": years_on_offer(marts["monthly_trends"]),
-        "months": month_series(marts["monthly_trends"], year),
-        "offenses": top_n(marts["top_offense_names"], "count", top_offenses, ["Offense Name"]),
-        "locations": top_n(marts["top_locations"], "count", top_places, ["Location Name"]),
-        "weapons": weapon_percent(marts["weapon_usage"]),
-        "race": select_category(marts["victim_race_by_offense"], category, "Offense Category"),
-        "sex": keep_top_groups(
-            marts["victim_sex_by_offense"], "Offense Category", top_categories, weight="count"
+    """The figures shown for a chosen year, category and metric, of the marts at hand."""
+    tables = {
+        "total_incidents": ("yearly_trends", total_incidents),
+        "peak_year": ("yearly_trends", peak_year),
+        "selected_year": ("yearly_trends", lambda m: select_year(m, year, "Year")),
+        "years": ("monthly_trends", years_on_offer),
+        "months": ("monthly_trends", lambda m: month_series(m, year)),
+        "offenses": ("top_offense_names", lambda m: top_n(m, "count", top_offenses, ["Offense Name"])),
+        "locations": ("top_locations", lambda m: top_n(m, "count", top_places, ["Location Name"])),
+        "weapons": ("weapon_usage", weapon_percent),
+        "race": ("victim_race_by_offense", lambda m: select_category(m, category, "Offense Category")),
+        "sex": (
+            "victim_sex_by_offense",
+            lambda m: keep_top_groups(m, "Offense Category", top_categories, weight="count"),
         ),
-        "states": sort_by_metric(marts["state_crime_rates"], metric, ["State"]),
+        "states": ("state_crime_rates", lambda m: sort_by_metric(m, metric, ["State"])),
     }
+    return {name: make(marts[mart]) for name, (mart, make) in tables.items() if mart in marts}
 
 
 def map_tables(
