@@ -4,9 +4,9 @@ Each document is its set of distinct word n-grams. One order of all n-grams puts
 documents share last. Two sets that reach the similarity share an n-gram among the first
 ``n - ceil(t n) + 1`` of both (their prefixes). Steps:
 
-1. *Order*: tasks count n-grams and report those seen several times; the most frequent
-   ``FREQUENT`` of all go last, by count, the others come first, by hash. Any order gives the same
-   links; this one keeps groups small.
+1. *Order*: tasks count n-grams, ``COUNTED`` at a time, and report those seen several times; the
+   most frequent ``FREQUENT`` of all go last, by count, the others come first, by hash. Any order
+   gives the same links; this one keeps groups small.
 2. *Signatures*: size, key of the whole set, prefix, and a parity bitmap of the set. Equal sets
    are one node from here on; sets with equal size and prefix are one group.
 3. *Group pairs*: groups meet under each prefix n-gram that at least two groups hold. A pair is
@@ -45,11 +45,13 @@ from .components import components
 WORDS = 5
 NUM, DEN = 3, 4  # similarity of 0.75
 FREQUENT = 65_536
-SEEN = 4  # times a task must see an n-gram to report it
+SEEN = 4  # times an n-gram must be seen among COUNTED to be reported
+COUNTED = 1_500_000
 BITS = 512  # of a bitmap at least
 MEMBERS = 256  # sets in one row of a group
 UNIT = 2048  # groups that meet under one n-gram in one unit
 BROADCAST_IDS = 1_000_000
+TOKEN = 6  # bytes of an n-gram in a prefix; a chance meeting of two is found out by the bounds
 SIGNATURE = "doc_id long, n long, node binary, gid long, bits binary, prefix binary"
 
 
@@ -82,6 +84,17 @@ def _batch_sets(column: pa.Array, words: int) -> Iterator[tuple[int, int, np.nda
             yield low, high, *text_sets(data[cut[0] : cut[-1]], cut - cut[0], words)
 
 
+def _packed(tokens: np.ndarray) -> bytes:
+    return np.ascontiguousarray(tokens.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :TOKEN].tobytes()
+
+
+def _unpacked(raw: bytes, n: int = -1, at: int = 0) -> np.ndarray:
+    part = np.frombuffer(raw, np.uint8, n * TOKEN if n >= 0 else -1, at).reshape(-1, TOKEN)
+    out = np.zeros((len(part), 8), np.uint8)
+    out[:, :TOKEN] = part
+    return out.view("<u8").ravel()
+
+
 # -- 1. order ---------------------------------------------------------------------------------
 
 
@@ -98,7 +111,7 @@ def _count(words: int):
             for _, _, sets, _ in _batch_sets(batch.column(0), words):
                 held.append(sets)
                 size += len(sets)
-                if size > 4_000_000:
+                if size > COUNTED:
                     yield report()
                     held, size = [], 0
         if held:
@@ -130,7 +143,7 @@ def _bitmaps(sets: np.ndarray, row: np.ndarray, n: np.ndarray) -> list[bytes]:
 def _signatures(words: int, frequent: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(frequent)
-        known, place = frequent[order], order.astype(np.uint64) + np.uint64(1 << 63)
+        known, place = frequent[order], (order.astype(np.uint64) << np.uint64(16)) + np.uint64(1 << 63)
         maybe = np.zeros(1 << 20, bool)
         maybe[(known >> np.uint64(43)).astype(np.int64)] = True
         for batch in batches:
@@ -151,8 +164,8 @@ def _signatures(words: int, frequent: np.ndarray):
                 take = n - (-(-NUM * n // DEN)) + (n > 0)
                 prefixes, gids = [], []
                 for r in range(high - low):
-                    prefix = np.sort(key[first[r] : first[r + 1]])[: take[r]]
-                    prefixes.append(prefix.tobytes())
+                    prefix = np.sort(key[first[r] : first[r + 1]])[: take[r]] >> np.uint64(16)
+                    prefixes.append(_packed(prefix))
                     gids.append(int(mix(np.array([np.sum(mix(prefix ^ np.uint64(n[r])))]))[0].view(np.int64)) if n[r] else 0)
                 nodes = np.stack(sums, 1).astype("<u8").tobytes()
                 yield pa.RecordBatch.from_arrays([
@@ -177,8 +190,8 @@ def _deal(parts: int):
             fresh = [i for i, g in enumerate(gid) if g not in seen and not seen.add(g)]
             if not fresh:
                 continue
-            token = np.frombuffer(b"".join([prefix[i] for i in fresh]), np.uint64)
-            n = np.array([len(prefix[i]) // 8 for i in fresh])
+            token = _unpacked(b"".join([prefix[i] for i in fresh]))
+            n = np.array([len(prefix[i]) // TOKEN for i in fresh])
             owner = np.repeat(np.array([gid[i] for i in fresh], np.int64), n)
             part = (mix(token) % np.uint64(parts)).astype(np.int64)
             order = np.lexsort((owner, part))
@@ -188,7 +201,7 @@ def _deal(parts: int):
             packed = []
             for _, a, b in rows:
                 names, counts = np.unique(owner[a:b], return_counts=True)
-                packed.append(np.uint64(len(names)).tobytes() + names.tobytes() + counts.astype("<u4").tobytes() + token[a:b].tobytes())
+                packed.append(np.uint64(len(names)).tobytes() + names.tobytes() + counts.astype("<u4").tobytes() + _packed(token[a:b]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p for p, _, _ in rows], pa.int32()), pa.array(packed, pa.binary())], ["part", "packed"],
             )
@@ -204,7 +217,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             k = int(np.frombuffer(raw, np.uint64, 1)[0])
             counts = np.frombuffer(raw, "<u4", k, 8 + 8 * k)
             owners.append(np.repeat(np.frombuffer(raw, np.int64, k, 8), counts))
-            tokens.append(np.frombuffer(raw, np.uint64, int(counts.sum()), 8 + 12 * k))
+            tokens.append(_unpacked(raw, int(counts.sum()), 8 + 12 * k))
     if not tokens:
         return
     token, owner = np.concatenate(tokens), np.concatenate(owners)
