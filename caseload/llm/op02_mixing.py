@@ -35,7 +35,7 @@ GOLDEN = 1327217885  # POINTS / 1.618..., odd
 CELLS = 4096  # cells of the unit interval that slots and sources meet in
 BROADCAST_ROWS = 1_000_000
 CHUNK = 1 << 14  # slots that are ranked in one window
-RANGE_ROWS = 20_000  # documents of a source whose running total is taken in one window
+RANGE_ROWS = 2_000  # documents of a source whose running total is taken in one window
 
 
 def sizes(docs: DataFrame) -> DataFrame:
