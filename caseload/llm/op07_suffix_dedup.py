@@ -41,11 +41,10 @@ from .common import blocks, land, mix, partitions, powers, random_table, ship, t
 
 WIDTH = 100
 LEVELS = (32, 80, 100)  # K of each level; the last is the width
-PIECE = 1 << 20  # bytes of a long text hashed at once
+PIECE = 1 << 18  # bytes hashed at once
 SAMPLE_ONE_IN = 50  # rows that are sampled for splitters
 SAMPLE_KEYS = 200  # sampled keys for each bucket, at most
 BROADCAST_IDS = 1_000_000
-LONGEST = 65_535  # suffixes of one record
 KEY = "v long, h long, d long, t int, pos long"
 RECORDS = f"kind int, {KEY}, n long"
 REMOVED, OPEN, EDGE = 0, 1, 2
@@ -54,21 +53,23 @@ REMOVED, OPEN, EDGE = 0, 1, 2
 # -- records ----------------------------------------------------------------------------------
 
 
-def pieces(offsets: np.ndarray, base: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, begin, end, base) of pieces of ``PIECE`` suffixes at most; neighbours overlap, so
-    that each suffix of a row lies whole in one piece. Rows shorter than the width have none."""
-    row, begin = [], []
-    for r in np.flatnonzero(np.diff(offsets) >= width).tolist():
-        starts = range(int(offsets[r]), int(offsets[r + 1]) - width + 1, PIECE)
-        begin += starts
-        row += [r] * len(starts)
-    row, begin = np.array(row, np.int64), np.array(begin, np.int64)
-    return row, begin, np.minimum(begin + PIECE + width - 1, offsets[row + 1]), base[row] + begin - offsets[row]
+def pieces(offsets: np.ndarray, width: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first row, row behind the last, begin, end) of stretches of about ``PIECE`` bytes: whole
+    rows, or a part of a longer one. Parts overlap, so each suffix lies whole in one of them."""
+    for low, high in blocks(offsets, PIECE, 1 << 30):
+        begin, end = int(offsets[low]), int(offsets[high])
+        if high - low > 1 or end - begin <= PIECE:
+            yield low, high, begin, end
+        else:
+            for at in range(begin, max(begin + 1, end - width + 1), PIECE):
+                yield low, high, at, min(at + PIECE + width - 1, end)
 
 
-def runs(data: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(leading token, hash of the bytes, first suffix, suffixes) of the runs of one piece."""
+def runs(data: np.ndarray, offsets: np.ndarray, width: int, k: int) -> tuple[np.ndarray, ...] | None:
+    """(leading token, hash of the bytes, first suffix, suffixes) of the runs of some rows."""
     n = len(data)
+    if n < width:
+        return None
     up, down = powers(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(random_table(5)[data] * up[:n], out=sums[1:])
@@ -78,12 +79,19 @@ def runs(data: np.ndarray, width: int, k: int) -> tuple[np.ndarray, np.ndarray,
         least, size = np.minimum(least[:-size], least[size:]), size * 2
     if size < w:
         least = np.minimum(least[: len(least) - (w - size)], least[w - size :])
-    new = np.ones(len(least), bool)
-    # a run also ends where its least K-gram is left behind, so no suffix occurs twice in it
-    new[1:] = (least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1])
-    new[::LONGEST] = True
-    first = np.flatnonzero(new)
-    stop = np.append(first[1:], len(least))
+    total = len(least)
+    # suffixes that would reach into the next row are none
+    crossing = np.zeros(total + 1, np.int64)
+    np.add.at(crossing, np.minimum(np.maximum(offsets[:-1], offsets[1:] - width + 1), total), 1)
+    np.add.at(crossing, np.minimum(offsets[1:], total), -1)
+    real = np.cumsum(crossing[:-1]) == 0
+    new = np.ones(total, bool)
+    # a run ends where its least K-gram changes or is left behind, so no suffix occurs twice in it
+    new[1:] = (least[1:] != least[:-1]) | (grams[: total - 1] == least[:-1])
+    new[offsets[:-1][offsets[:-1] < total]] = True
+    first = np.flatnonzero(new & real)
+    ends = np.append(np.flatnonzero(new | ~real), total)
+    stop = ends[np.searchsorted(ends, first, "right")]
     return least[first], mix((sums[stop + width - 1] - sums[first]) * down[first]), first, stop - first
 
 
@@ -93,9 +101,13 @@ def _records(batch: pa.RecordBatch, width: int, k: int) -> tuple[np.ndarray, ...
     base = batch.column(2).to_numpy()
     out = []
     with np.errstate(over="ignore"):
-        for row, begin, end, at in zip(*pieces(offsets, base, width)):
-            v, h, first, n = runs(data[begin:end], width, k)
-            out.append((v, h, np.full(len(v), row), first + at, n))
+        for low, high, begin, end in pieces(offsets, width):
+            cut = np.clip(offsets[low : high + 1] - begin, 0, end - begin)
+            if (got := runs(data[begin:end], cut, width, k)) is None:
+                continue
+            v, h, first, n = got
+            row = low + np.searchsorted(cut, first, "right") - 1
+            out.append((v, h, row, base[row] + first + begin - offsets[row], n))
     return tuple(map(np.concatenate, zip(*out))) if out else None
 
 
@@ -252,11 +264,13 @@ def sort_level(texts: DataFrame, width: int, k: int) -> tuple[DataFrame, DataFra
     edges = sorted_.filter(F.col("kind") == EDGE)
     place = F.struct("d", "t", "pos")
     firsts = edges.groupBy("v", "h").agg(F.min(F.struct("d", "t", "pos", "n")).alias("first"))
+    firsts = land(firsts, "suffix-firsts")
     late = edges.join(firsts, ["v", "h"]).filter(place > F.struct("first.d", "first.t", "first.pos"))
     several = firsts.groupBy("v").agg(F.count(F.lit(1)).alias("_runs")).filter("_runs > 1")
     open_edges = firsts.join(several, "v", "left_semi").select("first.*")
-    removed = sorted_.filter(F.col("kind") == REMOVED).select(*run).unionByName(late.select(*run))
-    return removed, sorted_.filter(F.col("kind") == OPEN).select(*run).unionByName(open_edges.select(*run))
+    removed = sorted_.filter(F.col("kind") == REMOVED).select(*run).unionByName(land(late.select(*run), "suffix-late"))
+    open_ = sorted_.filter(F.col("kind") == OPEN).select(*run).unionByName(land(open_edges.select(*run), "suffix-open"))
+    return removed, open_
 
 
 # -- texts and runs together ------------------------------------------------------------------
@@ -369,8 +383,8 @@ def _result(width: int):
 
 def dedup_passages(docs: DataFrame, width: int = WIDTH, levels: tuple[int, ...] = LEVELS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of (doc_id, text)."""
-    if levels[-1] != width:
-        raise ValueError("the last level must be the width")
+    if levels[-1] != width or width > 65_535:
+        raise ValueError("the last level must be the width, of 65,535 bytes at most")
     ship(docs.sparkSession)
     no_id = -(1 << 63)
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")

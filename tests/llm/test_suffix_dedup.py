@@ -55,7 +55,6 @@ def test_equals_brute_force(spark, docs_of, seed, one_in, monkeypatch):
 
 def test_words_at_full_width_and_small_pieces(spark, docs_of, monkeypatch):
     monkeypatch.setattr(op, "PIECE", 700)
-    monkeypatch.setattr(op, "LONGEST", 40)
     monkeypatch.setattr(op, "BROADCAST_IDS", 0)
     rng = random.Random(5)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(300)]
