@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
@@ -19,7 +20,8 @@ from ..session import fresh_path
 
 ROWS = 512  # rows of a block of texts at most
 BLOCK = 1 << 21  # bytes of text of a block, if it has more than one row
-PIECE = 1 << 20  # bytes hashed at once
+PIECE = 1 << 18  # bytes hashed at once
+BATCH = 16 << 20
 _shipped: set[str] = set()
 
 
@@ -28,10 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once a session, as --py-files would."""
+    """Send this package to the executors once a session, as --py-files would, and keep batches
+    of long texts small (``BATCH`` bytes) on their way to Python."""
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
     root = Path(__file__).resolve().parents[2]
     path = os.path.join(tempfile.mkdtemp(prefix="caseload-"), "caseload.zip")
     with zipfile.ZipFile(path, "w") as out:
@@ -55,6 +59,28 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _trim() -> None:
+    """Give freed memory back: worker processes live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def in_arrow(df: DataFrame, fn: Callable[[Iterator], Iterator], schema) -> DataFrame:
+    """``df.mapInArrow`` that keeps the worker small between batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for n, batch in enumerate(fn(batches), 1):
+            yield batch
+            if n % 8 == 0:
+                _trim()
+        _trim()
+
+    return df.mapInArrow(run, schema)
+
+
 # -- texts as bytes ---------------------------------------------------------------------------
 
 
@@ -101,7 +127,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE ** i and its inverse for i up to n at least; sizes are rounded up to be reused."""
-    return _powers(1 << max(20, int(n).bit_length()))
+    return _powers(1 << max(18, int(n).bit_length()))
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from .common import blocks, ship, texts_of
+from .common import blocks, in_arrow, ship, texts_of
 
 TRAIN_ROWS = 8_000  # labelled rows a classifier is fitted on, about; chosen by hash of the id
 STEPS = 1_000_000
@@ -89,7 +89,7 @@ def fit(rows: DataFrame, learn: Callable[[list[np.ndarray], np.ndarray, list[str
         yield pa.RecordBatch.from_pydict({"model": pa.array([packed], pa.binary())})
 
     ship(rows.sparkSession)
-    made = rows.repartition(1).mapInArrow(run, "model binary").collect()
+    made = rows.repartition(1).transform(in_arrow, run, "model binary").collect()
     return made[0].model if made else learn([], np.zeros(0, np.int64), [])
 
 
@@ -116,7 +116,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """(doc_id, held_out, score) of every row; ``scorer`` sees the bytes of texts alone."""
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scored = texts.mapInArrow(_scored(scorer, "doc_id"), "doc_id long, score double")
+    scored = texts.transform(in_arrow, _scored(scorer, "doc_id"), "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score")
 
 
@@ -125,7 +125,7 @@ def below(docs: DataFrame, scorer: Scorer, threshold: float) -> DataFrame:
     ship(docs.sparkSession)
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["text"].cast("string").alias("text"))
     schema = T.StructType([packed.schema["row"], T.StructField("score", T.DoubleType())])
-    return packed.mapInArrow(_scored(scorer, "row"), schema).filter(F.col("score") < threshold).select("row.*")
+    return packed.transform(in_arrow, _scored(scorer, "row"), schema).filter(F.col("score") < threshold).select("row.*")
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

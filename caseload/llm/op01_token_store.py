@@ -31,7 +31,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import fresh_path
-from .common import mix, partitions, ship
+from .common import in_arrow, mix, partitions, ship
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -350,7 +350,7 @@ def write_tokens(
         .repartitionByRange(partitions(spark), "doc_id", F.xxhash64("text"))
         .sortWithinPartitions("doc_id", "text")
     )
-    shards = ordered.mapInArrow(
+    shards = ordered.transform(in_arrow, 
         _write_shard(path, vocabulary, id_type(vocabulary), end_id),
         "shard long, name string, docs long, tokens long, low long, high long",
     ).collect()  # one row for each shard
@@ -409,4 +409,4 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     store = TokenStore(path)
     shards = [(s["name"], s["start"]) for s in store.manifest["shards"]]
     listed = spark.createDataFrame(shards, "name string, start long")
-    return listed.repartition(max(1, min(len(shards), partitions(spark)))).mapInArrow(_read_shard(path), READ)
+    return listed.repartition(max(1, min(len(shards), partitions(spark)))).transform(in_arrow, _read_shard(path), READ)

@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import partitions, ship
+from .common import in_arrow, partitions, ship
 
 SEGMENTS = (
     "conv_id long, turn_no long, segment_no long, kind string, text string, loss boolean, allowed boolean"
@@ -139,7 +139,7 @@ def format_chats(chats: DataFrame, template: Template | None = None) -> DataFram
         F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
     )
     ordered = rows.repartition(partitions(chats.sparkSession), "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return ordered.select("conv_id", "role", "text").mapInArrow(_format(template or Template()), SEGMENTS)
+    return ordered.select("conv_id", "role", "text").transform(in_arrow, _format(template or Template()), SEGMENTS)
 
 
 class _Digest:
@@ -193,4 +193,4 @@ def read_chats(segments: DataFrame, template: Template | None = None) -> DataFra
     """One row for each conversation, from the segments as ``format_chats`` gives them (each
     conversation in one partition, in order)."""
     ship(segments.sparkSession)
-    return segments.mapInArrow(_read(template or Template()), TURNS)
+    return segments.transform(in_arrow, _read(template or Template()), TURNS)

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import ship
+from .common import in_arrow, ship
 
 K = 20
 SCALE = 64
@@ -129,7 +129,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         return (
             df.select(F.pmod(key, F.lit(parts)).alias("no"), "vec_id", "embedding")
             .repartition(parts, "no").sortWithinPartitions("no", F.size("embedding"), "vec_id")
-            .mapInArrow(lambda batches: _pack(batches, limit), PACKED)
+            .transform(in_arrow, lambda batches: _pack(batches, limit), PACKED)
         )
 
     candidates, asked = taking_part(vectors), taking_part(queries).distinct()
@@ -144,7 +144,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
         F.col("c.no").alias("shard"), "q.block", F.col("q.dim"), F.col("q.n").alias("qn"), F.col("q.ids").alias("qids"),
         F.col("q.vectors").alias("qv"), F.col("c.n").alias("cn"), F.col("c.ids").alias("cids"), F.col("c.vectors").alias("cv"),
     )
-    hits = tiles.repartition(max(1, -(-n // SHARD_ROWS) * -(-m // QUERY_ROWS)), "shard", "block").mapInArrow(_tiles(k), HITS)
+    hits = tiles.repartition(max(1, -(-n // SHARD_ROWS) * -(-m // QUERY_ROWS)), "shard", "block").transform(in_arrow, _tiles(k), HITS)
     left, best = max(1, -(-n // SHARD_ROWS)), (F.desc("score"), "vec_id")
     while True:
         window = Window.partitionBy("query_id", "query_no", "shard").orderBy(*best)

@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .common import BASE, Words, blocks, byte_values, mix, row_of, separators, ship, texts_of, words_of
+from .common import BASE, Words, blocks, byte_values, in_arrow, mix, row_of, separators, ship, texts_of, words_of
 
 BUDGET = 0.2
 MIN_WORDS = 5
@@ -206,7 +206,7 @@ def match_block(docs: DataFrame, rows: list[tuple]) -> DataFrame:
                     hits += items.matches(data[cut[0] : cut[-1]], cut - cut[0])
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(hits, kind)], ["row", "hits"])
 
-    return packed.mapInArrow(run, schema)
+    return packed.transform(in_arrow, run, schema)
 
 
 def find_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import BASE, Words, blocks, byte_values, mix, row_of, separators, ship, texts_of, words_of
+from .common import BASE, Words, blocks, byte_values, in_arrow, mix, row_of, separators, ship, texts_of, words_of
 from .learning import held_out
 
 TRAIN_ROWS = 6_000
@@ -250,7 +250,7 @@ def fit_language(docs: DataFrame, rows: int = TRAIN_ROWS) -> bytes:
         seen.sort()
         yield pa.RecordBatch.from_pydict({"model": pa.array([learn([s[1] for s in seen], [s[2] for s in seen])], pa.binary())})
 
-    made = chosen.select("_key", "lang", "text").repartition(1).mapInArrow(run, "model binary").collect()
+    made = chosen.select("_key", "lang", "text").repartition(1).transform(in_arrow, run, "model binary").collect()
     return made[0].model if made else pickle.dumps(None)
 
 
@@ -273,5 +273,5 @@ def label_languages(docs: DataFrame, packed: bytes) -> DataFrame:
 
     ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    labelled = texts.mapInArrow(run, SCHEMA)
+    labelled = texts.transform(in_arrow, run, SCHEMA)
     return labelled.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "spans")

@@ -37,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import blocks, land, mix, partitions, powers, random_table, ship, texts_of
+from .common import blocks, in_arrow, land, mix, partitions, powers, random_table, ship, texts_of
 
 WIDTH = 100
 LEVELS = (32, 80, 100)  # K of each level; the last is the width
@@ -130,7 +130,7 @@ def _sampled(width: int, k: int, one_in: int):
 def splitters(texts: DataFrame, width: int, k: int, parts: int) -> list[tuple]:
     """Keys that cut the records into ``parts`` buckets of about equal size. A bounded sample."""
     chosen = texts.filter(F.pmod(F.xxhash64("d", "t", "base"), F.lit(SAMPLE_ONE_IN)) == 0)
-    keys = chosen.mapInArrow(_sampled(width, k, 1), KEY)
+    keys = chosen.transform(in_arrow, _sampled(width, k, 1), KEY)
     limit = SAMPLE_KEYS * parts
     # the order of v is that of unsigned numbers
     got = keys.orderBy(F.xxhash64("v", "pos", "d")).limit(limit).collect()
@@ -258,8 +258,8 @@ def sort_level(texts: DataFrame, width: int, k: int) -> tuple[DataFrame, DataFra
     """(removed, open) runs (d, t, pos, n) of ``texts`` (d, t, base, raw)."""
     parts = partitions(texts.sparkSession)
     cuts = splitters(texts, width, k, parts)
-    dealt = texts.mapInArrow(_deal(width, k, cuts), "part int, packed binary").repartitionById(parts, "part")
-    sorted_ = land(dealt.mapInArrow(_sort_bucket, RECORDS), "suffix-runs")
+    dealt = texts.transform(in_arrow, _deal(width, k, cuts), "part int, packed binary").repartitionById(parts, "part")
+    sorted_ = land(dealt.transform(in_arrow, _sort_bucket, RECORDS), "suffix-runs")
     run = ["d", "t", "pos", "n"]
     edges = sorted_.filter(F.col("kind") == EDGE)
     place = F.struct("d", "t", "pos")
@@ -287,7 +287,7 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _beside(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Runs of each document, then its (compressed) text, in one partition, in order."""
-    packed = texts.select("d", "t", "raw").mapInArrow(_squeeze, "d long, t int, raw binary")
+    packed = texts.select("d", "t", "raw").transform(in_arrow, _squeeze, "d long, t int, raw binary")
     null = F.lit(None)
     both = found.select("d", "t", "pos", "n", null.cast("binary").alias("raw")).unionByName(
         packed.select("d", "t", null.cast("long").alias("pos"), null.cast("long").alias("n"), "raw")
@@ -350,7 +350,7 @@ def segments(texts: DataFrame, open_: DataFrame, width: int) -> DataFrame:
     ids = land(open_.select("d").distinct(), "suffix-ids")
     if ids.count() <= BROADCAST_IDS:
         texts = texts.join(F.broadcast(ids), "d", "left_semi")
-    return land(_beside(texts, open_).mapInArrow(_cut(width), "d long, t int, base long, raw binary"), "suffix-segments")
+    return land(_beside(texts, open_).transform(in_arrow, _cut(width), "d long, t int, base long, raw binary"), "suffix-segments")
 
 
 def _result(width: int):
@@ -398,7 +398,7 @@ def dedup_passages(docs: DataFrame, width: int = WIDTH, levels: tuple[int, ...]
         if k == width:
             break
         source = segments(texts, open_, width) if source is texts else _narrow(source, open_, width)
-    done = _beside(texts, gone).mapInArrow(_result(width), "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    done = _beside(texts, gone).transform(in_arrow, _result(width), "d long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     doc_id = F.when(F.col("d") != no_id, F.col("d")).alias("doc_id")
     return done.select(doc_id, "n_bytes", "n_removed", "n_spans", "kept_sha256")
 

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import common
-from .common import blocks, byte_values, grams, land, mix, partitions, row_of, separators, ship, texts_of, words_of
+from .common import blocks, byte_values, grams, in_arrow, land, mix, partitions, row_of, separators, ship, texts_of, words_of
 from .components import components
 
 WORDS = 5
@@ -122,7 +122,7 @@ def _count(words: int):
 
 def frequent_grams(texts: DataFrame, words: int = WORDS) -> np.ndarray:
     """The most frequent n-grams, ascending by count: at most ``FREQUENT`` numbers."""
-    counted = texts.mapInArrow(_count(words), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = texts.transform(in_arrow, _count(words), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     top = counted.orderBy(F.desc("n"), "gram").limit(FREQUENT).collect()
     return np.array([r.gram for r in reversed(top)], np.uint64)
 
@@ -347,7 +347,7 @@ def _kept_pairs(shared: DataFrame, members: DataFrame, parts: int, labelled: boo
         .join(grouped, "gid").select("token", "p", "q", "n", "members")
     )
     units = met.unionByName(alone).repartition(parts, "token", "p", "q").sortWithinPartitions("token", "p", "q")
-    return units.mapInArrow(_pairs(labelled), "a binary, b binary").distinct()
+    return units.transform(in_arrow, _pairs(labelled), "a binary, b binary").distinct()
 
 
 # -- 4. verify --------------------------------------------------------------------------------
@@ -385,11 +385,11 @@ def _verified(docs: DataFrame, pairs: DataFrame, owners: DataFrame, words: int,
     few = ids.count() <= BROADCAST_IDS
     picked = ids.select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.join(F.broadcast(picked) if few else picked, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    grams_of = texts.select("doc_id", "text").mapInArrow(_sets(words), "node binary, grams binary")
+    grams_of = texts.select("doc_id", "text").transform(in_arrow, _sets(words), "node binary, grams binary")
     sets = land(grams_of.join(F.broadcast(wanted) if few else wanted, "node", "left_semi"), "jaccard-sets").dropDuplicates(["node"])
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
     full = left.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
-    return land(full.select("a", "b", "x", "y").mapInArrow(_verify, "a binary, b binary, linked boolean"), "jaccard-verified")
+    return land(full.select("a", "b", "x", "y").transform(in_arrow, _verify, "a binary, b binary, linked boolean"), "jaccard-verified")
 
 
 # -- 5. all -----------------------------------------------------------------------------------
@@ -402,10 +402,10 @@ def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     parts = partitions(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = frequent_grams(docs.select("text"), words)
-    signatures = land(docs.mapInArrow(_signatures(words, frequent), SIGNATURE), "jaccard-signatures")
+    signatures = land(docs.transform(in_arrow, _signatures(words, frequent), SIGNATURE), "jaccard-signatures")
     filled = signatures.filter("n > 0")
-    dealt = filled.select("gid", "prefix").mapInArrow(_deal(parts), "part int, packed binary")
-    shared = land(dealt.repartitionById(parts, "part").mapInArrow(_shared, "token long, gid long, groups long"), "jaccard-shared")
+    dealt = filled.select("gid", "prefix").transform(in_arrow, _deal(parts), "part int, packed binary")
+    shared = land(dealt.repartitionById(parts, "part").transform(in_arrow, _shared, "token long, gid long, groups long"), "jaccard-shared")
     nodes = land(
         filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("gid").alias("gid"), F.max("n").alias("n"), F.max("bits").alias("bits")),
         "jaccard-nodes",
@@ -458,7 +458,7 @@ def keep_representatives(docs: DataFrame, words: int = WORDS) -> DataFrame:
         F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"),
     )
     schema = T.StructType([packed.schema["row"], T.StructField("n", T.LongType()), T.StructField("node", T.BinaryType())])
-    keyed = packed.mapInArrow(_keyed(words), schema)
+    keyed = packed.transform(in_arrow, _keyed(words), schema)
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("_lost.doc_id")) & (F.col("node") == F.col("_lost.node"))
     left = keyed.filter("n > 0").join(lost.select(F.struct("doc_id", "node").alias("_lost")), same, "left_anti")
     once = left.withColumn("_id", F.col("row.doc_id")).dropDuplicates(["_id", "node"])
