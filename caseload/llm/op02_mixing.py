@@ -8,8 +8,10 @@ the block it takes. ``mix_words`` lays each source's documents end to end in a s
 cuts that stream into blocks of equal size, joins slots to blocks and sums what each document
 gives.
 
-The golden-ratio sequence is kept in integers modulo 2 ** 31, so reruns and other engines agree to
-the last bit. Running totals go in two steps (chunks of slots, ranges of the shuffled order whose
+The golden-ratio sequence is kept in integers, so reruns and other engines agree to the last bit:
+multiples of a Fibonacci number modulo the next one, whose ratio has only ones in its continued
+fraction, so that no number of slots leaves a wide gap. ``ROUNDED`` is the ratio rounded to 31 bits,
+which clumps between about 0.5 and 30 million slots; only the query with SQL asks for it. Running totals go in two steps (chunks of slots, ranges of the shuffled order whose
 number follows the source's rows), so a source with a third of all rows is spread over many tasks;
 windows without a chunk see one row for each source.
 
@@ -30,8 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 EPOCHS = 3
 BLOCK_WORDS = 32
-POINTS = 1 << 31
-GOLDEN = 1327217885  # POINTS / 1.618..., odd
+FIBONACCI = (2971215073, 1836311903)  # points and step, F(47) and F(46); their product is below 2 ** 63
+ROUNDED = (1 << 31, 1327217885)  # the points of MIX_SQL
 CELLS = 4096  # cells of the unit interval that slots and sources meet in
 BROADCAST_ROWS = 1_000_000
 CHUNK = 1 << 14  # slots that are ranked in one window
@@ -74,12 +76,12 @@ def mix_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int
     return filled.withColumn("_open", rest).select("source", "rows", "source_size", "weight", target.alias("target"))
 
 
-def _bounds(targets: DataFrame) -> DataFrame:
+def _bounds(targets: DataFrame, points: int) -> DataFrame:
     """Each source's part [low, high) of the points."""
     order = Window.orderBy(F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, 0)
     whole = targets.withColumn("_target", F.floor("target"))
     ends = whole.withColumn("_end", F.sum("_target").over(order)).withColumn("_all", F.sum("_target").over(Window.partitionBy()))
-    place = lambda c: F.floor(c.cast("double") / F.greatest(F.col("_all"), F.lit(1)).cast("double") * float(POINTS))
+    place = lambda c: F.floor(c.cast("double") / F.greatest(F.col("_all"), F.lit(1)).cast("double") * float(points))
     return ends.select("source", place(F.col("_end") - F.col("_target")).alias("low"), place(F.col("_end")).alias("high"))
 
 
@@ -88,14 +90,17 @@ def _slot_count(targets: DataFrame, block_words: int) -> int:
     return int(got.n or 0)
 
 
-def mix_schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+def mix_schedule(
+    targets: DataFrame, block_words: int = BLOCK_WORDS, sequence: tuple[int, int] = FIBONACCI,
+) -> DataFrame:
     """(source, slot, rank): the source of each slot, and how many of its slots came before."""
+    points, step = sequence
     spark = targets.sparkSession
     slots = spark.range(_slot_count(targets, block_words)).select(
-        F.col("id").alias("slot"), (F.col("id") % POINTS * GOLDEN % POINTS).alias("_point"),
+        F.col("id").alias("slot"), (F.col("id") % points * step % points).alias("_point"),
     )
-    width = POINTS // CELLS
-    bounds = _bounds(targets).filter("high > low")
+    width = points // CELLS
+    bounds = _bounds(targets, points).filter("high > low")
     cells = F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width)))
     dealt = slots.withColumn("_cell", F.floor(F.col("_point") / width)).join(
         bounds.withColumn("_cell", cells), "_cell",
@@ -143,6 +148,7 @@ def _streams(sized: DataFrame, targets: DataFrame) -> DataFrame:
 
 def mix_words(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS, block_words: int = BLOCK_WORDS,
+    sequence: tuple[int, int] = FIBONACCI,
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
 
@@ -154,7 +160,7 @@ def mix_words(
     streams = _streams(sized, targets)
     per_source = targets.select("source", F.ceil(F.col("source_size") / block_words).alias("_blocks"))
     taken_blocks = (
-        mix_schedule(targets, block_words).alias("s")
+        mix_schedule(targets, block_words, sequence).alias("s")
         .join(per_source.alias("p"), F.col("s.source").eqNullSafe(F.col("p.source")))
         .filter(F.col("rank") < F.col("_blocks") * epochs)
         .groupBy(F.col("s.source").alias("_source"), (F.col("rank") % F.col("_blocks")).alias("_taken_block"))

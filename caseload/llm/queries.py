@@ -72,7 +72,7 @@ from placed
 
 @query("op2_mixing", MIX_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = op02_mixing.mix_words(table(spark, sf_dir, "documents"))
+    mixed = op02_mixing.mix_words(table(spark, sf_dir, "documents"), sequence=op02_mixing.ROUNDED)  # as in MIX_SQL
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

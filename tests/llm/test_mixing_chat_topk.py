@@ -71,6 +71,23 @@ def test_schedule_has_low_discrepancy(spark):
         assert abs(seen["a"] - 0.7 * i) < 4 and abs(seen["c"] - 0.1 * i) < 4
 
 
+def test_small_sources_get_slots_among_millions(spark):
+    """100 words of 300 million (9.4 million slots), at 60 places: three slots are due, one at least comes."""
+    rows = []
+    for k in range(60):
+        rows += [(f"{k:02}a", 9, 9, 1, 5e6 - 100), (f"{k:02}b", 9, 9, 1, 100.0)]
+    targets = spark.createDataFrame(rows, "source string, rows long, source_size long, weight long, target double")
+    slots = {r.source: r["count"] for r in mixing.mix_schedule(targets).filter("source like '%b'").groupBy("source").count().collect()}
+    assert {s for s, *_ in rows if s.endswith("b")} == set(slots)
+    assert all(1 <= n <= 6 for n in slots.values())
+
+
+def test_rounded_sequence_is_that_of_the_sql(spark):
+    from caseload.llm.queries import MIX_SQL
+
+    assert all(str(n) in MIX_SQL for n in mixing.ROUNDED)
+
+
 # -- chats
 
 TEXT = st.text(alphabet="\\#:</turn> \nab", max_size=25)
