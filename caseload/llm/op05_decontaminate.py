@@ -2,17 +2,18 @@
 
 A document is contaminated by a test item if some run of its words turns into the item with at
 most ``floor(BUDGET * words)`` word edits (insert, delete, change). Words are runs of letters and
-digits in lower case. With a budget of e, the item is cut into e + 1 pieces: e edits leave one of
+digits in lower case; where a script is written without spaces (``UNSPACED``), each character is a
+word. ASCII, full-width, CJK and general punctuation separates. With a budget of e, the item is cut into e + 1 pieces: e edits leave one of
 them untouched, so every match holds a piece exactly. Pieces are found by rolling hashes over all
 words of all documents; around each hit Myers' bit-parallel algorithm computes the distance, so a
-hash never decides.
+hash never decides. Items of one to four words have no budget: they match as they are, in one piece.
 
 Documents are read once for each block of test items and not shuffled. A block has ``ITEM_WORDS``
 words at most (or one item) and goes to the executors with the task; a larger benchmark takes more
 blocks, not more memory.
 
-Defined cases: a null or empty text matches nothing; items without text or of fewer than
-``MIN_WORDS`` words take no part, since they occur in any text; items that repeat word for word
+Defined cases: a null or empty text matches nothing; items without any word take no
+part; a short item is found in every text that holds it, however common its words are; items that repeat word for word
 are reported each; documents that repeat are matched each; null ids are kept as they are. Columns
 of the documents pass through untouched, whatever their names; empty tables give no rows.
 """
@@ -30,13 +31,25 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .common import BASE, Words, blocks, byte_values, in_arrow, mix, row_of, separators, ship, texts_of, words_of
 
 BUDGET = 0.2
-MIN_WORDS = 5
+MIN_WORDS = 1
 ITEM_WORDS = 500_000
+# of RE2: characters that are words of their own, and marks beside the ASCII ones
+UNSPACED = r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\x{3099}-\x{309C}\x{30FC}\x{FF70}]"
+MARKS = (
+    r"[\x{2000}-\x{200B}\x{2010}-\x{2029}\x{202F}-\x{205F}\x{3000}-\x{3004}\x{3008}-\x{3020}\x{3030}\x{303D}\x{30A0}\x{30FB}"
+    r"\x{FE10}-\x{FE1F}\x{FE30}-\x{FE6B}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}\x{FF3B}-\x{FF40}\x{FF5B}-\x{FF65}]"
+)
 HIT = "item_id long, distance int, words int, begin long, end long"
 
 
 def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    return texts_of(pc.utf8_lower(pc.fill_null(column, "")))
+    """Bytes and offsets of the texts in lower case, with spaces around unspaced characters."""
+    lower = pc.utf8_lower(pc.fill_null(column, ""))
+    data, offsets = texts_of(lower)
+    if not (data >= 0xE0).any():  # no character from U+0800 on
+        return data, offsets
+    spaced = pc.replace_substring_regex(pc.replace_substring_regex(lower, MARKS, " "), UNSPACED, r" \0 ")
+    return texts_of(spaced)
 
 
 def _words(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -118,7 +131,8 @@ class Items:
             hashes = np.array(sorted(by_hash), np.uint64)
             maybe = np.zeros(1 << 20, bool)
             maybe[(hashes >> np.uint64(44)).astype(np.int64)] = True
-            self.pieces[size] = (hashes, maybe, dict(by_hash))
+            once = np.array([all(self.budget[k] == 0 for k, _ in by_hash[h]) for h in hashes.tolist()])
+            self.pieces[size] = (hashes, maybe, dict(by_hash), once)
         self.longest = max(self.pieces, default=0)
 
     def hits(self, found: Words) -> dict[tuple[int, int], list[tuple[int, int]]]:
@@ -134,13 +148,18 @@ class Items:
             running = running[: total - size + 1] * np.uint64(BASE) + found.hash[size - 1 :]
             if size not in self.pieces:
                 continue
-            hashes, maybe, by_hash = self.pieces[size]
+            hashes, maybe, by_hash, once = self.pieces[size]
             gram = mix(running)
             at = np.flatnonzero(maybe[(gram >> np.uint64(44)).astype(np.int64)])
             at = at[at + size <= row_end[at]]
             place = np.minimum(np.searchsorted(hashes, gram[at]), len(hashes) - 1)
-            at = at[hashes[place] == gram[at]]
-            for p, r in zip(at.tolist(), row_of(found.first, at).tolist()):
+            same = hashes[place] == gram[at]
+            at, place = at[same], place[same]
+            row = row_of(found.first, at)
+            # of whole items without a budget the first place in a row will do
+            wanted = ~once[place]
+            wanted[np.unique(row * len(hashes) + place, return_index=True)[1]] = True
+            for p, r in zip(at[wanted].tolist(), row[wanted].tolist()):
                 for k, low in by_hash[int(gram[p])]:
                     e = self.budget[k]
                     begin = max(int(found.first[r]), p - low - e)
@@ -178,7 +197,9 @@ def _merged(windows: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
 def item_blocks(items: DataFrame, words: int = ITEM_WORDS) -> Iterator[list[tuple]]:
     """(item_id, text) in blocks of about ``words`` words; each is bounded, whatever the table."""
     texts = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).filter("text is not null")
-    total = texts.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
+    # a character of three bytes may be a word of its own
+    unspaced = F.floor((F.octet_length("text") - F.length("text")) / 2)
+    total = texts.agg(F.sum(F.size(F.split("text", r"\s+")) + unspaced)).first()[0] or 0
     parts = -(-total // words)
     for part in range(parts):
         chosen = texts.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)

@@ -85,3 +85,39 @@ def test_drop_keeps_columns_and_clean_rows(spark, docs_of):
     none = spark.createDataFrame([], "item_id long, text string")
     assert op.drop_contaminated(docs, none).count() == 5 and op.find_contamination(docs, none).count() == 0
     assert op.find_contamination(docs_of([]), items).count() == 0
+
+
+def test_short_items_are_found_as_they_are(spark, docs_of):
+    items = [(1, "Yes."), (2, "E=mc^2"), (3, "alpha beta"), (4, "one two three four"), (5, "?!"), (6, "beta gamma")]
+    docs = [
+        (1, "alpha yes, alpha beta yes"), (2, "as e = mc^2 says"), (3, "alpha x beta"), (4, "one two three four"), (5, "one two four three"), (6, "?! eyes"),
+        (7, "alpha beta gamma " * 3),
+    ]
+    # two pieces of a longer item are the short items' words
+    longer = [(7, "alpha beta gamma delta one")]
+    frame = spark.createDataFrame(items + longer, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance, r.begin, r.end) for r in op.find_contamination(docs_of(docs), frame).collect() if r.item_id != 7}
+    assert got == {(1, 1, 0, 1, 2), (1, 3, 0, 2, 4), (2, 2, 0, 1, 4), (4, 4, 0, 0, 4), (7, 3, 0, 0, 2), (7, 6, 0, 1, 3)}
+    assert {r.doc_id for r in op.drop_contaminated(docs_of(docs), frame).collect()} == {3, 5, 6}
+
+
+def characters(text):
+    unspaced = "\u3040-\u30ff\u3400-\u9fff\u0e01-\u0e5b"
+    return re.findall(f"[{unspaced}]|[a-z0-9\u00c0-\u0dff]+", re.sub("[\u3000-\u3003\uff00-\uff0f\uff1a-\uff20]", " ", text.lower()))
+
+
+def test_texts_without_spaces_match_by_character(spark, docs_of):
+    items = [(1, "床前明月光，疑是地上霜。"), (2, "首都"), (3, "カレーを食べました"), (4, "กรุงเทพมหานคร"), (5, "été à Paris")]
+    docs = [
+        (1, "李白写道：「床前明月光疑是地上霜」，很有名。"), (2, "床前看月光，疑是地下霜"), (3, "床前看月亮，疑似地下水"), (4, "北京是中国的首都。"), (5, "首 abc 都"),
+        (6, "昨日、カレーを食べましたよ"), (7, "ฉันอยู่กรุงเทพมหานครนานแล้ว"), (8, "L’été à Paris, enfin"), (9, "首，都"), (10, "clean"),
+    ]
+    want = {
+        (d, i, closest(w, characters(t))) for d, t in docs for i, x in items
+        if (w := characters(x)) and closest(w, characters(t)) <= int(op.BUDGET * len(w) + 1e-9)
+    }
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance) for r in op.find_contamination(docs_of(docs), frame).collect()}
+    assert got == want
+    assert {(1, 1, 0), (2, 1, 2), (4, 2, 0), (6, 3, 0), (7, 4, 0), (8, 5, 0)} <= got
+    assert not {3, 5, 10} & {d for d, *_ in got}
