@@ -19,6 +19,10 @@ documents share last. Two sets that reach the similarity share an n-gram among t
    Where a pair fails, every kept pair that crosses two components of the verified links is
    verified too. So no component is ever joined or missed by a bound.
 5. *Components*: stars over the verified links.
+6. *Link counts* (``jaccard_links``): no link leaves a component, so the sets of each component meet
+   and every pair whose sizes allow the similarity is compared exactly. A large component is cut
+   into blocks, and each pair of blocks is a unit of its own. Equal sets are compared once and
+   counted as often as they occur.
 
 Tables between the steps lie on the shared folder. What is broadcast is bounded: ``FREQUENT``
 n-grams, and the ids of documents to be verified while they are fewer than ``BROADCAST_IDS``
@@ -49,6 +53,7 @@ SEEN = 4  # times an n-gram must be seen among COUNTED to be reported
 COUNTED = 1_500_000
 BITS = 512  # of a bitmap at least
 MEMBERS = 256  # sets in one row of a group
+UNIT_GRAMS = 500_000  # n-grams of a block of sets whose links are counted, about
 UNIT = 2048  # groups that meet under one n-gram in one unit
 BROADCAST_IDS = 1_000_000
 TOKEN = 6  # bytes of an n-gram in a prefix; a chance meeting of two is found out by the bounds
@@ -378,25 +383,92 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, owners: DataFrame, words: int, parts: int) -> DataFrame:
-    """(a, b, linked) for every pair; ``owners``: (node, doc_id) with one document of each node."""
+def _verified(docs: DataFrame, pairs: DataFrame, owners: DataFrame, words: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b, linked) for every pair, and the sets (node, grams) of all nodes of pairs, some of them
+    more than once; ``owners``: (node, doc_id) with one document of each node."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     ids = land(wanted.join(owners, "node"), "jaccard-wanted")
     few = ids.count() <= BROADCAST_IDS
     picked = ids.select(F.col("doc_id").alias("_id")).distinct()
     texts = docs.join(F.broadcast(picked) if few else picked, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     grams_of = texts.select("doc_id", "text").transform(in_arrow, _sets(words), "node binary, grams binary")
-    sets = land(grams_of.join(F.broadcast(wanted) if few else wanted, "node", "left_semi"), "jaccard-sets").dropDuplicates(["node"])
+    found = land(grams_of.join(F.broadcast(wanted) if few else wanted, "node", "left_semi"), "jaccard-sets")
+    sets = found.dropDuplicates(["node"])
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
     full = left.join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b")
-    return land(full.select("a", "b", "x", "y").transform(in_arrow, _verify, "a binary, b binary, linked boolean"), "jaccard-verified")
+    return land(full.select("a", "b", "x", "y").transform(in_arrow, _verify, "a binary, b binary, linked boolean"), "jaccard-verified"), found
 
 
-# -- 5. all -----------------------------------------------------------------------------------
+# -- link counts ------------------------------------------------------------------------------
 
 
-def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, n, node, ...), and (node, doc_id, root) of the nodes with n-grams."""
+def _links_of(own: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], across: bool) -> np.ndarray:
+    """Documents with other sets that each set of a unit is linked with; ``across``: of the other block."""
+    n = np.array([len(x) for x in sets])
+    order = np.argsort(n, kind="stable")
+    n, own, copies = n[order], own[order], copies[order]
+    first = np.concatenate([[0], np.cumsum(n)])
+    grams, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    mark, links = np.zeros(len(grams), np.uint8), np.zeros(len(n), np.int64)
+    for i in range(1, len(n)):
+        low = int(np.searchsorted(n[:i], -(-NUM * n[i] // DEN)))
+        if low == i:
+            continue
+        mine = ids[first[i] : first[i + 1]]
+        mark[mine] = 1
+        both = np.add.reduceat(mark[ids[first[low] : first[i]]], first[low:i] - first[low], dtype=np.int64)
+        mark[mine] = 0
+        linked = DEN * both >= NUM * (n[low:i] + n[i] - both)
+        if across:
+            linked &= own[low:i] != own[i]
+        links[i] += copies[low:i][linked].sum()
+        links[low:i][linked] += copies[i]
+    out = np.empty_like(links)
+    out[order] = links
+    return out
+
+
+def _unit_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(root, p, q, own, node, copies, grams), by unit -> (node, links) of each unit."""
+    held, now = {}, None
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if len(held) > 1:
+            own, copies, sets = zip(*held.values())
+            links = _links_of(np.array(own), np.array(copies, np.int64), list(sets), now[1] != now[2])
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(links)], ["node", "links"])
+
+    for batch in batches:
+        for *key, own, node, copies, grams in zip(*[c.to_pylist() for c in batch.columns]):
+            if key != now:
+                yield from flush()
+                held, now = {}, key
+            held[node] = (own, copies, np.frombuffer(grams, np.uint64))
+    yield from flush()
+
+
+def _link_counts(to_root: DataFrame, sets: DataFrame, parts: int) -> DataFrame:
+    """(node, links): documents with other sets that the documents of a node are linked with."""
+    whole = to_root.groupBy("root").agg(F.count(F.lit(1)).alias("_nodes"), F.sum("n").alias("_grams")).filter("_nodes > 1")
+    blocks_of = F.ceil(F.col("_grams") / UNIT_GRAMS).cast("long")
+    dealt = to_root.join(whole, "root").select("node", "root", "copies", blocks_of.alias("_blocks"))
+    dealt = land(dealt.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks"))), "jaccard-dealt")
+    few = dealt.count() <= BROADCAST_IDS
+    units = (
+        sets.join(F.broadcast(dealt) if few else dealt, "node")
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+        .select("root", F.least("_own", "_other").alias("p"), F.greatest("_own", "_other").alias("q"), "_own", "node", "copies", "grams")
+        .repartition(parts, "root", "p", "q").sortWithinPartitions("root", "p", "q")
+    )
+    return units.transform(in_arrow, _unit_links, "node binary, links long").groupBy("node").agg(F.sum("links").alias("links"))
+
+
+# -- all --------------------------------------------------------------------------------------
+
+
+def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, n, node, ...), then (node, doc_id, n, copies, root) of the nodes with n-grams,
+    and the sets of all nodes that have a link."""
     spark = docs.sparkSession
     ship(spark)
     parts = partitions(spark)
@@ -407,26 +479,26 @@ def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame]:
     dealt = filled.select("gid", "prefix").transform(in_arrow, _deal(parts), "part int, packed binary")
     shared = land(dealt.repartitionById(parts, "part").transform(in_arrow, _shared, "token long, gid long, groups long"), "jaccard-shared")
     nodes = land(
-        filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("gid").alias("gid"), F.max("n").alias("n"), F.max("bits").alias("bits")),
+        filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("gid").alias("gid"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.count(F.lit(1)).alias("copies")),
         "jaccard-nodes",
     )
     owners = nodes.select("node", "doc_id")
     members = nodes.select("gid", "n", "node", "bits")
     pairs = land(_kept_pairs(shared, members, parts), "jaccard-pairs")
-    checked = _verified(docs, pairs, owners, words, parts)
+    checked, sets = _verified(docs, pairs, owners, words, parts)
     links = checked.filter("linked").select("a", "b")
     failed = checked.filter("not linked").select("a", "b")
     roots = components(links, "jaccard-roots")
     if not failed.isEmpty():
         links = links.union(_crossing(docs, shared, members, owners, pairs, failed, roots, words, parts))
         roots = components(links, "jaccard-roots")
-    to_root = nodes.join(land(roots, "jaccard-root"), "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
-    return signatures, to_root
+    to_root = nodes.join(land(roots, "jaccard-root"), "node", "left").select("node", "doc_id", "n", "copies", F.coalesce("root", "node").alias("root"))
+    return signatures, to_root, sets
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
-    signatures, to_root = _components(docs, words)
+    signatures, to_root, _ = _components(docs, words)
     lowest = to_root.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     component = to_root.join(lowest, "root").select("node", "component_id")
     return signatures.join(component, "node", "left").select(
@@ -435,6 +507,22 @@ def jaccard_components(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
+def jaccard_links(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for every row of (doc_id, text); ``n_links`` counts
+    the other rows that this row is linked with, those with an equal set among them."""
+    signatures, to_root, sets = _components(docs, words)
+    to_root = land(to_root, "jaccard-rooted")
+    lowest = to_root.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    links = F.coalesce("links", F.lit(0)) + F.col("copies") - 1
+    counted = to_root.join(_link_counts(to_root, sets, partitions(docs.sparkSession)), "node", "left")
+    per_node = counted.join(lowest, "root").select("node", "component_id", links.alias("n_links"))
+    return signatures.join(per_node, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
 def keep_representatives(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """One document of each component, with all its columns: the smallest doc_id, nulls last, then
     the smallest key of its set. Documents without words all stay. Rows that agree in id and set
@@ -443,7 +531,7 @@ def keep_representatives(docs: DataFrame, words: int = WORDS) -> DataFrame:
     Where ids are unique, the ids to drop suffice and texts are not shuffled while those may be
     broadcast; otherwise rows are told apart by id and set.
     """
-    signatures, to_root = _components(docs, words)
+    signatures, to_root, _ = _components(docs, words)
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
     filled = signatures.filter("n > 0").select("doc_id", "node").distinct()
     rooted = land(filled.join(to_root.select("node", "root"), "node").select("root", order.alias("key")), "jaccard-rooted")
@@ -489,4 +577,4 @@ def _crossing(
     labelled = land(members.join(open_nodes, "node").join(roots, "node", "left").select("gid", "n", "node", "bits", label), "jaccard-labels")
     more = _kept_pairs(shared.join(labelled.select("gid").distinct(), "gid", "left_semi"), labelled, parts, labelled=True)
     more = land(more.join(failed, ["a", "b"], "left_anti"), "jaccard-more")
-    return _verified(docs, more, owners, words, parts).filter("linked").select("a", "b")
+    return _verified(docs, more, owners, words, parts)[0].filter("linked").select("a", "b")

@@ -134,7 +134,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op10_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return op10_jaccard.jaccard_links(table(spark, sf_dir, "documents"))
 
 
 @query("op5_decontaminate")

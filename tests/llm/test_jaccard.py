@@ -87,3 +87,28 @@ def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     frame = spark.createDataFrame(edges, "a long, b long")
     assert dict(map(tuple, components(frame).collect())) == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def all_links(rows):
+    """Links of each row by comparing all pairs."""
+    sets = [shingles(t) for _, t in rows]
+    n = [sum(1 for k, b in enumerate(sets) if k != i and a and b and 100 * len(a & b) >= 75 * len(a | b)) for i, a in enumerate(sets)]
+    key = lambda t: (t[0] is not None, t[0] or 0, t[1], t[2])
+    return sorted(((i, len(s), k) for (i, _), s, k in zip(rows, sets, n)), key=key)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_links_are_counted(spark, docs_of, small, monkeypatch):
+    """Near copies with different texts, repeats, and chains whose ends are no links."""
+    if small:
+        for name, value in {"UNIT": 4, "MEMBERS": 2, "BROADCAST_IDS": 0, "FREQUENT": 5, "UNIT_GRAMS": 300}.items():
+            monkeypatch.setattr(op, name, value)
+    chain = [(7000 + k, " ".join(f"c{i}" for i in range(6 * k, 6 * k + 60))) for k in range(12)]
+    rows = sample(4, 5, 16) + ODD + chain + [(7100 + k, chain[3][1].upper()) for k in range(5)]
+    found = op.jaccard_links(docs_of(rows))
+    key = lambda t: (t[0] is not None, t[0] or 0, t[1], t[2])
+    assert sorted(((r.doc_id, r.n_shingles, r.n_links) for r in found.collect()), key=key) == all_links(rows)
+    key = lambda t: (t[0] is not None, t[0] or 0, t[1], t[2] is not None, t[2] or 0)
+    assert sorted((tuple(r)[:3] for r in found.collect()), key=key) == brute_force(rows)
+    assert max(r.n_links for r in found.collect()) >= 10
+    assert op.jaccard_links(docs_of([])).collect() == []
