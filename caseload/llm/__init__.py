@@ -3,7 +3,7 @@
 Nothing else in the package imports this subpackage.
 """
 
-from . import queries
+from . import queries, manifest_query
 from .registry import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "queries"]
+__all__ = ["QUERIES", "SQL", "manifest_query", "queries"]
