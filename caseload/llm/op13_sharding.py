@@ -5,7 +5,7 @@ as few of those links as it can while the shards' bytes stay equal.
 
 1. Linked documents start in shards by hash. Each round joins them to the counts of their group's
    members by shard: a document wishes to move to the shard that holds most of them, among those
-   with room. A shard takes what it gives to another in exchange, and beyond that what it has room
+   with room (of shards that hold equally many, all wish for the same one). A shard takes what it gives to another in exchange, and beyond that what it has room
    for; large gains go first. Rounds end when no one wishes to move, or after ``rounds``.
 2. What a shard holds beyond its fair share (and ``slack``) is let go.
 3. Documents without links, and those let go, fill the shards up to one level: large ones first,
@@ -77,10 +77,11 @@ def running(rows: DataFrame, by: Sequence[str], value: Column, count: int) -> Da
 def _wishes(state: DataFrame, open_shards: list[int]) -> DataFrame:
     """Linked documents with the shard they wish for (``to``, else null) and the gain's size."""
     counts = state.groupBy("grp", "shard").agg(F.count(F.lit(1)).alias("n"))
-    pull = F.struct("n", F.xxhash64("grp", "shard").alias("tie"), "shard")
+    is_open = F.col("shard").isin(open_shards).alias("open")
+    pull = F.struct("n", is_open, F.xxhash64("grp", "shard").alias("tie"), "shard")
     pulls = counts.groupBy("grp").agg(F.collect_list(pull).alias("pulls")).filter(F.size("pulls") > 1)
     met = attach(state, pulls, ["grp"])
-    best = F.array_max(F.filter("pulls", lambda p: p["shard"].isin(open_shards)))
+    best = F.array_max(F.filter("pulls", lambda p: p["open"]))
     own = F.array_max(F.filter("pulls", lambda p: p["shard"] == F.col("shard")))
     judged = met.withColumn("_best", best).withColumn("_own", own)
     better = F.col("_best") > F.col("_own")
