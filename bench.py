@@ -24,6 +24,11 @@ HEADLINE = (
     "heatmap_fips", "county_month", "lag_month", "hotspot_global", "hotspot_features",
     "hotspot_rf",
 )
+# timed as well, but not part of the total, which stays comparable from round to round;
+# the first of them writes the bucketed facts that the second reads
+BESIDE = (
+    "stored_fact_rows", "extract_star_bucketed", "impute_learned", "standardise_observed", "evaluate_many_scores",
+)
 
 
 def main() -> None:
@@ -32,14 +37,14 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count().collect()
     times = {}
-    for name in HEADLINE:
+    for name in HEADLINE + BESIDE:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
         print(name, times[name], file=sys.stderr, flush=True)
     line = {
         "metric": "headline_queries_total",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(times[n] for n in HEADLINE), 3),
         "unit": "sec",
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

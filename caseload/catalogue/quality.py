@@ -307,7 +307,7 @@ _DATED = (
 _AGED = _AGE_SQL.format(c="victim_age_group")
 
 
-def _dated(spark, sf):
+def dated(spark, sf):
     """Dates as the sources write them: one year in short form."""
     rows = incidents(
         spark, sf, "offense_id", "year", "victim_age_group", "offender_age", "incident_date"
@@ -318,29 +318,33 @@ def _dated(spark, sf):
     return rows.withColumn("incident_date", text)
 
 
-@query(
-    "standardise",
+DATED_SQL = (
     f"select * from (select offense_id, year, {_AGED} as victim_age_group, "
     "coalesce(offender_age, -1) as offender_age, "
     "case when year = 2000 then cast(strptime(incident_date, '%d-%b-%y') as date) "
     "else cast(incident_date as date) end as incident_date, "
     "case when year = 2000 then strftime(strptime(incident_date, '%d-%b-%y'), '%Y-%m-%d') "
     f"else incident_date end as incident_date_text from ({_DATED})) "
-    "where victim_age_group is null or victim_age_group <> 185",
+    "where victim_age_group is null or victim_age_group <> 185"
 )
+
+
+@query("standardise", DATED_SQL)
 def standardise(spark, sf):
-    return cleaning.standardise(_dated(spark, sf), short_year=2000)[0]
+    return cleaning.standardise(dated(spark, sf), short_year=2000)[0]
 
 
-@query(
-    "standardise_metrics",
+METRICS_SQL = (
     "select count(*) as rows_in, count(victim_age_group) as victim_age_group_converted, "
     "count(offender_age) as offender_age_converted, "
     f"count(*) filter (where {_AGED} = 185) as rows_dropped, "
-    "count(*) filter (where year = 2000) as dates_fixed from inc",
+    "count(*) filter (where year = 2000) as dates_fixed from inc"
 )
+
+
+@query("standardise_metrics", METRICS_SQL)
 def standardise_metrics(spark, sf):
-    return cleaning.standardise(_dated(spark, sf), short_year=2000)[1]
+    return cleaning.standardise(dated(spark, sf), short_year=2000)[1]
 
 
 @query("drop_invalid_age", "select offense_id, victim_age from inc where victim_age is distinct from 185")

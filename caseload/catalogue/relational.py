@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from ..plans.extract import Profile, extract_incidents
+from ..plans.stored import StoredFacts, extract_stored, store_facts
 from .bindings import fips, incidents, raw_tables, table
 from .registry import query
 
@@ -67,6 +68,42 @@ def extract_star_by_code(spark, sf):
     return extract_incidents(tables, Profile(key="offense_code", age_fix=False))
 
 
+_STORED: dict[tuple[str, str], StoredFacts] = {}
+
+
+def _stored(spark, sf) -> StoredFacts:
+    """The facts of a folder, written once in a session."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _STORED:
+        _STORED[at] = store_facts(raw_tables(spark, sf))
+    return _STORED[at]
+
+
+@query("extract_star_bucketed", _extract_sql(age_fix=True))
+def extract_star_bucketed(spark, sf):
+    """The same table from facts that lie in buckets by incident."""
+    return extract_stored(_stored(spark, sf), raw_tables(spark, sf))
+
+
+@query(
+    "stored_fact_rows",
+    "select 'incident' as fact, count(*) as count from raw_incident union all "
+    "select 'offense', count(*) from raw_offense union all "
+    "select 'victim', count(*) from raw_victim union all "
+    "select 'victim_offense_link', count(*) from raw_victim_offense_link join raw_victim using (victim_id) union all "
+    "select 'weapon_link', count(*) from raw_weapon_link where offense_id in (select offense_id from raw_offense) union all "
+    "select 'first_offender', count(distinct victim_id) from raw_victim_offender_rel",
+)
+def stored_fact_rows(spark, sf):
+    """Rows of every stored fact; all of them know their incident."""
+    stored = _stored(spark, sf)
+    parts = [
+        side.filter("incident_id is not null").agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("fact"), "n")
+        for tables in (stored.even, stored.hot) for name, side in tables.items()
+    ]
+    return op.union_states(parts).groupBy("fact").agg(F.sum("n").alias("count"))
+
+
 @query(
     "extract_star_dates",
     "select distinct o_orderkey as incident_key, cast(o_orderdate as date) as incident_date, "

@@ -166,7 +166,7 @@ def join_facts(
     on = list(on)
     kinds = {c: left.schema[c].dataType for c in on}
     same_types = all(left.schema[c].dataType == right.schema[c].dataType for c in on)
-    left, right = _common_keys(left, right.filter(_present(on)), on)
+    left, right = common_keys(left, right.filter(_present(on)), on)
     if probe is not None:
         if not (hot_keys(*probe, share) if isinstance(probe, tuple) else probe):
             return _typed(_left_join(left, right, on, sparse), kinds)
@@ -182,7 +182,7 @@ def join_facts(
     return _typed(union_states([rest, matched]), kinds)
 
 
-def _common_keys(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
+def common_keys(left: DataFrame, right: DataFrame, on: list[str]) -> tuple[DataFrame, DataFrame]:
     """Both frames with their keys in the type Spark would compare them in."""
     changed = [c for c in on if left.schema[c].dataType != right.schema[c].dataType]
     for c in changed:

@@ -48,6 +48,18 @@ def exact_quantile(
         .groupBy(*by, "value")
         .agg(F.count(F.lit(1)).alias("freq"))
     )
+    return quantile_of_counts(freq, p, by, direct_limit, slices)
+
+
+def quantile_of_counts(
+    freq: DataFrame,
+    p: float,
+    by: Sequence[str] = (),
+    direct_limit: int = DIRECT_LIMIT,
+    slices: int | None = None,
+) -> DataFrame:
+    """``exact_quantile`` of stored value frequencies (by, value, freq): each value once a group."""
+    by = list(by)
     largest = freq.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     if largest <= direct_limit:
         return freq.groupBy(*by).agg(F.percentile("value", p, F.col("freq")).alias("quantile"))

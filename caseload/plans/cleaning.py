@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from pyspark.sql import types as T
 
 from .. import vocabulary as V
@@ -13,10 +14,12 @@ from ..functions.dates import fix_2020_date, parse_date_lenient
 from ..operators.filters import null_count, require_columns
 from ..operators.grouping import count_by, mode_of
 from ..operators.joins import attach
-from ..operators.quantiles import approx_quantile, exact_quantile, group_median
+from ..operators.quantiles import approx_quantile, group_median, quantile_of_counts
 from ..operators.shape import union_states
+from ..session import fresh_path, settle
 
 
+UNKNOWN_FILLS = {c: V.UNKNOWN for c in ("victim_race", "victim_resident_status", "offender_race")}
 RANGE_ROWS = 20_000  # rows of a group that one task orders, about
 
 
@@ -146,18 +149,18 @@ def impute(
 
     ``mode_columns`` by their most frequent value, ``constants`` by a text,
     ``group_median_of`` (column -> group column) by the median of the group,
-    ``median_columns`` by the overall median. Medians are nearest-rank sketches
-    unless ``exact``. With ``flag``, ``<column>_imputed`` marks filled values.
+    ``median_columns`` by the overall median. Medians are nearest-rank sketches;
+    with ``exact`` all values come from ``learn_fills``, in one pass. With ``flag``,
+    ``<column>_imputed`` marks filled values.
 
-    Each statistic is one aggregate. The one-row ones enter the plan as scalar
+    Each sketched statistic is one aggregate. The one-row ones enter the plan as scalar
     subqueries, the per-group one as a counted broadcast: the rows themselves
     are not shuffled.
     """
-    constants = constants or {
-        "victim_race": V.UNKNOWN,
-        "victim_resident_status": V.UNKNOWN,
-        "offender_race": V.UNKNOWN,
-    }
+    if exact:
+        fills = learn_fills(df, mode_columns, constants or None, group_median_of or None, median_columns)
+        return apply_fills(df, fills, flag)
+    constants = constants or UNKNOWN_FILLS
     group_median_of = group_median_of or {"population": "state"}
     have = set(df.columns)
     out = df
@@ -168,11 +171,10 @@ def impute(
             fills[c] = top
     for c in median_columns:
         if c in have:
-            median = exact_quantile(df, c, 0.5) if exact else approx_quantile(df, c, 0.5)
-            fills[c] = median.scalar().cast(df.schema[c].dataType)
+            fills[c] = approx_quantile(df, c, 0.5).scalar().cast(df.schema[c].dataType)
     for c, by in group_median_of.items():
         if c in have:
-            medians = group_median(df, [by], c, exact).withColumnRenamed("median", f"_{c}_median")
+            medians = group_median(df, [by], c).withColumnRenamed("median", f"_{c}_median")
             out = attach(out, medians, [by], null_safe=True)
             fills[c] = F.col(f"_{c}_median").cast(df.schema[c].dataType)
     filled = {c: F.coalesce(F.col(c), value).alias(c) for c, value in fills.items()}
@@ -180,6 +182,79 @@ def impute(
     return out.select(*[filled.get(c, F.col(c)) for c in df.columns], *marks)
 
 
+@dataclass(frozen=True)
+class Fills:
+    """Learned fill values: one row (value) for each column, or one for each group of it."""
+
+    constants: Mapping[str, str]
+    single: Mapping[str, DataFrame]
+    grouped: Mapping[str, tuple[str, DataFrame]]
+
+
+def learn_fills(
+    df: DataFrame,
+    mode_columns: Sequence[str] = ("weapon_name",),
+    constants: Mapping[str, str] | None = None,
+    group_median_of: Mapping[str, str] | None = None,
+    median_columns: Sequence[str] = ("incident_hour",),
+) -> Fills:
+    """Fill values of all columns from one pass over the rows.
+
+    One aggregate over grouping sets (one set for each statistic) counts how often every value
+    occurs, summed before the shuffle; the counts are kept in the shared folder. Modes (ties to the
+    smaller value) and exact medians, overall or by group, follow from the counts alone. Null is no
+    value, but a group.
+    """
+    constants = {c: text for c, text in (UNKNOWN_FILLS if constants is None else constants).items() if c in df.columns}
+    groups = {"population": "state"} if group_median_of is None else group_median_of
+    sets = {c: (c,) for c in (*mode_columns, *median_columns) if c in df.columns}
+    sets |= {c: (by, c) for c, by in groups.items() if c in df.columns}
+    if not sets:
+        return Fills(constants, {}, {})
+    used = list(dict.fromkeys(c for s in sets.values() for c in s))
+    counts = settle(
+        df.select(*used)
+        .groupingSets([list(s) for s in dict.fromkeys(sets.values())], *used)
+        .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("freq")),
+        "value-counts",
+    )
+
+    def counted(c: str) -> DataFrame:
+        # a bit of the grouping id is set for every column that is summed over
+        mark = sum(1 << (len(used) - 1 - i) for i, u in enumerate(used) if u not in sets[c])
+        return counts.filter((F.col("_set") == mark) & F.col(c).isNotNull())
+
+    def values(c: str, *by: str) -> DataFrame:
+        return counted(c).select(*by, F.col(c).cast("double").alias("value"), "freq")
+
+    single, grouped = {}, {}
+    for c in sets:
+        kind = df.schema[c].dataType
+        if c in groups:
+            medians = quantile_of_counts(values(c, groups[c]), 0.5, [groups[c]])
+            grouped[c] = groups[c], medians.select(groups[c], F.col("quantile").cast(kind).alias("value"))
+        elif c in mode_columns:
+            top = counted(c).orderBy(F.desc("freq"), c).limit(1)
+            single[c] = top.agg(F.coalesce(F.first(c), F.lit(f"Unknown_{c}")).alias("value"))
+        else:
+            single[c] = quantile_of_counts(values(c), 0.5).select(F.col("quantile").cast(kind).alias("value"))
+    return Fills(constants, single, grouped)
+
+
+def apply_fills(df: DataFrame, fills: Fills, flag: bool = False) -> DataFrame:
+    """Missing values of ``df`` filled; with ``flag``, ``<column>_imputed`` marks them. The rows may
+    be others than those the fills were learned from; a group not met there stays unfilled."""
+    values = {c: F.lit(text) for c, text in fills.constants.items()}
+    values |= {c: one.scalar() for c, one in fills.single.items()}
+    out = df
+    for c, (by, medians) in fills.grouped.items():
+        out = attach(out, medians.withColumnRenamed("value", f"_{c}_fill"), [by], null_safe=True)
+        values[c] = F.col(f"_{c}_fill")
+    filled = {c: F.coalesce(F.col(c), v).alias(c) for c, v in values.items()}
+    marks = [F.col(c).isNull().alias(f"{c}_imputed") for c in values] if flag else []
+    return out.select(*[filled.get(c, F.col(c)) for c in df.columns], *marks)
+
+
 def standardise(
     df: DataFrame,
     ages: Sequence[str] = ("victim_age_group", "offender_age"),
@@ -210,6 +285,45 @@ def standardise(
     return aged, metrics
 
 
+def standardise_observed(
+    df: DataFrame,
+    ages: Sequence[str] = ("victim_age_group", "offender_age"),
+    date: str = "incident_date",
+    short_year: int = 2020,
+    invalid_age: int = V.IMPOSSIBLE_AGE,
+    path: str | None = None,
+) -> tuple[DataFrame, dict[str, int]]:
+    """``standardise`` with its counters observed while the frame is written.
+
+    The frame goes to ``path`` (Parquet; by default below the shared folder) and is read back; the
+    counters are those of that one write: no second scan, and every age and date is parsed once.
+    Rows are dropped above the point of observation, so that the counters see all of them. The write
+    is one narrow stage, in which Spark counts each partition once, however often a task is run; a
+    sort above the observation would sample the rows first and count them twice.
+    """
+    ages = [c for c in ages if c in df.columns]
+    parsed = df.withColumns(
+        {f"_given_{c}": F.col(c).isNotNull() for c in ages} | {c: _age(df, c) for c in ages}
+        | ({f"{date}_text": fix_2020_date(date, "year", short_year)} if date in df.columns else {})
+    )
+    counters = {"rows_in": F.count(F.lit(1))}
+    for c in ages:
+        counters[f"{c}_converted"] = F.count(F.when(F.col(f"_given_{c}"), 1))
+    kept = F.lit(True)
+    if ages:
+        invalid = F.coalesce(F.col(ages[0]) == invalid_age, F.lit(False))
+        counters["rows_dropped"], kept = F.count(F.when(invalid, 1)), ~invalid
+    if date in df.columns:
+        parsed = parsed.withColumn(date, parse_date_lenient(f"{date}_text"))
+        counters["dates_fixed"] = F.count(F.when(F.col("year") == short_year, 1))
+    seen = Observation()
+    observed = parsed.observe(seen, *[c.alias(n) for n, c in counters.items()])
+    out = observed.filter(kept).drop(*[f"_given_{c}" for c in ages])
+    path = path or fresh_path(df.sparkSession, "standardised")
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path), seen.get
+
+
 def _is_age(df: DataFrame, column: str, age: int) -> Column:
     """Whether the column means this age; never null.
 

@@ -8,13 +8,12 @@ from functools import reduce
 from operator import or_
 from typing import Any
 
-from pyspark import StorageLevel
+from pyspark import SparkContext, StorageLevel
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .. import vocabulary as V
 from ..functions.numbers import rate_or_zero, season_cos, season_sin
@@ -171,6 +170,74 @@ def train_gbt(
     return boosted.fit(marked)
 
 
+def chosen_round(losses: DataFrame, patience: int = V.PATIENCE) -> DataFrame:
+    """One row (best_round, best_loss, last_round) of validation losses (round, loss).
+
+    Boosting ends at the first round that lies ``patience`` rounds behind the best one so far, or
+    with the last; a loss must be smaller to be better, so of equal ones the earliest counts. NaN is
+    no loss. There are as many rows as rounds, so one window holds them.
+    """
+    order = Window.orderBy("round").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    usable = losses.filter(~F.isnan("loss") & F.col("loss").isNotNull())
+    best = F.min(F.struct("loss", "round")).over(order)
+    traced = usable.select("round", best.alias("best"))
+    out = F.coalesce(F.min(F.when(F.col("round") - F.col("best.round") >= patience, F.col("round"))), F.max("round"))
+    last = traced.agg(out.alias("last_round"))
+    found = traced.join(last, F.col("round") == F.col("last_round"))
+    return found.select(F.col("best.round").alias("best_round"), F.col("best.loss").alias("best_loss"), "last_round")
+
+
+@dataclass(frozen=True)
+class Boosted:
+    """A model cut at its best round, and the validation loss of every round that was run."""
+
+    model: GBTClassificationModel
+    losses: DataFrame
+    best_round: int
+    last_round: int
+
+
+def train_gbt_patiently(
+    train: DataFrame,
+    valid: DataFrame,
+    bins: int = 32,
+    params: Mapping[str, Any] = V.BOOSTING,
+    patience: int = V.PATIENCE,
+) -> Boosted:
+    """Boosted trees that stop after ``patience`` rounds without a smaller validation loss.
+
+    Trees are grown in steps of doubling length; a longer run begins with the same trees (the seed of
+    a round follows from its number), so a step that ends in time spares the rounds after it. The
+    losses of a step come from one pass over the validation rows.
+    """
+    spark = train.sparkSession
+    most, rounds = int(params["maxIter"]), min(int(params["maxIter"]), max(2 * patience, 1))
+    while True:
+        model = GBTClassifier(
+            featuresCol="features", labelCol=LABEL, maxBins=bins, checkpointInterval=10, **{**params, "maxIter": rounds},
+        ).fit(train)
+        measured = model.evaluateEachIteration(valid)
+        losses = spark.createDataFrame([(n, float(x)) for n, x in enumerate(measured, 1)], "round int, loss double")
+        found = chosen_round(losses, patience).first()
+        if rounds == most or (found and found.last_round - found.best_round >= patience):
+            break
+        rounds = min(most, 2 * rounds)
+    best, last = (found.best_round, found.last_round) if found else (rounds, rounds)
+    return Boosted(first_rounds(model, best), losses, best, last)
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model as it was after so many rounds."""
+    context = SparkContext._active_spark_context
+    package, whole = context._jvm.org.apache.spark.ml, model._java_obj
+    trees = context._gateway.new_array(package.regression.DecisionTreeRegressionModel, rounds)
+    weights = context._gateway.new_array(context._jvm.double, rounds)
+    for n, (tree, weight) in enumerate(zip(whole.trees()[:rounds], whole.treeWeights()[:rounds])):
+        trees[n], weights[n] = tree, weight
+    cut = GBTClassificationModel(package.classification.GBTClassificationModel(whole.uid(), trees, weights))
+    return model._copyValues(cut)
+
+
 FILLS = {"crime_last_month": 0, "crime_rate_per_1000": 0, "state_idx": -1, "county_idx": -1}
 
 
@@ -203,6 +270,44 @@ def score(
     return scored.withColumn("hotspot_probability", vector_to_array("probability")[1])
 
 
+def exact_auc(scored: DataFrame, label: str = LABEL, score_column: str = "score", ranges: int | None = None) -> DataFrame:
+    """One row (positives, negatives, auc): the area under the ROC curve, exactly.
+
+    It is the share of (positive, negative) pairs in which the positive scores higher, equal scores
+    counting half. Rows are summed up by score before the shuffle; scores are sorted by range, and the
+    negatives below a score are those of the ranges before and of its own range, so that no task
+    ranks more than a range. Sums are whole numbers. Null scores and labels take no part; without a
+    positive or without a negative the area is null.
+    """
+    spark = scored.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = "decimal(38,0)"
+    positive = F.col(label).cast("double") == 1
+    counts = (
+        scored.select(F.col(score_column).cast("double").alias("score"), positive.alias("_positive"))
+        .na.drop(subset=["_positive"]).filter(F.col("score").isNotNull())
+        .groupBy("score")
+        .agg(F.count_if("_positive").cast(whole).alias("p"), F.count_if(~F.col("_positive")).cast(whole).alias("q"))
+    )
+    ranged = settle(counts.repartitionByRange(ranges, "score").withColumn("_range", F.spark_partition_id()), "score-counts")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
+    before = ranged.groupBy("_range").agg(F.sum("q").alias("_q")).select(
+        "_range", F.coalesce(F.sum("_q").over(earlier), F.lit(0)).alias("_before"),
+    )
+    inside = Window.partitionBy("_range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = attach(ranged.withColumn("_inside", F.coalesce(F.sum("q").over(inside), F.lit(0))), before, ["_range"])
+    below = (F.col("_before") + F.col("_inside")).cast("decimal(19,0)")
+    p, q = F.col("p").cast("decimal(17,0)"), F.col("q").cast("decimal(17,0)")
+    halves = F.sum((p * (below * 2)).cast(whole) + (p * q).cast(whole))
+    sums = ranked.agg(halves.alias("halves"), F.sum("p").alias("positives"), F.sum("q").alias("negatives"))
+    pairs = F.col("positives").cast("double") * F.col("negatives").cast("double")
+    return sums.select(
+        F.coalesce("positives", F.lit(0)).cast("bigint").alias("positives"),
+        F.coalesce("negatives", F.lit(0)).cast("bigint").alias("negatives"),
+        F.try_divide(F.col("halves").cast("double"), 2 * pairs).alias("auc"),
+    )
+
+
 @dataclass(frozen=True)
 class Metrics:
     auc: float
@@ -228,9 +333,9 @@ def evaluate(scored: DataFrame, score_column: str = "probability") -> Metrics:
         accuracy = part(n.tp + n.tn, sum(n))
         if not (n.tp + n.fn) or not (n.fp + n.tn):
             return Metrics(0.0, 0.0, accuracy, 0.0, 0.0)
-        auc = BinaryClassificationEvaluator(
-            labelCol=LABEL, rawPredictionCol=score_column, metricName="areaUnderROC"
-        ).evaluate(slim)
+        numeric = isinstance(slim.schema[score_column].dataType, T.NumericType)
+        ranked = slim.withColumn("score", F.col(score_column) if numeric else vector_to_array(score_column)[1])
+        auc = exact_auc(ranked).first().auc
     finally:
         slim.unpersist()
     precision, recall = part(n.tp, n.tp + n.fp), part(n.tp, n.tp + n.fn)
@@ -251,9 +356,13 @@ def run_hotspot(
     encoding: str = "text",
     params: Mapping[str, Any] | None = None,
     measure: bool = True,
+    stop: str = "tolerance",
 ) -> HotspotRun:
     """Incidents to scored test year: series, labels, features, fit, score.
 
+    Boosting ends by ``stop``: ``'tolerance'`` (``train_gbt``) or ``'patience'``
+    (``train_gbt_patiently``).
+
     The incidents are read once; everything after starts from county-months.
     """
     monthly = hotspot_label(county_month(df), exact=exact)
@@ -264,7 +373,12 @@ def run_hotspot(
         if model == "forest":
             fitted = train_rf(train, bins, params or V.FOREST)
         elif model == "boosting":
-            fitted = train_gbt(train, test, bins, params or V.BOOSTING)
+            if stop not in ("tolerance", "patience"):
+                raise ValueError(f"unknown stopping rule: {stop}")
+            if stop == "patience":
+                fitted = train_gbt_patiently(train, test, bins, params or V.BOOSTING).model
+            else:
+                fitted = train_gbt(train, test, bins, params or V.BOOSTING)
         else:
             raise ValueError(f"unknown model: {model}")
         scored = score(fitted, test)

@@ -29,6 +29,18 @@ def local_session(cores: str = "8", app: str = "caseload") -> SparkSession:
     )
 
 
+def sibling_session(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session of the same application with the settings of ``spark`` and these besides.
+
+    Frames made in it are planned by its settings, wherever they are run; other frames keep theirs.
+    """
+    other = spark.newSession()
+    for key, value in {**spark.conf.getAll, **settings}.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as ``spark.checkpoint.dir`` of the session names it.
 

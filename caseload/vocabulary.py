@@ -187,5 +187,6 @@ UNKNOWN = "Unknown"
 # Model settings.
 FOREST = {"numTrees": 50, "maxDepth": 8, "seed": 42}
 BOOSTING = {"stepSize": 0.05, "maxDepth": 6, "maxIter": 200, "seed": 42}
+PATIENCE = 20  # rounds of boosting without gain
 HOTSPOT_QUANTILE = 0.90
 COUNTY_HOTSPOT_QUANTILE = 0.75
