@@ -20,22 +20,30 @@ Other columns are ignored, whatever their names.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import fresh_path
-from .common import in_arrow, mix, partitions, ship
+from .common import blocks, in_arrow, mix, partitions, ship, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-CACHE_WORDS = 400_000  # encoded chunks of a generation; a matter of memory and speed only
+CACHE_BYTES = 48 << 20  # encoded chunks of a generation, of two; a matter of memory and speed only
+ENTRY_BYTES = 150  # what a chunk takes besides its characters and ids
+BLOCK_BYTES = 8 << 20  # texts that are cut into chunks together, if they are more than one
+PIECE_CHUNKS = 2_000_000  # chunks that are put together at once
+# ASCII marks, letters, marks; an apostrophe may belong to the letters behind it
+MARKED = re.compile(r"([!-&(-/:;=-@\[-`{-~]*)([a-z]+)([!-&(-/:;=-@\[-`{-~]*)")
 GAMMA = 2.0  # bits of a level for each key that is still without a slot
 MAGIC = b"TOKMPH01"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -62,13 +70,14 @@ class Encoder:
 
     White space always ends a token of this vocabulary and leaves no id itself, so a text's ids
     are the ids of its space-separated chunks one after another, and a chunk met before need not
-    be encoded again. New chunks go to the library many at a time: words of letters as one text,
+    be encoded again. Texts are cut and their different chunks numbered in Arrow, their ids put
+    together in numpy, so Python sees each chunk once a block. New chunks go to the library many at a time: words of letters as one text,
     cut behind the ids that end a word; others as one text with a special token between them.
     """
 
     def __init__(self, path: str, dtype: str):
         self.tokenizer, self.dtype = _tokenizer(path), dtype
-        self.new, self.old = {"": b""}, {}
+        self.new, self.old, self.held = {"": b""}, {}, 0
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -94,39 +103,66 @@ class Encoder:
         inner = np.flatnonzero(special) - np.arange(int(special.sum()))
         return self._cut(ids[~special], np.append(inner, int((~special).sum())))
 
-    def _learn(self, chunks: set[str]) -> None:
+    def _learn(self, chunks: list[str]) -> None:
         """Encode chunks that neither generation holds; when the newer one is full it becomes the
         older one."""
-        if len(self.new) + len(chunks) > CACHE_WORDS:
-            self.new, self.old = {"": b""}, self.new
+        if self.held > CACHE_BYTES:
+            self.new, self.old, self.held = {"": b""}, self.new, 0
         new, old = self.new, self.old
-        for c in [c for c in chunks if c in old]:
-            new[c] = old.pop(c)
-        # a comma or full stop behind a letter is a token of its own
-        bases = {c: c[:-1] if c[-1] in ".," and len(c) > 1 and c[-2].isascii() and c[-2].isalpha() else c for c in chunks if c not in new}
-        known = {b: new.get(b) or old.get(b) for b in {*bases.values(), *(c[-1] for c, b in bases.items() if c != b)}}
+        kept = {c: old.pop(c) for c in chunks if c in old}
+        # letters and marks are tokens of their own: only letters with no mark beside them are learned
+        parts = {c: [x for x in m.groups() if x] if (m := MARKED.fullmatch(c)) else [c] for c in chunks if c not in kept}
+        known = {b: new.get(b) or kept.get(b) or old.get(b) for b in chain.from_iterable(parts.values())}
         for kind, encode in ((True, self._words), (False, self._chunks)):
             todo = [b for b, got in known.items() if got is None and (b.isascii() and b.isalpha()) is kind]
             for low in range(0, len(todo), 5000):
                 part = todo[low : low + 5000]
                 known.update(zip(part, encode(part)))
-        for c, b in bases.items():
-            new[c] = known[b] if c == b else known[b] + known[c[-1]]
-
-    def __call__(self, text: str) -> bytes:
-        # the vocabulary ignores case; A-Z are folded here already, so that fewer chunks are new
-        if "<|" not in text:
-            text = text.encode().lower().decode()
-        chunks = text.replace("\n", " ").split(" ")
-        missing = set(chunks).difference(self.new)
+        kept.update(known)
+        kept.update((c, b"".join([known[b] for b in found])) for c, found in parts.items() if len(found) > 1)
+        new.update(kept)
+        self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
+
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        """Ids of different chunks. The vocabulary ignores case, so A-Z are folded here already and
+        fewer chunks are new; not beside other characters, whose composition comes before the folding."""
+        folded = [c.lower() if c.isascii() and "<|" not in c else c for c in chunks]
+        missing = list(dict.fromkeys(c for c in folded if c not in self.new))
         if missing:
             self._learn(missing)
-        known = self.new
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:  # the generation changed within this text
-            self._learn(set(chunks).difference(known))
-            return b"".join([known[c] for c in chunks])
+        new, old = self.new, self.old
+        # what was known may have become the older generation just now
+        return [new[c] if c in new else old[c] for c in folded]
+
+    def encode(self, texts: pa.Array, end_id: int) -> Iterator[tuple[bytes, np.ndarray]]:
+        """(ids, count of ids of each text that ends in them) of texts, block by block; every text
+        ends with ``end_id``. Texts are strings without null. A piece has ``PIECE_CHUNKS`` chunks."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        flat = pc.list_flatten(split)
+        ends = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+        width, low, open_ids = np.dtype(self.dtype).itemsize, 0, 0
+        while low < len(flat):
+            high = min(len(flat), low + PIECE_CHUNKS)
+            coded = flat.slice(low, high - low).dictionary_encode()
+            pieces = [*self._known(coded.dictionary.to_pylist()), np.array([end_id], self.dtype).tobytes()]
+            inside = ends[(ends > low) & (ends <= high)] - low
+            code = np.insert(coded.indices.to_numpy(), inside, len(pieces) - 1)
+            sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // width
+            ids, n = np.frombuffer(b"".join(pieces), self.dtype), sizes[code]
+            upto = np.cumsum(n)
+            at = np.repeat((np.cumsum(sizes) - sizes)[code] - (upto - n), n)
+            del code, n
+            at += np.arange(len(at))
+            done = upto[inside + np.arange(len(inside))]  # ids up to and with each end
+            counts = np.diff(done, prepend=-open_ids)
+            open_ids = int(upto[-1] - (done[-1] if len(done) else -open_ids))
+            yield ids[at].tobytes(), counts
+            low = high
+
+    def __call__(self, text: str) -> bytes:
+        """Ids of one text, without an end."""
+        found = b"".join(raw for raw, _ in self.encode(pa.array([text]), 0))
+        return found[: -np.dtype(self.dtype).itemsize]
 
 
 @lru_cache(2)
@@ -301,16 +337,17 @@ def _write_shard(root: str, vocabulary: str, dtype: str, end_id: int):
 
         files, base = _store(root)
         number = TaskContext.get().partitionId()
-        name, encode = f"shard-{number:06d}", _encoder(vocabulary, dtype)
-        tail, width = np.array([end_id], dtype).tobytes(), np.dtype(dtype).itemsize
+        name, encode = f"shard-{number:06d}", _encoder(vocabulary, dtype).encode
         keys, known, counts = [], [], []
 
         def payload() -> Iterator[bytes]:
             for batch in batches:
-                for text in batch.column(1):
-                    raw = encode(text.as_py() or "") + tail
-                    counts.append(len(raw) // width)
-                    yield raw
+                _, offsets = texts_of(batch.column(1))
+                for low, high in blocks(offsets, BLOCK_BYTES, 1 << 14):
+                    texts = pc.fill_null(batch.column(1).slice(low, high - low), "").cast(pa.large_string())
+                    for raw, ended in encode(texts, end_id):
+                        counts.append(ended)
+                        yield raw
                 keys.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
                 known.append(batch.column(0).is_valid().to_numpy(zero_copy_only=False))
 
@@ -318,12 +355,10 @@ def _write_shard(root: str, vocabulary: str, dtype: str, end_id: int):
         first = next(rows, None)
         if first is None:
             return
-        from itertools import chain
-
         _put(files, f"{base}/{name}.bin", chain([first], rows))
-        key = np.zeros(len(counts), KEY)
+        n = np.concatenate(counts)
+        key = np.zeros(len(n), KEY)
         key["key"], key["known"] = np.concatenate(keys), np.concatenate(known)
-        n = np.array(counts, np.int64)
         _put(files, f"{base}/{name}.idx", [_index_bytes(key, np.cumsum(n) - n, n, dtype)])
         real = key["key"][key["known"]]
         yield pa.RecordBatch.from_pydict({

@@ -28,7 +28,7 @@ def test_encoder_equals_library(text):
 
 
 def test_encoder_odd_texts_and_small_cache(monkeypatch):
-    monkeypatch.setattr(store, "CACHE_WORDS", 3)
+    monkeypatch.setattr(store, "CACHE_BYTES", 500)
     encode = store.Encoder(PATH, "<u4")
     for text in ODD * 2:
         assert np.frombuffer(encode(text), "<u4").tolist() == ids(text)
@@ -75,3 +75,38 @@ def test_payload_is_raw(spark, docs_of, width, monkeypatch):
         opened.files.open_input_file(f"{opened.root}/{s['name']}.bin").read() for s in opened.manifest["shards"]
     )
     assert np.frombuffer(raw, width).tolist() == ids("one") + [2] + ids("two words") + [2]
+
+
+FIVE = ["J̌", "H̱", "T̈", "W̊", "Y̊"]  # capitals whose mark joins the small letter only
+
+
+def test_ids_equal_the_library_on_odd_texts():
+    from caseload.llm import op01_token_store as store
+
+    path = store.vocabulary_path()
+    encoder, library = store.Encoder(path, store.id_type(path)), store._tokenizer(path)
+    texts = FIVE + [
+        "", " ", "\n\n", "A b.,", "́ b", "İ I", "ſ K", "A\tB\r C\x0bD", "<|endoftext|> Ab<|endoftext|>c", "don't DON'T 'tis",
+        "(word) [x], a1b2 -- !! word,%%% ***", "x" * 5000, "été ÉtÉ, 中文 text", "'s 'S it's", "a.b,c", "@a_b~`", "\x00 a",
+    ]
+    for text in texts + [" ".join(texts)]:
+        ids = np.frombuffer(encoder(text), store.id_type(path)).tolist()
+        assert ids == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_small_pieces_and_caches_give_the_same_ids(monkeypatch):
+    import pyarrow as pa
+
+    from caseload.llm import op01_token_store as store
+
+    path = store.vocabulary_path()
+    texts = [f"Word{i % 7} an other,{i} (thing) {'z' * (i % 5)}  end\n" * (i % 4) for i in range(60)]
+    plain = b"".join(raw for raw, _ in store.Encoder(path, "<u2").encode(pa.array(texts), 2))
+    monkeypatch.setattr(store, "PIECE_CHUNKS", 5)
+    monkeypatch.setattr(store, "CACHE_BYTES", 2000)
+    encoder = store.Encoder(path, "<u2")
+    found = list(encoder.encode(pa.array(texts), 2))
+    assert b"".join(raw for raw, _ in found) == plain
+    library = store._tokenizer(path)
+    assert [int(n) for _, counts in found for n in counts] == [len(library.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
+    assert len(encoder.new) + len(encoder.old) < 60
