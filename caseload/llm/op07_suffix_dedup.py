@@ -45,7 +45,7 @@ PIECE = 1 << 18  # bytes hashed at once
 SAMPLE_ONE_IN = 50  # rows that are sampled for splitters
 SAMPLE_KEYS = 200  # sampled keys for each bucket, at most
 BROADCAST_IDS = 1_000_000
-KEY = "v long, h long, d long, t int, pos long"
+KEY = "v long, h long, d long, t long, pos long"
 RECORDS = f"kind int, {KEY}, n long"
 REMOVED, OPEN, EDGE = 0, 1, 2
 
@@ -177,7 +177,7 @@ def _pack(d, t, v, h, pos, n, index) -> bytes:
     ids = zlib.compress(np.diff(d, prepend=np.int64(0)).tobytes(), 1)
     head = np.array([len(d), len(v), len(ids), wide == "<u8"], "<u8").tobytes()
     return b"".join([
-        head, ids, t.astype("<i4").tobytes(), v.tobytes(), h.tobytes(), pos.astype(wide).tobytes(),
+        head, ids, t.astype("<i8").tobytes(), v.tobytes(), h.tobytes(), pos.astype(wide).tobytes(),
         n.astype("<u2").tobytes(), index.astype("<u4" if len(d) > 65_536 else "<u2").tobytes(),
     ])
 
@@ -186,7 +186,7 @@ def _unpack(raw: bytes) -> tuple[np.ndarray, ...]:
     docs, size, ids, wide = np.frombuffer(raw, "<u8", 4).astype(int).tolist()
     d = np.cumsum(np.frombuffer(zlib.decompress(raw[32 : 32 + ids]), np.int64))
     at, out = 32 + ids, []
-    for kind, n in (("<i4", docs), ("<u8", size), ("<u8", size), ("<u8" if wide else "<u4", size), ("<u2", size), ("<u4" if docs > 65_536 else "<u2", size)):
+    for kind, n in (("<i8", docs), ("<u8", size), ("<u8", size), ("<u8" if wide else "<u4", size), ("<u2", size), ("<u4" if docs > 65_536 else "<u2", size)):
         out.append(np.frombuffer(raw, kind, n, at))
         at += out[-1].nbytes
     t, v, h, pos, n, index = out
@@ -250,7 +250,7 @@ def _sort_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = chosen[low : low + 20_000]
         yield pa.RecordBatch.from_arrays([
             pa.array(kind[at].astype(np.int32)), pa.array(v[at].view(np.int64)), pa.array(h[at].view(np.int64)), pa.array(d[at]),
-            pa.array(t[at].astype(np.int32)), pa.array(pos[at]), pa.array(n[at]),
+            pa.array(t[at].astype(np.int64)), pa.array(pos[at]), pa.array(n[at]),
         ], ["kind", "v", "h", "d", "t", "pos", "n"])
 
 
@@ -287,7 +287,7 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _beside(texts: DataFrame, found: DataFrame) -> DataFrame:
     """Runs of each document, then its (compressed) text, in one partition, in order."""
-    packed = texts.select("d", "t", "raw").transform(in_arrow, _squeeze, "d long, t int, raw binary")
+    packed = texts.select("d", "t", "raw").transform(in_arrow, _squeeze, "d long, t long, raw binary")
     null = F.lit(None)
     both = found.select("d", "t", "pos", "n", null.cast("binary").alias("raw")).unionByName(
         packed.select("d", "t", null.cast("long").alias("pos"), null.cast("long").alias("n"), "raw")
@@ -321,7 +321,7 @@ def _cut(width: int):
         def flush() -> pa.RecordBatch:
             d, t, base, raw = zip(*held)
             return pa.RecordBatch.from_arrays(
-                [pa.array(d, pa.int64()), pa.array(t, pa.int32()), pa.array(base, pa.int64()), pa.array(raw, pa.binary())], ["d", "t", "base", "raw"],
+                [pa.array(d, pa.int64()), pa.array(t, pa.int64()), pa.array(base, pa.int64()), pa.array(raw, pa.binary())], ["d", "t", "base", "raw"],
             )
 
         for d, t, text, pos, n in _documents(batches):
@@ -350,7 +350,7 @@ def segments(texts: DataFrame, open_: DataFrame, width: int) -> DataFrame:
     ids = land(open_.select("d").distinct(), "suffix-ids")
     if ids.count() <= BROADCAST_IDS:
         texts = texts.join(F.broadcast(ids), "d", "left_semi")
-    return land(_beside(texts, open_).transform(in_arrow, _cut(width), "d long, t int, base long, raw binary"), "suffix-segments")
+    return land(_beside(texts, open_).transform(in_arrow, _cut(width), "d long, t long, base long, raw binary"), "suffix-segments")
 
 
 def _result(width: int):
@@ -389,7 +389,7 @@ def dedup_passages(docs: DataFrame, width: int = WIDTH, levels: tuple[int, ...]
     no_id = -(1 << 63)
     raw = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
     texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(no_id)).alias("d"), F.hash(raw).alias("t"), F.lit(0).cast("long").alias("base"), raw.alias("raw"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(no_id)).alias("d"), F.xxhash64(raw).alias("t"), F.lit(0).cast("long").alias("base"), raw.alias("raw"),
     )
     gone, source = None, texts
     for k in levels:
