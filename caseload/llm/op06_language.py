@@ -168,7 +168,7 @@ def viterbi(emission: np.ndarray, first: np.ndarray, prior: np.ndarray, switch:
     Rows advance together, longest first; a step is a few operations on all rows still open.
     """
     n, langs = emission.shape
-    stay, best = np.ones((n, langs), bool), np.zeros(n, np.uint8)
+    stay, best = np.ones((n, langs), bool), np.zeros(n, np.int32)
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     start, length = first[:-1][order], length[order]
@@ -186,8 +186,8 @@ def viterbi(emission: np.ndarray, first: np.ndarray, prior: np.ndarray, switch:
             stay[at], best[at] = keep, top
             v = np.where(keep, v, jump)
         value[:k] = v + emission[at]
-    path = np.zeros(n, np.uint8)
-    state = value.argmax(1).astype(np.uint8)
+    path = np.zeros(n, np.int32)
+    state = value.argmax(1).astype(np.int32)
     for t in range(steps - 1, -1, -1):
         k = open_[t]
         at = start[:k] + t

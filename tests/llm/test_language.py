@@ -69,3 +69,11 @@ def test_rows_do_not_depend_on_neighbours():
     whole = op.label_block(model, *texts_of(pa.array(texts)))
     alone = [op.label_block(model, *texts_of(pa.array([t]))) for t in texts]
     assert whole[0] == [a[0][0] for a in alone] and whole[2] == [a[2][0] for a in alone]
+
+
+def test_more_languages_than_a_byte_counts():
+    """The label of a word may be any of 300."""
+    emission = np.full((300, 300), -5.0)
+    emission[np.arange(300), np.arange(300)] = 0.0
+    path = op.viterbi(emission, np.arange(301), np.zeros(300))
+    assert path.tolist() == list(range(300))
