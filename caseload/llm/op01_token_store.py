@@ -110,16 +110,29 @@ class Encoder:
             self.new, self.old, self.held = {"": b""}, self.new, 0
         new, old = self.new, self.old
         kept = {c: old.pop(c) for c in chunks if c in old}
-        # letters and marks are tokens of their own: only letters with no mark beside them are learned
-        parts = {c: [x for x in m.groups() if x] if (m := MARKED.fullmatch(c)) else [c] for c in chunks if c not in kept}
-        known = {b: new.get(b) or kept.get(b) or old.get(b) for b in chain.from_iterable(parts.values())}
-        for kind, encode in ((True, self._words), (False, self._chunks)):
-            todo = [b for b, got in known.items() if got is None and (b.isascii() and b.isalpha()) is kind]
-            for low in range(0, len(todo), 5000):
-                part = todo[low : low + 5000]
+        todo, marked = [], []
+        for c in chunks:
+            if c not in kept:
+                # letters and marks are tokens of their own: only letters with no mark beside them are learned
+                if c.isalpha() or not (m := MARKED.fullmatch(c)):
+                    todo.append(c)
+                else:
+                    marked.append((c, m.groups()))
+        known = kept
+        for part in {x for _, found in marked for x in found}:
+            if part and part not in known and not (got := new.get(part) or old.get(part)):
+                todo.append(part)
+            elif part and part not in known:
+                known[part] = got
+        todo = list(dict.fromkeys(todo))
+        words = [c for c in todo if c.isascii() and c.isalpha()]
+        for some, encode in ((words, self._words), ([c for c in todo if not (c.isascii() and c.isalpha())], self._chunks)):
+            for low in range(0, len(some), 5000):
+                part = some[low : low + 5000]
                 known.update(zip(part, encode(part)))
-        kept.update(known)
-        kept.update((c, b"".join([known[b] for b in found])) for c, found in parts.items() if len(found) > 1)
+        known[""] = b""
+        for c, (before, letters, behind) in marked:
+            kept[c] = known[before] + known[letters] + known[behind]
         new.update(kept)
         self.held += sum(map(len, kept)) + sum(map(len, kept.values())) + ENTRY_BYTES * len(kept)
 
