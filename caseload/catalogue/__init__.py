@@ -1,7 +1,7 @@
 """Queries over the test tables, each with the SQL that must give the same rows."""
 
-from . import counts, edges, files, measures, models, quality, relational, shares, single_pass
+from . import counts, edges, files, measures, models, quality, relational, shares, single_pass, upkeep
 from .registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL", "counts", "edges", "files", "measures", "models", "quality", "relational",
-           "shares", "single_pass"]
+           "shares", "single_pass", "upkeep"]

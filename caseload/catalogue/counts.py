@@ -11,12 +11,14 @@ from .bindings import events, incidents
 from .registry import query
 
 
-def quoted(values) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
-
-
-_VIOLENT = quoted(V.VIOLENT_CATEGORIES)
-_LOCAL = quoted(V.VIOLENT_CATEGORIES_LOCAL)
+# fixed values, as the SQL must know them without the package
+_VIOLENT = (
+    "'Assault Offenses', 'Homicide Offenses', 'Kidnapping/Abduction', 'Robbery', 'Sex Offenses', 'Sex Offenses, "
+    "Non-forcible', 'Human Trafficking'"
+)
+_LOCAL = (
+    "'Assault Offenses', 'Homicide Offenses', 'Kidnapping/Abduction', 'Robbery', 'Sex Offenses'"
+)
 
 
 @query(
@@ -205,8 +207,9 @@ def rate_without_population(spark, sf):
     "unknown_rate_by_state",
     "select state, cast(sum(u) as bigint) as total_unknowns, count(*) as total_rows, "
     "sum(u) / count(*) as unknown_rate from (select state, "
-    + " + ".join(f"case when {c} = 'Unknown' then 1 else 0 end" for c in V.UNKNOWN_RATE_COLUMNS)
-    + " as u from inc) group by state",
+    "(victim_sex = 'Unknown')::int + coalesce((victim_race = 'Unknown')::int, 0) + "
+    "(offender_sex = 'Unknown')::int + coalesce((offender_race = 'Unknown')::int, 0) "
+    "as u from inc) group by state",
 )
 def unknown_rate_by_state(spark, sf):
     return op.unknown_rate(incidents(spark, sf, "state", *V.UNKNOWN_RATE_COLUMNS))

@@ -12,8 +12,9 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query; views named in its SQL are put in front of it."""
+def query(name: str, sql: str | None = None, like: str | None = None) -> Callable[[Query], Query]:
+    """Register a query; views named in its SQL are put in front of it. ``like`` names an earlier
+    query whose SQL it must equal as well."""
 
     def add(fn: Query) -> Query:
         if name in QUERIES:
@@ -21,6 +22,8 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         QUERIES[name] = fn
         if sql is not None:
             SQL[name] = _with_views(sql)
+        if like is not None:
+            SQL[name] = SQL[like]
         return fn
 
     return add

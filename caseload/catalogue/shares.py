@@ -9,12 +9,13 @@ from .. import operators as op
 from .. import vocabulary as V
 from ..operators.filters import is_firearm, is_night
 from .bindings import events, incidents
-from .counts import quoted
 from .registry import query
 
+# fixed values, as the SQL must know them without the package
 _HIGH = (
-    f"case when offense_category in ({quoted(V.HIGH_SEVERITY_CATEGORIES)}) "
-    "then 'High Severity' else 'Lower Severity' end"
+    "case when offense_category in ('Homicide Offenses', 'Human Trafficking', 'Kidnapping/Abduction', 'Robbery', "
+    "'Sex Offenses', 'Sex Offenses, Non-forcible', 'Assault Offenses') then 'High Severity' else 'Lower Severity' "
+    "end"
 )
 
 
@@ -301,7 +302,7 @@ def race_share(spark, sf):
     return op.share_of_group(rows, ["victim_race"], ["offense_category"])
 
 
-_NIGHT = f"incident_hour in ({', '.join(map(str, V.NIGHT_HOURS))})"
+_NIGHT = "incident_hour in (20, 21, 22, 23, 0, 1, 2, 3, 4, 5)"  # fixed values
 
 
 @query(
@@ -339,14 +340,16 @@ def top_locations(spark, sf):
 
 @query(
     "location_theme",
-    "select case "
-    + " ".join(
-        f"when location_name like '{names[0]}' then '{theme}'"
-        if names[0].endswith("%")
-        else f"when location_name in ({quoted(names)}) then '{theme}'"
-        for theme, names in V.LOCATION_THEMES
-    )
-    + " else 'Other' end as location_category, count(*) as count from inc group by 1",
+    "select case when location_name in ('Residence/Home') then 'Residential' when location_name in "
+    "('Highway/Road/Alley/Street/Sidewalk', 'Park/Playground', 'Parking/Drop Lot/Garage', 'Rest Area') then 'Public "
+    "Space/Transport' when location_name in ('Bar/Nightclub', 'Convenience Store', 'Department/Discount Store', "
+    "'Grocery/Supermarket', 'Hotel/Motel/Etc.', 'Restaurant', 'Shopping Mall', 'Service/Gas Station') then "
+    "'Commercial (Retail/Service)' when location_name in ('Bank/Savings and Loan', 'Commercial/Office Building') "
+    "then 'Commercial (Office/Financial)' when location_name like 'School%' then 'Education' when location_name in "
+    "('Church/Synagogue/Temple/Mosque', 'Government/Public Building', 'Jail/Prison/Penitentiary/Corrections "
+    "Facility') then 'Institutional' when location_name in ('Field/Woods', 'Lake/Waterway/Beach', "
+    "'Camp/Campground') then 'Outdoor/Rural' when location_name in ('Other/Unknown') then 'Unknown' else 'Other' "
+    "end as location_category, count(*) as count from inc group by 1",
 )
 def location_theme(spark, sf):
     rows = incidents(spark, sf, "location_name").select(

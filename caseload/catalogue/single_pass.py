@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
-from ..plans import cleaning, hotspot
+from ..plans import cleaning, hotspot, profile
 from ..session import settle
 from .bindings import incidents, table
-from .quality import DATED_SQL, METRICS_SQL, dated
+from .quality import _TEXT, DATED_SQL, METRICS_SQL, dated
 from .registry import query
 
 _GAPS = ("offense_id", "state", "weapon_name", "victim_race", "incident_hour", "population_gaps")
@@ -115,3 +115,40 @@ def hotspot_gbt_patience(spark, sf):
         ("trees", found.model.getNumTrees == best + 1), ("scores", same < 1e-9),
     ]
     return spark.createDataFrame(holds, "rule string, holds boolean")
+
+
+@query("top_values_candidates", like="top_values_all_columns")
+def top_values_candidates(spark, sf):
+    return profile.top_values_by_candidates(incidents(spark, sf, *_TEXT))[0]
+
+
+def _mixed(spark, sf):
+    """A column of few values, one of few frequent and many single ones, one of single values."""
+    mixed = F.when(F.col("l_partkey") % 10 < 9, F.concat(F.lit("common "), F.col("l_partkey") % 10)).otherwise(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey"))
+    single = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    return table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("few"), mixed.alias("mixed"), single.alias("single"))
+
+
+@query(
+    "top_values_methods",
+    "select 'few' as column, 'candidates' as method union all select 'mixed', 'candidates' union all select 'single', 'all values'",
+)
+def top_values_methods(spark, sf):
+    """How each column's first values were proven."""
+    return profile.top_values_by_candidates(_mixed(spark, sf), n=5, tracked=1000)[1].select("column", "method")
+
+
+_MIXED_SQL = (
+    "select l_returnflag as few, case when l_partkey % 10 < 9 then 'common ' || (l_partkey % 10) "
+    "else l_orderkey || '-' || l_linenumber || '-' || l_partkey end as mixed from lineitem"
+)
+
+
+@query(
+    "top_values_mixed",
+    "select * from (select *, cast(row_number() over (partition by \"column\" order by count desc, value) as int) as rank from ("
+    f"select 'few' as column, few as value, count(*) as count from ({_MIXED_SQL}) group by 2 union all "
+    f"select 'mixed', mixed, count(*) from ({_MIXED_SQL}) group by 2)) where rank <= 5",
+)
+def top_values_mixed(spark, sf):
+    return profile.top_values_by_candidates(_mixed(spark, sf), ["few", "mixed"], n=5, tracked=1000)[0]

@@ -15,6 +15,7 @@ from .filters import (
 from .grouping import (
     count_by,
     crosstab,
+    crosstab_map,
     distinct_values,
     mean_by,
     mode_of,
@@ -29,6 +30,7 @@ from .grouping import (
     unknown_rate,
 )
 from .joins import (
+    ambiguous_fips,
     attach,
     attach_fips,
     hot_keys,
@@ -64,7 +66,7 @@ from .shape import (
 )
 
 __all__ = [
-    "approx_quantile", "attach", "attach_fips", "count_by", "crosstab", "display",
+    "ambiguous_fips", "approx_quantile", "attach", "attach_fips", "count_by", "crosstab", "crosstab_map", "display",
     "distinct_values", "drop_incomplete", "drop_invalid_age", "exact_quantile",
     "explode_counties", "filter_not_in", "firearm_only", "first_per_key", "group_median",
     "hot_keys", "join_facts", "join_first", "join_unique", "keep_top_groups", "label_code", "lag_month",

@@ -155,6 +155,18 @@ def crosstab(
     return pivoted.agg(F.sum("count")).na.fill(0)
 
 
+def crosstab_map(df: DataFrame, row: str, column: str) -> DataFrame:
+    """(row, counts, total): a map from column value to count for each row value.
+
+    The values are found when the query runs: building it starts no job and there may be any number
+    of them, where a pivot needs to know its columns beforehand. Two aggregates, the second on the
+    counts of the first; a map has no entry where a pivot has zero. Null is a row value, but no column.
+    """
+    counts = count_by(df.filter(F.col(column).isNotNull()), row, column)
+    entries = F.sort_array(F.collect_list(F.struct(F.col(column).alias("key"), F.col("count").alias("value"))))
+    return counts.groupBy(row).agg(F.map_from_entries(entries).alias("counts"), F.sum("count").alias("total"))
+
+
 def pivot_share(
     df: DataFrame, row: str, column: str, values: Sequence[str], suffix: str = "_percent"
 ) -> DataFrame:

@@ -254,22 +254,30 @@ def attach_fips(
     keep_unmatched: bool = False,
     state: str = "state",
     county: str = "county",
+    ambiguous: str = "refuse",
 ) -> DataFrame:
     """Add the five-digit county code by normalised state and county name.
 
     ``multi``: ``'none'`` takes the county text whole, ``'first'`` the first
     county of a list, ``'explode'`` makes a row for each.
+
+    ``ambiguous`` is for a name that stands for several codes (Fairfax County and Fairfax City):
+    ``'refuse'`` gives it none, as if it were unknown, ``'first'`` the smallest code, ``'all'`` a
+    row for each. ``ambiguous_fips`` lists such names.
     """
+    if ambiguous not in ("refuse", "first", "all"):
+        raise ValueError(f"unknown policy for ambiguous names: {ambiguous}")
     if multi == "explode":
         df = explode_counties(df, county)
     elif multi not in ("none", "first"):
         raise ValueError(f"unknown multi-county policy: {multi}")
     part = "first" if multi == "first" else "none"
-    codes = fips.select(
-        state_name("state_name").alias("_state"),
-        normalise_county("county_name").alias("_county"),
-        fips5("fips").alias("fips"),
-    ).filter("fips is not null and fips <> '00000'")
+    codes = _codes(fips)
+    if ambiguous == "all":
+        codes = codes.distinct()
+    else:
+        codes = codes.groupBy("_state", "_county").agg(F.min("fips").alias("fips"), F.max("fips").alias("_last"))
+        codes = codes.filter("fips = _last").drop("_last") if ambiguous == "refuse" else codes.drop("_last")
     named = df.withColumns(
         {"_state": state_name(state), "_county": normalise_county(county, part)}
     )
@@ -277,6 +285,22 @@ def attach_fips(
     return named.join(codes, ["_state", "_county"], how).drop("_state", "_county")
 
 
+def _codes(fips: DataFrame) -> DataFrame:
+    return fips.select(
+        state_name("state_name").alias("_state"),
+        normalise_county("county_name").alias("_county"),
+        fips5("fips").alias("fips"),
+    ).filter("fips is not null and fips <> '00000'")
+
+
+def ambiguous_fips(fips: DataFrame) -> DataFrame:
+    """(state, county, codes): normalised names that stand for more than one code."""
+    named = _codes(fips).filter("_state is not null and _county is not null")
+    codes = F.sort_array(F.collect_set("fips")).alias("codes")
+    found = named.groupBy("_state", "_county").agg(codes).filter(F.size("codes") > 1)
+    return found.select(F.col("_state").alias("state"), F.col("_county").alias("county"), "codes")
+
+
 def predictions_by_fips(
     predictions: DataFrame, heatmap: DataFrame, column: str = "hotspot_probability"
 ) -> DataFrame:

@@ -216,22 +216,33 @@ def build_marts(
     in the same pass.
     """
     wanted = _wanted(df, None)
+    keys, people = _base_keys(df, wanted)
+    marts = _marts_of(wanted, _count_bases(df, keys, **people), fips, sexes)
+    if "state_crime_rates" not in marts:
+        marts["state_crime_rates"] = state_rate_mart(df)
+    return marts
+
+
+def _base_keys(df: DataFrame, wanted: Sequence[str]) -> tuple[list[tuple[str, ...]], dict[str, Column]]:
+    """What all marts are counted by, and the population taken along if there is one."""
     rated = {"population", "agency_name"} <= set(df.columns)
     keys = [*map(mart_keys, wanted), HEATMAP_KEYS, *([AGENCY_KEYS] if rated else [])]
-    people = {"people": F.max("population")} if rated else {}
-    bases = _count_bases(df, keys, **people)
+    return keys, {"people": F.max("population")} if rated else {}
+
+
+def _marts_of(
+    wanted: Sequence[str], bases: Bases, fips: DataFrame | None, sexes: Sequence[str] | None
+) -> dict[str, DataFrame]:
     marts = _roll_up(wanted, bases)
     if "victim_sex_by_offense" in marts:
         marts["victim_sex_by_offense_crosstab"] = sex_crosstab(
             marts["victim_sex_by_offense"], sexes
         )
-    if rated:
+    if AGENCY_KEYS in bases:
         agencies = bases[AGENCY_KEYS].filter(F.col("state").isNotNull())
         marts["state_crime_rates"] = _rates(
             rate_of_units(agencies, "state", "agency_name", null_unit=False)
         )
-    else:
-        marts["state_crime_rates"] = state_rate_mart(df)
     heat = bases[HEATMAP_KEYS].select(*HEATMAP_KEYS, "count").na.drop(subset=list(HEATMAP_KEYS))
     marts["county_heatmap"] = rename_map(
         _coded(heat, fips),
@@ -240,6 +251,47 @@ def build_marts(
     return marts
 
 
+# a state-year's place in the table of partial counts
+PARTIAL_BY = ("_state", "_year")
+
+
+def partial_counts(df: DataFrame, year: str = "year") -> DataFrame:
+    """What the marts need of the incidents, counted for each state and year.
+
+    One scan and one shuffle of counts, as for ``build_marts``, with state and year in every
+    grouping. Counts of different state-years add up and the population of an agency is the largest
+    of theirs, so marts follow from these rows without the incidents.
+    """
+    keys, people = _base_keys(df, _wanted(df, None))
+    marked = df.withColumns({PARTIAL_BY[0]: F.col("state"), PARTIAL_BY[1]: F.col(year).cast("int")})
+    distinct = list(dict.fromkeys(keys))
+    widest = [k for k in distinct if not any(set(k) < set(other) for other in distinct)]
+    columns = list(dict.fromkeys([*PARTIAL_BY, *[c for k in widest for c in k]]))
+    extra = [c.alias(n) for n, c in people.items()]
+    counted = marked.groupingSets([[*PARTIAL_BY, *k] for k in widest], *columns).agg(
+        F.count(F.lit(1)).alias("count"), *extra, F.grouping_id().alias("_set")
+    )
+    named = F.lit(None).cast("string")
+    for k in widest:
+        bits = int("".join("0" if c in (*PARTIAL_BY, *k) else "1" for c in columns), 2)
+        named = F.when(F.col("_set") == bits, F.lit(",".join(k))).otherwise(named)
+    return counted.withColumn("_base", named).drop("_set")
+
+
+def marts_from_partials(
+    partials: DataFrame, fips: DataFrame | None = None, sexes: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """All marts, as ``build_marts`` makes them from the incidents, from stored partial counts."""
+    columns = set(partials.columns)
+    wanted = [n for n in COUNT_MARTS if set(mart_keys(n)) <= columns]
+    keys = [*map(mart_keys, wanted), HEATMAP_KEYS, *([AGENCY_KEYS] if "people" in columns else [])]
+    distinct = list(dict.fromkeys(keys))
+    widest = [k for k in distinct if not any(set(k) < set(other) for other in distinct)]
+    sums = [F.sum("count").alias("count"), *([F.max("people").alias("people")] if "people" in columns else [])]
+    bases = {k: partials.filter(F.col("_base") == ",".join(k)).groupBy(*k).agg(*sums) for k in widest}
+    return _marts_of(wanted, bases, fips, sexes)
+
+
 def total_incidents(yearly: DataFrame) -> DataFrame:
     return yearly.agg(F.sum("count").alias("total"))
 

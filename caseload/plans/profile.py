@@ -176,6 +176,50 @@ def _top_values(counts: DataFrame, n: int) -> DataFrame:
     return top_per_group(counts, ["column"], "count", n, ties=["value"])
 
 
+# the sketch's stated error: an untracked value occurs in at most 3.5 of ``tracked`` parts of the rows
+SKETCH_ERROR = 3.5
+CANDIDATES, ALL_VALUES = "candidates", "all values"
+
+
+def top_values_by_candidates(
+    df: DataFrame, columns: Sequence[str] | None = None, n: int = 10, tracked: int = 10_000
+) -> tuple[DataFrame, DataFrame]:
+    """``top_values`` for columns of many values: (top, how).
+
+    One pass keeps a heavy-hitter sketch for each column, a second counts the ``20 * n`` values it puts
+    first, and null, exactly. They are complete for a column if they cover all of its rows, or if the
+    n-th of them occurs more often than the sketch's error and than the last value it put forward:
+    no value that was left out can then reach the first n. Other columns, such as those of nearly unique
+    values, are counted whole. ``how`` (column, method, bound) says which way each column went and how
+    often a value that was not counted can occur at most. Both ways give the same rows.
+    """
+    columns = list(columns or categorical_columns(df))
+    k = min(tracked, 20 * n)
+    asked = {f"v{i}": F.expr(f"approx_top_k(cast(`{c}` as string), {k}, {tracked})") for i, c in enumerate(columns)}
+    # columns * k values come to the driver
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[c.alias(v) for v, c in asked.items()]).first()
+    known = {c: [(x["item"], x["count"]) for x in row[f"v{i}"] or [] if x["item"] is not None] for i, c in enumerate(columns)}
+    named = df.sparkSession.createDataFrame(
+        [(c, v) for c in columns for v in [None, *[item for item, _ in known[c]]]], "_column string, _value string"
+    )
+    pairs = long_rows(df, [{"column": F.lit(c), "value": F.col(c).cast("string")} for c in columns])
+    same = (F.col("column") == F.col("_column")) & F.col("value").eqNullSafe(F.col("_value"))
+    counts = settle(count_by(pairs.join(F.broadcast(named), same, "left_semi"), "column", "value"))
+    held = {r["column"]: r for r in counts.groupBy("column").agg(F.sum("count").alias("n"), F.sort_array(F.collect_list("count"), False).alias("all")).collect()}
+    how = []
+    for c in columns:
+        covered, found = (held[c]["n"], held[c]["all"]) if c in held else (0, [])
+        bound = 0 if covered == row["rows"] else int(SKETCH_ERROR * row["rows"] / tracked) + 1
+        if bound and len(known[c]) >= k:
+            bound = max(bound, known[c][-1][1])
+        proven = not bound or (len(found) >= n and found[n - 1] > bound)
+        how.append((c, CANDIDATES if proven else ALL_VALUES, bound if proven else 0))
+    whole = [c for c, method, _ in how if method == ALL_VALUES]
+    if whole:
+        counts = counts.filter(~F.col("column").isin(whole)).unionByName(value_counts(df, whole))
+    return _top_values(counts, n), df.sparkSession.createDataFrame(how, "column string, method string, bound long")
+
+
 def _dates(date: str) -> Section:
     found = {"earliest": F.min(date), "latest": F.max(date)}
     return Section(found, [{n: F.col(n) for n in found}])

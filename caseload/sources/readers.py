@@ -75,19 +75,39 @@ def bad_row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.when(every, 1)).alias("rows"), F.count(BAD).alias("bad_rows"))
 
 
-def read_raw(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+def read_raw(
+    spark: SparkSession, path: str, table: str, multi_line: bool = False, bad_rows: str = "keep"
+) -> DataFrame:
     """One raw table: Latin-1 CSV, lower-case names, keys as bigint, codes as text without '.0'.
 
     Of the columns known for the table, those in the file are kept; the rest of
     the file, such as the year column, is never parsed.
+
+    A row with too few or too many fields is a bad one. ``bad_rows``: ``'keep'`` takes what can
+    be read of it, ``'drop'`` leaves it out, ``'fail'`` stops the job, ``'mark'`` adds the text of
+    bad rows as ``_bad_row``, for ``bad_row_count``. All but the first parse every field.
     """
+    if bad_rows not in ("keep", "drop", "fail", "mark"):
+        raise ValueError(f"unknown policy for bad rows: {bad_rows}")
     frame = _csv(spark, multi_line).option("encoding", _LATIN).csv(path)
+    if bad_rows != "keep":
+        header = T.StructType([*frame.schema.fields, T.StructField(BAD, T.StringType())])
+        reader = _csv(spark, multi_line).option("encoding", _LATIN).schema(header)
+        frame = reader.option("columnNameOfCorruptRecord", BAD).csv(path)
+        # the parser finds bad rows only where fields are read, so the test reads all of them
+        whole = F.hash(*[c for c in frame.columns if c != BAD]) >= -(1 << 31)
+        if bad_rows == "drop":
+            frame = frame.filter(whole & F.col(BAD).isNull())
+        elif bad_rows == "fail":
+            told = F.concat(F.lit(f"bad row in {path}: "), F.col(BAD))
+            frame = frame.filter(whole & F.when(F.col(BAD).isNotNull(), F.raise_error(told).cast("boolean")).otherwise(True))
     frame = frame.toDF(*[c.strip().lower() for c in frame.columns])
     known = [c for c in schemas.RAW_TABLES[table] if c in frame.columns]
     if not known:
         raise ValueError(f"no column of table {table} in {path}")
     kept = {c: coerce_key(c) for c in schemas.KEY_COLUMNS} | {c: text_key(c) for c in schemas.TEXT_KEYS}
-    return frame.select(*[kept.get(c, F.col(c)).alias(c) for c in known])
+    marks = [BAD] if bad_rows == "mark" else []
+    return frame.select(*[kept.get(c, F.col(c)).alias(c) for c in known], *marks)
 
 
 def read_raw_set(
@@ -96,11 +116,12 @@ def read_raw_set(
     files: Mapping[str, str] = schemas.RAW_FILES,
     on_missing: str = "fail",
     on_unreadable: str = "fail",
+    bad_rows: str = "keep",
 ) -> dict[str, DataFrame]:
     """All raw tables of one state and year.
 
     ``on_missing='fail'`` stops at the first absent file, ``'skip'`` leaves
-    that table out. ``on_unreadable`` says the same for files that are there but
+    that table out. ``bad_rows`` goes to ``read_raw``. ``on_unreadable`` says the same for files that are there but
     have no header that Spark can read, or none of the table's columns.
     """
     for policy in (on_missing, on_unreadable):
@@ -109,7 +130,7 @@ def read_raw_set(
     tables = {}
     for table, name in files.items():
         try:
-            tables[table] = read_raw(spark, f"{folder.rstrip('/')}/{name}", table)
+            tables[table] = read_raw(spark, f"{folder.rstrip('/')}/{name}", table, bad_rows=bad_rows)
         except (PySparkException, ValueError) as error:
             absent = isinstance(error, AnalysisException) and _missing(error)
             if (on_missing if absent else on_unreadable) == "fail":

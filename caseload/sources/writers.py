@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -36,6 +36,22 @@ def write_cleaned(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     )
 
 
+def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("state", "year"), fmt: str = "parquet") -> None:
+    """Write the partitions that ``df`` has rows of; all others below ``path`` keep their files.
+
+    For one more state-year, or one that came again: the work follows the new rows, not the
+    table. Rows must not be read from the partitions they replace. A null in ``by`` is a partition.
+    """
+    (
+        df.hint("rebalance", *[F.col(c) for c in by])
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .format(fmt)
+        .save(path)
+    )
+
+
 def write_marts(marts: Mapping[str, DataFrame], folder: str, fmt: str = "csv") -> None:
     """One output per mart. Marts are aggregates; adaptive execution already
     shrinks them to one file, without forcing their work into one task."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from caseload.catalogue.bindings import incidents
 from caseload.operators.quantiles import quantile_of_counts
-from caseload.plans import cleaning, hotspot
+from caseload.plans import cleaning, hotspot, profile
 
 SF = "/root/testdata/sf0.001"
 
@@ -188,3 +188,27 @@ def test_boosting_stops_and_is_cut(spark):
 def test_unknown_stopping_rule(spark):
     with pytest.raises(ValueError, match="stopping rule"):
         hotspot.run_hotspot(incidents(spark, SF, "state", "county", "population", "incident_date"), "boosting", stop="never")
+
+
+# -- first values by candidates ---------------------------------------------------------------
+
+
+@pytest.mark.parametrize("tracked", [100, 10_000])
+def test_candidates_give_the_rows_of_the_full_count(spark, tracked):
+    """Frequent, tied, null, single and absent values; proven or counted whole."""
+    rng = random.Random(9)
+    data = [
+        (rng.choice(["a", "b", None]), f"v{int(rng.paretovariate(0.6))}", f"id{i}", None, rng.choice("xyz") if i % 10 else f"tail{i}") for i in range(4000)
+    ]
+    df = spark.createDataFrame(data, "few string, heavy string, single string, nothing string, tail string").repartition(4)
+    top, how = profile.top_values_by_candidates(df, n=3, tracked=tracked)
+    want = {tuple(r) for r in profile.top_values(df, n=3).collect()}
+    assert {tuple(r) for r in top.select("column", "value", "count", "rank").collect()} == {(c, v, n, r) for c, v, n, r in want}
+    methods = {r["column"]: r["method"] for r in how.collect()}
+    assert methods["few"] == methods["nothing"] == methods["tail"] == profile.CANDIDATES
+    assert methods["single"] == (profile.ALL_VALUES if tracked < 4000 else methods["single"])
+
+
+def test_candidates_of_an_empty_table(spark):
+    top, how = profile.top_values_by_candidates(spark.createDataFrame([], "a string, b string"))
+    assert top.collect() == [] and {r["method"] for r in how.collect()} == {profile.CANDIDATES}
