@@ -10,10 +10,9 @@ gives.
 
 The golden-ratio sequence is kept in integers, so reruns and other engines agree to the last bit:
 multiples of a Fibonacci number modulo the next one, whose ratio has only ones in its continued
-fraction, so that no number of slots leaves a wide gap. ``ROUNDED`` is the ratio rounded to 31 bits,
-which clumps between about 0.5 and 30 million slots; only the query with SQL asks for it. Running totals go in two steps (chunks of slots, ranges of the shuffled order whose
-number follows the source's rows), so a source with a third of all rows is spread over many tasks;
-windows without a chunk see one row for each source.
+fraction, so that no number of slots leaves a wide gap. Running totals go in two steps (chunks of
+slots, ranges of the shuffled order whose number follows the source's rows), so a source with a third
+of all rows is spread over many tasks; windows without a chunk see one row for each source.
 
 Defined cases: a null text has size 0 and gives no words; a null source is a source of its own,
 last in order; repeated rows each count and a null doc_id is a document like any other; a source
@@ -33,7 +32,6 @@ WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 EPOCHS = 3
 BLOCK_WORDS = 32
 FIBONACCI = (2971215073, 1836311903)  # points and step, F(47) and F(46); their product is below 2 ** 63
-ROUNDED = (1 << 31, 1327217885)  # the points of MIX_SQL
 CELLS = 4096  # cells of the unit interval that slots and sources meet in
 BROADCAST_ROWS = 1_000_000
 CHUNK = 1 << 14  # slots that are ranked in one window

@@ -45,11 +45,11 @@ with sized as (
     (sum(floor(target)::bigint) over ())::bigint as a
   from targets
 ), bounds as (
-  select *, floor((e - t)::double / greatest(a, 1)::double * 2147483648.0)::bigint as low,
-    floor(e::double / greatest(a, 1)::double * 2147483648.0)::bigint as high
+  select *, floor((e - t)::double / greatest(a, 1)::double * 2971215073.0)::bigint as low,
+    floor(e::double / greatest(a, 1)::double * 2971215073.0)::bigint as high
   from ends
 ), slots as (
-  select (range % 2147483648 * 1327217885) % 2147483648 as point
+  select (range % 2971215073 * 1836311903) % 2971215073 as point
   from range((select ceil(sum(floor(target)) / 32)::bigint from targets))
 ), used as (
   select b.source, count(*) as k from slots s join bounds b on s.point >= b.low and s.point < b.high group by 1
@@ -72,7 +72,7 @@ from placed
 
 @query("op2_mixing", MIX_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = op02_mixing.mix_words(table(spark, sf_dir, "documents"), sequence=op02_mixing.ROUNDED)  # as in MIX_SQL
+    mixed = op02_mixing.mix_words(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 

@@ -82,10 +82,10 @@ def test_small_sources_get_slots_among_millions(spark):
     assert all(1 <= n <= 6 for n in slots.values())
 
 
-def test_rounded_sequence_is_that_of_the_sql(spark):
+def test_points_are_those_of_the_sql(spark):
     from caseload.llm.queries import MIX_SQL
 
-    assert all(str(n) in MIX_SQL for n in mixing.ROUNDED)
+    assert all(str(n) in MIX_SQL for n in mixing.FIBONACCI)
 
 
 # -- chats
