@@ -68,10 +68,24 @@ def _trim() -> None:
         pass
 
 
+_leave: dict[str, Callable[[], None]] = {}  # module -> how it forgets what it keeps in a worker
+
+
+def on_leave(module: str, forget: Callable[[], None]) -> None:
+    """``forget`` is called in a worker process when a task of another module begins there."""
+    _leave[module] = forget
+
+
 def in_arrow(df: DataFrame, fn: Callable[[Iterator], Iterator], schema) -> DataFrame:
-    """``df.mapInArrow`` that keeps the worker small between batches."""
+    """``df.mapInArrow`` that keeps the worker small between batches, and between operators: what
+    another one keeps from task to task is forgotten first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [forget for module, forget in _leave.items() if module != fn.__module__]
+        for forget in others:
+            forget()
+        if others:
+            _trim()
         for n, batch in enumerate(fn(batches), 1):
             yield batch
             if n % 8 == 0:

@@ -34,7 +34,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import fresh_path
-from .common import blocks, in_arrow, mix, partitions, ship, texts_of
+from .common import blocks, in_arrow, mix, on_leave, partitions, ship, texts_of
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -163,9 +163,10 @@ class Encoder:
             sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // width
             ids, n = np.frombuffer(b"".join(pieces), self.dtype), sizes[code]
             upto = np.cumsum(n)
-            at = np.repeat((np.cumsum(sizes) - sizes)[code] - (upto - n), n)
+            kind = np.int32 if max(len(ids), int(upto[-1])) < 1 << 31 else np.int64
+            at = np.repeat(((np.cumsum(sizes) - sizes)[code] - (upto - n)).astype(kind), n)
             del code, n
-            at += np.arange(len(at))
+            at += np.arange(len(at), dtype=kind)
             done = upto[inside + np.arange(len(inside))]  # ids up to and with each end
             counts = np.diff(done, prepend=-open_ids)
             open_ids = int(upto[-1] - (done[-1] if len(done) else -open_ids))
@@ -180,10 +181,18 @@ class Encoder:
 
 @lru_cache(2)
 def _encoder(path: str, dtype: str) -> Encoder:
-    """A worker process keeps what it has encoded from task to task."""
+    """A worker process keeps what it has encoded from task to task, until it does other work."""
     return Encoder(path, dtype)
 
 
+def _forget() -> None:
+    _encoder.cache_clear()
+    _tokenizer.cache_clear()
+
+
+on_leave(__name__, _forget)
+
+
 def id_type(path: str) -> str:
     """Two bytes for each id where the vocabulary allows it, else four."""
     return "<u2" if max(_tokenizer(path).get_vocab().values(), default=0) < 1 << 16 else "<u4"

@@ -110,3 +110,16 @@ def test_small_pieces_and_caches_give_the_same_ids(monkeypatch):
     library = store._tokenizer(path)
     assert [int(n) for _, counts in found for n in counts] == [len(library.encode(t, add_special_tokens=False).ids) + 1 for t in texts]
     assert len(encoder.new) + len(encoder.old) < 60
+
+
+def test_a_worker_forgets_the_encoder_when_other_work_begins(spark):
+    """Tasks of another module empty what the store keeps in their process."""
+    from caseload.llm import common
+
+    calls = []
+    common.on_leave("elsewhere", lambda: calls.append(1))
+    store._encoder(PATH, "<u2")
+    assert store._encoder.cache_info().currsize
+    common._leave[store.__name__]()
+    assert not store._encoder.cache_info().currsize and not calls
+    del common._leave["elsewhere"]
