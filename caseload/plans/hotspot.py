@@ -122,10 +122,10 @@ def assemble(
     return assembler.transform(df.drop("features"))
 
 
-def time_split(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def time_split(df: DataFrame, year: str = "year") -> tuple[DataFrame, DataFrame]:
     """Train on the years before the last one, test on the last."""
-    last = df.agg(F.max("year")).scalar()
-    return df.filter(F.col("year") < last), df.filter(F.col("year") == last)
+    last = df.agg(F.max(year)).scalar()
+    return df.filter(F.col(year) < last), df.filter(F.col(year) == last)
 
 
 def max_bins(df: DataFrame, at_least: int = 32) -> int:

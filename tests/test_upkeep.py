@@ -9,6 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from caseload import operators as op
+from caseload.catalogue import upkeep
 from caseload.catalogue.bindings import fips, incidents
 from caseload.catalogue.upkeep import _MART_ROWS
 from caseload.plans import marts, sketches
@@ -119,3 +120,35 @@ def test_sketches_of_odd_columns(spark):
     assert {(r.state, r.distinct) for r in sketches.distinct_counts(stored, ["state"]).collect()} == {("s", 2), ("t", 0)}
     assert {(r.state, r.quantile) for r in sketches.quantiles(stored, 1.0, ["state"]).collect()} == {("s", 5.0)}
     assert [r.distinct for r in sketches.distinct_counts(stored).collect()] == [2]
+
+
+def _of_tables(df):
+    return [f for f in df.inputFiles() if f"{SF}/lineitem" in f]
+
+
+@pytest.mark.parametrize("run", [lambda spark: upkeep._kept_up(spark, SF)])
+def test_partitions_come_from_one_copy(spark, monkeypatch, run):
+    written = []
+    for name in ("write_cleaned", "replace_partitions"):
+        def spy(df, *more, _write=getattr(upkeep, name)):
+            written.append(_of_tables(df))
+            return _write(df, *more)
+        monkeypatch.setattr(upkeep, name, spy)
+    run(spark)
+    assert written == [[], [], []]
+
+
+def test_lines_are_shuffled_once_to_their_orders(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = incidents(spark, SF, "state", "county")._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    at = next(n for n, line in enumerate(plan) if "FileScan" in line and "l_orderkey" in line)
+    depth, above = 10_000, 0
+    for line in reversed(plan[: at + 1]):
+        now = len(line) - len(line.lstrip(" :+-"))
+        if now < depth:
+            depth, above = now, above + ("Exchange" in line)
+    assert above == 1
