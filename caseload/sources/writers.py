@@ -1,4 +1,5 @@
-"""Writers. Overwrite is the mode everywhere; file sizes are left to Spark."""
+"""Writers. Overwrite is the mode everywhere; file sizes are left to Spark, but for CSV files: one
+with line breaks inside its texts is read by one task, so a file holds at most ``CSV_ROWS`` rows."""
 
 from __future__ import annotations
 
@@ -10,11 +11,14 @@ from ..operators.shape import display
 from ..schemas import PREDICTION_COLUMNS
 
 
+CSV_ROWS = 250_000
+
+
 def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
     writer = df.write.mode("overwrite")
     if fmt == "csv":
         # quotes inside a text are doubled, as other readers expect
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_ROWS)
     writer.format(fmt).save(path)
 
 

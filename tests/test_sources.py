@@ -72,3 +72,13 @@ def test_county_codes_stay_text(spark, tmp_path):
     (tmp_path / "fips.csv").write_text("fips,county_name,state\n01001,Autauga County,AL\n", encoding="latin-1")
     row = sources.read_fips(spark, f"{tmp_path}/fips.csv").first()
     assert tuple(row) == ("01001", "Autauga County", "AL")
+
+
+def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
+    from caseload.sources import writers
+
+    monkeypatch.setattr(writers, "CSV_ROWS", 10)
+    path = tmp_path / "t"
+    writers.write_result(spark.range(25).coalesce(1).selectExpr("id", "concat('a\n', id) as text"), str(path))
+    assert len(list(path.glob("*.csv"))) == 3
+    assert spark.read.option("header", True).option("multiLine", True).csv(str(path)).count() == 25
