@@ -94,3 +94,14 @@ def test_one_class_scores_zero(incidents):
     model = hotspot.train_rf(train, params={"numTrees": 3, "maxDepth": 2, "seed": 1})
     metrics = hotspot.evaluate(hotspot.score(model, test.withColumn("is_hotspot", F.lit(0))))
     assert (metrics.auc, metrics.f1) == (0.0, 0.0)
+
+
+def test_measures_of_one_class(spark):
+    rows = [(1, 1.0, 0.2), (1, 0.0, 0.7), (1, 1.0, 0.9), (1, 0.0, 0.4)]
+    scored = spark.createDataFrame(rows, "is_hotspot int, prediction double, score double")
+    kept = hotspot.evaluate(scored, "score")
+    assert (kept.auc, kept.f1, kept.precision, kept.recall) == (0.0, 0.0, 1.0, 0.5)
+    found = hotspot.evaluate(scored, "score", one_class="undefined")
+    assert found.auc != found.auc and (round(found.f1, 9), found.accuracy, found.precision, found.recall) == (0.666666667, 0.5, 1.0, 0.5)
+    none = hotspot.evaluate(scored.withColumn("is_hotspot", F.lit(0)), "score", one_class="undefined")
+    assert (none.f1, none.accuracy, none.precision) == (0.0, 0.5, 0.0) and none.recall != none.recall
