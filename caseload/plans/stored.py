@@ -22,7 +22,9 @@ from ..operators.joins import common_keys, hot_keys_of, join_facts
 from ..operators.shape import first_per_key, project_ordered, union_states
 from ..schemas import FLAT_COLUMNS
 from ..session import fresh_path, sibling_session
-from .extract import Profile, Tables, describe, find_hot, first_offender, persons, type_key
+from .extract import (
+    Profile, Tables, agencies, describe, find_hot, first_offender, persons, type_key, with_agency, with_type,
+)
 
 KEY = "incident_id"
 Join = Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame]
@@ -150,22 +152,25 @@ def extract_stored(stored: StoredFacts, lookups: Tables, profile: Profile = Prof
 
     tables = {**lookups, "offense": stored.even["offense"]}
     key = type_key(tables, profile)
-    rows = _cases(stored.even, key, plain)
-    if set(stored.hot) == {"incident"}:
+    known = agencies(lookups)
+    even, hot = ({**f, "incident": with_agency(f["incident"], known)} if f else {} for f in (stored.even, stored.hot))
+    rows = _cases(even, tables, key, plain)
+    if set(hot) == {"incident"}:
         # only incidents without an id lie apart: nothing can meet them
-        rows = union_states([rows, stored.hot["incident"]], allow_missing=True)
-    elif stored.hot:
-        rows = union_states([rows, _cases(stored.hot, key, spread)])
-    return project_ordered(describe(rows, tables, profile, key), FLAT_COLUMNS)
+        rows = union_states([rows, hot["incident"]], allow_missing=True)
+    elif hot:
+        rows = union_states([rows, _cases(hot, tables, key, spread)])
+    return project_ordered(describe(rows, tables, profile), FLAT_COLUMNS)
 
 
-def _cases(facts: Mapping[str, DataFrame], key: str | None, join: Join) -> DataFrame:
+def _cases(facts: Mapping[str, DataFrame], t: Tables, key: str | None, join: Join) -> DataFrame:
     """Incidents with their offenses, victims and first offenders: every join has the incident in
     its key, so buckets meet buckets."""
     offenses = project_ordered(facts["offense"], [KEY, "offense_id", "location_id", *([key] if key else [])])
     if "weapon_link" in facts:
         of = [KEY, "offense_id"]
         offenses = join(offenses, first_per_key(facts["weapon_link"], of, ["weapon_id"]), of)
+    offenses = with_type(offenses, t, key)
     of = [KEY, "victim_id"]
     victims = join(facts["victim_offense_link"], facts["victim"].withColumn("_known", F.lit(True)), of)
     victims = victims.filter("_known").drop("_known")

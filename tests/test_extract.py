@@ -104,3 +104,20 @@ def test_missing_files(spark, folder):
     assert "weapon_name" not in out.columns and out.count() == 6
     with pytest.raises(ValueError):
         read_raw_set(spark, str(folder), on_missing="perhaps")
+
+
+def test_large_lookups_meet_narrow_rows(spark, monkeypatch):
+    """Agencies and offense types are joined before the cases are wide; only small names come last."""
+    from caseload.catalogue.bindings import raw_tables
+    from caseload.plans import extract
+
+    seen = []
+
+    def spy(rows, *more, _describe=extract.describe):
+        seen.append(set(rows.columns))
+        return _describe(rows, *more)
+
+    monkeypatch.setattr(extract, "describe", spy)
+    extract.extract_incidents(raw_tables(spark, "/root/testdata/sf0.001"))
+    assert {"agency_name", "county", "population", "offense_name", "offense_category"} <= seen[0]
+    assert "location_name" not in seen[0]
