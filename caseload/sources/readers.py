@@ -144,7 +144,9 @@ def with_state_year(df: DataFrame, path_column: str = "_path") -> DataFrame:
     A name without a number at its end gives a null year. A folder of that name
     holding part files works as well.
     """
-    stem = F.regexp_extract(path_column, r"([^/=]+?)(?:\.csv)?(?:/part-[^/]*)?$", 1)
+    # no match begins before the last two parts of a path, and each place before them costs a try a row
+    tail = F.substring_index(path_column, "/", -2)
+    stem = F.regexp_extract(tail, r"([^/=]+?)(?:\.csv)?(?:/part-[^/]*)?$", 1)
     pieces = F.split(F.url_decode(stem), "_")
     last = F.element_at(pieces, -1)
     return df.withColumns(

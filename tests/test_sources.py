@@ -82,3 +82,16 @@ def test_csv_files_are_bounded(spark, tmp_path, monkeypatch):
     writers.write_result(spark.range(25).coalesce(1).selectExpr("id", "concat('a\n', id) as text"), str(path))
     assert len(list(path.glob("*.csv"))) == 3
     assert spark.read.option("header", True).option("multiLine", True).csv(str(path)).count() == 25
+
+
+def test_state_and_year_come_from_the_end_of_a_path(spark):
+    """Only the last two parts of a path are tried, and give what the whole path would."""
+    cases = {
+        "file:/a=b/c_1999/new_mexico_2021.csv": ("New Mexico", 2021), "/x/_file=middle_east_1994/part-0-1.c000.csv": ("Middle East", 1994),
+        "/x/texas_2020.csv/part-00001.csv": ("Texas", 2020), "texas_2020.csv": ("Texas", 2020), "/x/new%20york_2020/part-1": ("New York", 2020),
+        "/x/y=/part-7_8": ("Part-7", 8), "/x/a=ohio_2000.csv": ("Ohio", 2000), None: (None, None),
+    }
+    df = spark.createDataFrame([(p,) for p in cases], "_path string")
+    found = sources.readers.with_state_year(df)
+    assert {r["_path"]: (r["state"], r["year"]) for r in found.collect()} == cases
+    assert "substring_index(_path" in found._jdf.queryExecution().optimizedPlan().toString()
