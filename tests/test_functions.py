@@ -134,6 +134,13 @@ def test_keys(spark):
     assert apply(spark, "k string", list(cases), fn.coerce_key("k")) == list(cases.values())
 
 
+def test_keys_by_one_pattern(spark):
+    cases = {"+5": 5, "-3.0": -3, "": None, ".0": None, "1.0.0": None, "7.": None, "1e3": None, "9" * 30: None, "12.00": None}
+    assert apply(spark, "k string", list(cases), fn.coerce_key("k")) == list(cases.values())
+    plan = spark.createDataFrame([("1",)], "k string").select(fn.coerce_key("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_replace" not in plan
+
+
 def test_county_names(spark):
     cases = {
         "Orleans Parish": "ORLEANS", "king county": "KING", " Adams ": "ADAMS", None: None,

@@ -95,3 +95,11 @@ def test_state_and_year_come_from_the_end_of_a_path(spark):
     found = sources.readers.with_state_year(df)
     assert {r["_path"]: (r["state"], r["year"]) for r in found.collect()} == cases
     assert "substring_index(_path" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_of_raw_files_are_parsed_once(spark):
+    """The extraction reads its tables more than once, but no CSV file."""
+    from caseload.catalogue import QUERIES
+
+    plan = QUERIES["extract_from_csv"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "FileScan csv" not in plan
