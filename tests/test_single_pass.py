@@ -212,3 +212,13 @@ def test_candidates_give_the_rows_of_the_full_count(spark, tracked):
 def test_candidates_of_an_empty_table(spark):
     top, how = profile.top_values_by_candidates(spark.createDataFrame([], "a string, b string"))
     assert top.collect() == [] and {r["method"] for r in how.collect()} == {profile.CANDIDATES}
+
+
+def test_candidates_are_counted_in_incidents_joined_once(spark, monkeypatch):
+    from caseload.catalogue import QUERIES
+
+    seen = []
+    keep = profile.top_values_by_candidates
+    monkeypatch.setattr(profile, "top_values_by_candidates", lambda df, *a, **k: seen.append(df) or keep(df, *a, **k))
+    assert QUERIES["top_values_candidates"](spark, SF).count() > 0
+    assert "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
