@@ -9,9 +9,10 @@ documents share last. Two sets that reach the similarity share an n-gram among t
    gives the same links; this one keeps groups small.
 2. *Signatures*: size, key of the whole set, prefix, and a parity bitmap of the set. Equal sets
    are one node from here on; sets with equal size and prefix are one group.
-3. *Group pairs*: groups meet under each prefix n-gram that at least two groups hold. A pair is
-   kept if sizes allow the similarity and the bitmaps differ in no more bits than the sets may
-   differ in members (both are bounds, so no link is lost). Groups are expanded to members here.
+3. *Group pairs*: groups meet under a prefix n-gram if it can be the first that two of them share:
+   what follows it must be enough for the similarity, on both sides (sizes and places decide), and
+   the n-grams before it differ, else they have met under that one already. A pair is kept if sizes allow the similarity and the bitmaps differ in no more bits than the sets may
+   differ in members (all are bounds, so no link is lost). Groups are expanded to members here.
    Not all pairs are written: members already connected by kept pairs are passed over, so a group
    of m near copies gives m - 1 pairs. An n-gram with very many groups is cut into blocks, and
    each pair of blocks is a unit of its own.
@@ -56,6 +57,7 @@ MEMBERS = 256  # sets in one row of a group
 UNIT_GRAMS = 500_000  # n-grams of a block of sets whose links are counted, about
 UNIT = 2048  # groups that meet under one n-gram in one unit
 BROADCAST_IDS = 1_000_000
+FIRST = (1 << 48) - 1  # stands for the n-gram before the first of a prefix; no n-gram has this number
 TOKEN = 6  # bytes of an n-gram in a prefix; a chance meeting of two is found out by the bounds
 SIGNATURE = "doc_id long, n long, node binary, gid long, bits binary, prefix binary"
 
@@ -166,7 +168,7 @@ def _signatures(words: int, frequent: np.ndarray):
                     total = np.concatenate([[np.uint64(0)], np.cumsum(mix(sets + np.uint64(seed * 0x632BE59BD9B4E019 % (1 << 64))))])
                     sums.append(mix(total[first[1:]] - total[first[:-1]] + n.astype(np.uint64)))
                 bits = _bitmaps(sets, row, n)
-                take = n - (-(-NUM * n // DEN)) + (n > 0)
+                take = _taken(n)
                 prefixes, gids = [], []
                 for r in range(high - low):
                     prefix = np.sort(key[first[r] : first[r + 1]])[: take[r]] >> np.uint64(16)
@@ -185,28 +187,43 @@ def _signatures(words: int, frequent: np.ndarray):
 # -- 3. group pairs ---------------------------------------------------------------------------
 
 
+def _taken(n: np.ndarray) -> np.ndarray:
+    """Length of the prefix of a set of n."""
+    return n - (-(-NUM * n // DEN)) + (n > 0)
+
+
 def _deal(parts: int):
-    """Prefixes cut by n-gram into ``parts`` parts; a group is sent once a task."""
+    """Prefixes cut by n-gram into ``parts`` parts; a group is sent once a task. Each n-gram has with
+    it the one before it and its place in the prefix, in 256 steps."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = set()
         for batch in batches:
-            gid, prefix = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            gid, n, prefix = (c.to_pylist() for c in batch.columns)
             fresh = [i for i, g in enumerate(gid) if g not in seen and not seen.add(g)]
             if not fresh:
                 continue
             token = _unpacked(b"".join([prefix[i] for i in fresh]))
-            n = np.array([len(prefix[i]) // TOKEN for i in fresh])
-            owner = np.repeat(np.array([gid[i] for i in fresh], np.int64), n)
+            take = np.array([len(prefix[i]) // TOKEN for i in fresh])
+            begin = np.repeat(np.cumsum(take) - take, take)
+            before = np.concatenate([[np.uint64(FIRST)], token[:-1]])
+            before[begin[np.arange(len(token)) == begin]] = FIRST
+            step = ((np.arange(len(token)) - begin) * 256 // np.repeat(take, take)).astype(np.uint8)
+            group = np.repeat(np.arange(len(fresh)), take)
             part = (mix(token) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((owner, part))
-            token, owner, part = token[order], owner[order], part[order]
+            order = np.lexsort((group, part))
+            token, before, step, group, part = token[order], before[order], step[order], group[order], part[order]
+            names, sizes = np.array([gid[i] for i in fresh], np.int64), np.array([n[i] for i in fresh], np.int64)
             cut = np.searchsorted(part, np.arange(parts + 1))
             rows = [(p, a, b) for p, a, b in zip(range(parts), cut, cut[1:]) if a < b]
             packed = []
             for _, a, b in rows:
-                names, counts = np.unique(owner[a:b], return_counts=True)
-                packed.append(np.uint64(len(names)).tobytes() + names.tobytes() + counts.astype("<u4").tobytes() + _packed(token[a:b]))
+                which, counts = np.unique(group[a:b], return_counts=True)
+                width = 1 if counts.max() < 256 else 4
+                packed.append(b"".join([
+                    np.array([len(which), width], np.uint64).tobytes(), names[which].tobytes(), sizes[which].astype("<u4").tobytes(),
+                    counts.astype(f"<u{width}").tobytes(), step[a:b].tobytes(), _packed(token[a:b]), _packed(before[a:b]),
+                ]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p for p, _, _ in rows], pa.int32()), pa.array(packed, pa.binary())], ["part", "packed"],
             )
@@ -214,33 +231,71 @@ def _deal(parts: int):
     return run
 
 
+def _dealt(raw: bytes) -> tuple[np.ndarray, ...]:
+    """(n-gram, the one before, group, size, step) as ``_deal`` has packed them."""
+    k, width = map(int, np.frombuffer(raw, np.uint64, 2))
+    names, sizes, at = np.frombuffer(raw, np.int64, k, 16), np.frombuffer(raw, "<u4", k, 16 + 8 * k), 16 + 12 * k
+    counts = np.frombuffer(raw, f"<u{width}", k, at)
+    at, total = at + width * k, int(counts.sum())
+    step, at = np.frombuffer(raw, np.uint8, total, at), at + total
+    token, before = _unpacked(raw, total, at), _unpacked(raw, total, at + TOKEN * total)
+    return token, before, np.repeat(names, counts), np.repeat(sizes, counts), step
+
+
+def _may_begin(token: np.ndarray, n: np.ndarray, allow: np.ndarray) -> np.ndarray:
+    """Rows of (token, n, allow), by token and n, with another row whose set may share ``token`` as
+    the first of enough n-grams: NUM times the size of each within the allowance of the other."""
+    need = NUM * n
+    run = np.cumsum(np.concatenate([[False], token[1:] != token[:-1]])) << 34
+    # the largest and second largest allowance of the rows of a token up to each
+    most = np.maximum.accumulate(run + allow)
+    lower = np.minimum((run + allow)[1:], most[:-1])
+    second = np.maximum.accumulate(np.concatenate([[-1], np.where(run[1:] == run[:-1], lower, run[1:] - 1)]))
+    last = np.searchsorted(run + need, run + allow, "right") - 1
+    # a row that could meet itself needs one more
+    reached = np.where(allow >= need, second[last], most[last])
+    return (last >= 0) & (reached >= run + need)
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(token, gid, groups) of the n-grams that two groups or more hold."""
-    tokens, owners = [], []
-    for batch in batches:
-        for raw in batch.column(1).to_pylist():
-            k = int(np.frombuffer(raw, np.uint64, 1)[0])
-            counts = np.frombuffer(raw, "<u4", k, 8 + 8 * k)
-            owners.append(np.repeat(np.frombuffer(raw, np.int64, k, 8), counts))
-            tokens.append(_unpacked(raw, int(counts.sum()), 8 + 12 * k))
-    if not tokens:
+    """(token, gid, groups, allow, before) of the n-grams that may be the first that two groups share.
+
+    If one is the first that sets of n and m share, at places i and j, they share n - i and m - j at
+    most, and need NUM (n + m) / (NUM + DEN): so NUM m is within ``allow`` = DEN n - (NUM + DEN) i,
+    and likewise for j. A place is known as a lower bound, so no such pair is missed. Nor is the
+    n-gram ``before`` it the same for both; for the first of a prefix that is a number of the group.
+    """
+    held = [_dealt(raw) for batch in batches for raw in batch.column(1).to_pylist()]
+    if not held:
         return
-    token, owner = np.concatenate(tokens), np.concatenate(owners)
-    del tokens, owners
-    order = np.lexsort((owner, token))
-    token, owner = token[order], owner[order]
+    token, before, owner, n, step = (np.concatenate(c) for c in zip(*held))
+    del held
+    order = np.lexsort((step, owner, token))
+    token, before, owner, n, step = token[order], before[order], owner[order], n[order], step[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])
-    token, owner = token[new], owner[new]
-    start = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
-    n = np.repeat(np.diff(np.append(start, len(token))), np.diff(np.append(start, len(token))))
-    keep = n > 1
-    token, owner, n = token[keep].view(np.int64), owner[keep], n[keep]
+    new = np.flatnonzero(new)
+    keep = new[_run_lengths(token[new]) > 1]
+    token, before, owner, n, step = token[keep], before[keep].view(np.int64), owner[keep], n[keep].astype(np.int64), step[keep]
+    if not len(token):
+        return
+    allow = DEN * n + (NUM + DEN) * (step.astype(np.int64) * -_taken(n) // 256)
+    order = np.lexsort((n, token))
+    order = order[_may_begin(token[order], n[order], allow[order])]
+    token, before, owner, allow = token[order], before[order], owner[order], allow[order]
+    before = np.where(before == FIRST, -1 - (owner & ((1 << 62) - 1)), before)
+    columns = [token.view(np.int64), owner, _run_lengths(token), allow, before]
     for low in range(0, len(token), 50_000):
-        part = slice(low, low + 50_000)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(token[part]), pa.array(owner[part]), pa.array(n[part].astype(np.int64))], ["token", "gid", "groups"],
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(c[low : low + 50_000]) for c in columns], ["token", "gid", "groups", "allow", "before"])
+
+
+def _run_lengths(ordered: np.ndarray) -> np.ndarray:
+    """For each value how many are equal to it."""
+    if not len(ordered):
+        return np.zeros(0, np.int64)
+    start = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    n = np.diff(np.append(start, len(ordered)))
+    return np.repeat(n, n)
 
 
 class _Forest:
@@ -264,11 +319,13 @@ class _Forest:
         return True
 
 
-def _unit_pairs(node: list[bytes], n: np.ndarray, bits: list[bytes], label: list | None, forest: _Forest) -> list[tuple]:
+def _unit_pairs(
+    node: list[bytes], n: np.ndarray, allow: np.ndarray, before: np.ndarray, bits: list[bytes], label: list | None, forest: _Forest,
+) -> list[tuple]:
     """Kept pairs of one unit: a forest of them, or with labels all that cross two labels."""
     out = []
     order = sorted(range(len(node)), key=lambda i: (n[i], node[i]))
-    n, bits, node = n[order], [bits[i] for i in order], [node[i] for i in order]
+    n, allow, before, bits, node = n[order], allow[order], before[order], [bits[i] for i in order], [node[i] for i in order]
     names = np.array([hash(label[i]) for i in order]) if label is not None else None
     # sizes ascend, and so do the lengths of bitmaps: one matrix for each length
     length = np.array([len(b) for b in bits])
@@ -291,6 +348,7 @@ def _unit_pairs(node: list[bytes], n: np.ndarray, bits: list[bytes], label: list
             differ = np.bitwise_count(table[a - start : b - start] ^ mine).sum(1, dtype=np.int64)
             near.append(a + np.flatnonzero((DEN + NUM) * differ <= (DEN - NUM) * (n[a:b] + n[i])))
         near = np.sort(np.concatenate(near))
+        near = near[(before[near] != before[i]) & (allow[near] >= NUM * n[i]) & (allow[i] >= NUM * n[near])]
         if names is not None:
             near = near[names[near] != names[i]]
             out += [(node[j], node[i]) for j in near.tolist() if node[j] != node[i]]
@@ -304,25 +362,25 @@ def _pairs(labelled: bool):
         forest, held, now = _Forest(), [], None
 
         def flush() -> list[tuple]:
-            if len(held) < 2 and (not held or len(held[0][1]) < 2):
+            if len(held) < 2 and (not held or len(held[0][3]) < 2):
                 return []
-            size, members = [], []
-            for n, group in held:
-                size += [n] * len(group)
-                members += group
-            once = {m["node"]: k for k, m in enumerate(members)}
-            keep = list(once.values())
-            members, size = [members[k] for k in keep], np.array([size[k] for k in keep], np.int64)
-            bits = [m["bits"] for m in members]
-            return _unit_pairs(list(once), size, bits, [m["label"] for m in members] if labelled else None, forest)
+            once = {}
+            for n, allow, before, group in held:
+                for m in group:
+                    # a group by itself: every pair is to meet
+                    once[m["node"]] = n, allow, before if before is not None else -(1 << 62) - 1 - len(once), m
+            n, allow, before, members = zip(*once.values())
+            sizes, allowed, befores = (np.array(c, np.int64) for c in (n, allow, before))
+            labels = [m["label"] for m in members] if labelled else None
+            return _unit_pairs(list(once), sizes, allowed, befores, [m["bits"] for m in members], labels, forest)
 
         for batch in batches:
             out = []
-            for *key, n, group in zip(*[c.to_pylist() for c in batch.columns]):
+            for *key, n, allow, before, group in zip(*[c.to_pylist() for c in batch.columns]):
                 if key != now:
                     out += flush()
                     held, now = [], key
-                held.append((n, group))
+                held.append((n, allow, before, group))
             if out:
                 yield _edges(out)
         if out := flush():
@@ -337,19 +395,19 @@ def _edges(pairs: list[tuple]) -> pa.RecordBatch:
 
 
 def _kept_pairs(shared: DataFrame, members: DataFrame, parts: int, labelled: bool = False) -> DataFrame:
-    """``shared``: (token, gid, groups); ``members``: (gid, n, node, bits[, label])."""
+    """``shared``: (token, gid, groups, allow, before); ``members``: (gid, n, node, bits[, label])."""
     fields = ["node", "bits", *(["label"] if labelled else [])]
     chunk = F.pmod(F.xxhash64("node"), F.greatest(F.lit(1), F.ceil(F.col("_members") / MEMBERS)))
     counted = members.join(members.groupBy("gid").agg(F.count(F.lit(1)).alias("_members")), "gid")
     grouped = counted.groupBy("gid", "n", chunk.alias("_chunk"), "_members").agg(F.collect_list(F.struct(*fields)).alias("members"))
-    alone = grouped.filter("_members > 1").select(F.xxhash64("gid").alias("token"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"), "n", "members")
+    alone = grouped.filter("_members > 1").select(F.xxhash64("gid").alias("token"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("q"), "n", (DEN * F.col("n")).alias("allow"), F.lit(None).cast("long").alias("before"), "members")
     blocks_of = F.when(F.col("groups") > UNIT, F.ceil(F.col("groups") / (UNIT // 2))).otherwise(F.lit(1))
     own = F.pmod(F.xxhash64("gid"), F.col("_blocks"))
     met = (
         shared.withColumn("_blocks", blocks_of.cast("long")).withColumn("_own", own)
         .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-        .select("token", "gid", F.least("_own", "_other").alias("p"), F.greatest("_own", "_other").alias("q"))
-        .join(grouped, "gid").select("token", "p", "q", "n", "members")
+        .select("token", "gid", "allow", "before", F.least("_own", "_other").alias("p"), F.greatest("_own", "_other").alias("q"))
+        .join(grouped, "gid").select("token", "p", "q", "n", "allow", "before", "members")
     )
     units = met.unionByName(alone).repartition(parts, "token", "p", "q").sortWithinPartitions("token", "p", "q")
     return units.transform(in_arrow, _pairs(labelled), "a binary, b binary").distinct()
@@ -476,8 +534,8 @@ def _components(docs: DataFrame, words: int) -> tuple[DataFrame, DataFrame, Data
     frequent = frequent_grams(docs.select("text"), words)
     signatures = land(docs.transform(in_arrow, _signatures(words, frequent), SIGNATURE), "jaccard-signatures")
     filled = signatures.filter("n > 0")
-    dealt = filled.select("gid", "prefix").transform(in_arrow, _deal(parts), "part int, packed binary")
-    shared = land(dealt.repartitionById(parts, "part").transform(in_arrow, _shared, "token long, gid long, groups long"), "jaccard-shared")
+    dealt = filled.select("gid", "n", "prefix").transform(in_arrow, _deal(parts), "part int, packed binary")
+    shared = land(dealt.repartitionById(parts, "part").transform(in_arrow, _shared, "token long, gid long, groups long, allow long, before long"), "jaccard-shared")
     nodes = land(
         filled.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("gid").alias("gid"), F.max("n").alias("n"), F.max("bits").alias("bits"), F.count(F.lit(1)).alias("copies")),
         "jaccard-nodes",

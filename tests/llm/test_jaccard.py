@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from caseload.llm import op10_jaccard as op
@@ -83,6 +85,62 @@ def test_empty(spark, docs_of):
     assert op.jaccard_components(frame).collect() == []
 
 
+def met(groups):
+    """Groups that meet, by n-gram, of (gid, n, prefix)."""
+    gid, n, prefix = zip(*groups)
+    batch = pa.RecordBatch.from_pydict({"gid": list(gid), "n": list(n), "prefix": [op._packed(np.array(p, np.uint64)) for p in prefix]})
+    out = {}
+    for b in op._shared(op._deal(3)(iter([batch]))):
+        for row in b.to_pylist():
+            out.setdefault(row["token"], set()).add(row["gid"])
+            assert row["groups"] >= 2
+    return out
+
+
+def test_groups_meet_where_the_first_shared_gram_may_be():
+    """A gram too late in two prefixes, or in sets of unlike sizes, can't be the first of enough."""
+    n, take = 100, 26
+    late = [(g, n, [*range(1000 * g, 1000 * g + take - 1), 900_000]) for g in (1, 2)]
+    early = [(g, n, [0, *range(1000 * g, 1000 * g + take - 1)]) for g in (3, 4)]
+    unlike = [(5, n, [1, *range(5000, 5000 + take - 1)]), (6, 40, [1, *range(6000, 6010)])]
+    assert met(late + early + unlike) == {0: {3, 4}}
+
+
+def test_pairs_meet_once_in_a_row_of_shared_grams():
+    """What shares the n-gram before has met there."""
+    prefix = [[7, 8, 9, *range(k, k + 23)] for k in (100, 200)]
+    batch = pa.RecordBatch.from_pydict({"gid": [1, 2], "n": [100, 100], "prefix": [op._packed(np.array(p, np.uint64)) for p in prefix]})
+    rows = [r for b in op._shared(op._deal(1)(iter([batch]))) for r in b.to_pylist()]
+    assert sorted({r["token"] for r in rows}) == [7, 8, 9]
+    kind = pa.list_(pa.struct({"node": pa.binary(), "bits": pa.binary(), "label": pa.binary()}))
+    units = pa.RecordBatch.from_arrays([
+        *[pa.array([r[c] for r in rows], pa.int64()) for c in ("token", "groups", "groups")], pa.array([100] * 6), pa.array([r["allow"] for r in rows]),
+        pa.array([r["before"] for r in rows]), pa.array([[{"node": bytes([r["gid"]]), "bits": bytes(64), "label": bytes([r["gid"]])}] for r in rows], kind),
+    ], ["token", "p", "q", "n", "allow", "before", "members"])
+    assert [p for b in op._pairs(True)(iter([units])) for p in b.to_pylist()] == [{"a": b"\1", "b": b"\2"}]
+
+
+def test_no_linked_pair_is_kept_apart():
+    rng = random.Random(5)
+    sets = []
+    for _ in range(150):
+        base = rng.sample(range(1 << 40), rng.choice((1, 3, 8, 30, 200, 2000)))
+        for _ in range(5):
+            lost = rng.choice((0, 0.03, 0.08, 0.12, 0.2))
+            sets.append(sorted({x for x in base if rng.random() >= lost} | {rng.randrange(1 << 40) for _ in range(int(lost * len(base)))} or set(base)))
+    sets += [sorted(rng.sample(range(40), 20)) for _ in range(60)]
+    n = np.array([len(s) for s in sets])
+    found = met([(k, len(s), s[:t]) for k, (s, t) in enumerate(zip(sets, op._taken(n).tolist()))])
+    links = 0
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            both = len({*a} & {*b})
+            if 4 * both >= 3 * (len(a) + len(b) - both):
+                links += 1
+                assert {i, j} <= found[min({*a} & {*b})]
+    assert links > 300
+
+
 def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)]
     frame = spark.createDataFrame(edges, "a long, b long")
