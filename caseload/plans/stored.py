@@ -23,7 +23,7 @@ from ..operators.shape import first_per_key, project_ordered, union_states
 from ..schemas import FLAT_COLUMNS
 from ..session import fresh_path, sibling_session
 from .extract import (
-    Profile, Tables, agencies, describe, find_hot, first_offender, persons, type_key, with_agency, with_type,
+    Profile, Tables, agencies, describe, first_offender, persons, type_key, with_agency, with_type,
 )
 
 KEY = "incident_id"
@@ -40,11 +40,14 @@ class StoredFacts:
     hot: Mapping[str, DataFrame]
 
 
-def keyed_facts(tables: Tables, share: float | None = None) -> dict[str, DataFrame]:
+def keyed_facts(
+    tables: Tables, share: float | None = None, kept: Callable[[str, DataFrame], Sequence[DataFrame]] = lambda _, df: [df],
+) -> dict[str, DataFrame]:
     """The facts of an extraction with the incident of each row.
 
     Links take it from the victim, weapons from the offense. What belongs to no incident
-    can't be met from one and is left out; incidents themselves all stay.
+    can't be met from one and is left out; incidents themselves all stay. ``kept`` takes each fact as
+    soon as it is made; it gives frames, no two with rows of one incident, from which others take theirs.
     """
     incident = tables["incident"].select(KEY, "agency_id", "incident_date", as_number("incident_hour").alias("incident_hour"))
     kind = incident.schema[KEY].dataType
@@ -52,12 +55,11 @@ def keyed_facts(tables: Tables, share: float | None = None) -> dict[str, DataFra
     def own(df: DataFrame) -> DataFrame:
         return df.withColumn(KEY, F.col(KEY).cast(kind)).filter(F.col(KEY).isNotNull())
 
-    def of_parent(df: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-        # one row for each key and incident, so no key is hot on the right
-        owner = parent.select(key, KEY).distinct()
+    def of_parent(df: DataFrame, parent: Sequence[DataFrame], key: str) -> DataFrame:
+        # one row for each key and incident, so no key is hot on the right; buckets by incident need no shuffle for it
+        owner = union_states([part.select(key, KEY).distinct() for part in parent])
         return join_facts(df.drop(KEY), owner, [key], probe=False).filter(F.col(KEY).isNotNull())
 
-    hot = find_hot(tables, share)
     victim = own(persons(tables["victim"], "victim", ["victim_id", KEY, "victim_type_id"]))
     link = project_ordered(tables["victim_offense_link"], ["victim_id", "offense_id"])
     keys = ["offense_type_id", "offense_code", "location_id"]
@@ -65,15 +67,21 @@ def keyed_facts(tables: Tables, share: float | None = None) -> dict[str, DataFra
     if "offense_id" in link.columns:
         link, offense = common_keys(link, offense, ["offense_id"])
     link, victim = common_keys(link, victim, ["victim_id"])
-    facts = {
-        "incident": incident, "offense": offense, "victim": victim, "victim_offense_link": of_parent(link, victim, "victim_id"),
-    }
+    facts = {"incident": incident, "offense": offense, "victim": victim}
+    parents = {name: kept(name, df) for name, df in facts.items()}
+
+    def keep(name: str, df: DataFrame) -> None:
+        facts[name] = df
+        kept(name, df)
+
+    keep("victim_offense_link", of_parent(link, parents["victim"], "victim_id"))
     if "weapon_link" in tables and "weapon_type" in tables:
         weapons, _ = common_keys(tables["weapon_link"].select("offense_id", "weapon_id"), offense, ["offense_id"])
-        facts["weapon_link"] = of_parent(weapons.filter("offense_id is not null"), offense, "offense_id")
+        keep("weapon_link", of_parent(weapons.filter("offense_id is not null"), parents["offense"], "offense_id"))
     if "victim_offender_rel" in tables and "offender" in tables:
+        hot = hot_keys_of({"offender": (tables["offender"], ["offender_id"])}, share)
         first, _ = common_keys(first_offender(tables, Profile(hot_share=share), hot), victim, ["victim_id"])
-        facts["first_offender"] = of_parent(first, victim, "victim_id")
+        keep("first_offender", of_parent(first, parents["victim"], "victim_id"))
     return facts
 
 
@@ -88,20 +96,24 @@ def store_facts(
     spark = tables["incident"].sparkSession
     folder = (folder or fresh_path(spark, "facts")).rstrip("/")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    facts = keyed_facts(tables, hot_share)
     stored = {n: ([KEY], tables[n]) for n in ("incident", "offense", "victim") if n in tables}
-    kind = facts["incident"].schema[KEY].dataType
+    kind = tables["incident"].schema[KEY].dataType
     typed = {n: (df.withColumn(KEY, F.col(KEY).cast(kind)), on) for n, (on, df) in stored.items()}
     hashes = sorted({h for found in hot_keys_of(typed, hot_share or 1 / buckets).values() for h in found})
     apart = F.col(KEY).isNull()
     if hashes:
         apart = apart | F.xxhash64(KEY).isin(hashes)
     stem = f"facts_{uuid.uuid4().hex}"
-    for name, df in facts.items():
+
+    def write(name: str, df: DataFrame) -> list[DataFrame]:
         even = df.filter(~apart).repartition(buckets, KEY)
         even.write.bucketBy(buckets, KEY).sortBy(KEY).option("path", f"{folder}/even/{name}").saveAsTable(f"{stem}_{name}")
         if hashes or name == "incident":
             df.filter(apart).write.parquet(f"{folder}/hot/{name}")
+        hot = [spark.read.schema(df.schema).parquet(f"{folder}/hot/{name}")] if hashes else []
+        return [spark.table(f"{stem}_{name}"), *hot]
+
+    facts = keyed_facts(tables, hot_share, write)
     layout = [(name, stem, buckets, bool(hashes) or name == "incident") for name in facts]
     spark.createDataFrame(layout, "name string, stem string, buckets int, hot boolean").coalesce(1).write.parquet(f"{folder}/layout")
     return open_facts(spark, folder)

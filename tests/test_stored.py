@@ -8,7 +8,7 @@ import pytest
 
 from caseload.catalogue.bindings import raw_tables
 from caseload.plans.extract import Profile, extract_incidents
-from caseload.plans.stored import extract_stored, forget, open_facts, store_facts
+from caseload.plans.stored import extract_stored, forget, keyed_facts, open_facts, store_facts
 
 SF = "/root/testdata/sf0.001"
 
@@ -88,3 +88,17 @@ def test_tables_are_opened_by_a_later_session(spark, odd, tmp_path):
     assert "Bucketed: true" in plan(extract_stored(again, odd, Profile(age_fix=False)))
     # the session's own joins are planned as before
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "true"
+
+
+def test_owners_come_from_buckets(spark):
+    """The incident of a link or weapon is taken from the written parent, not made again from its raw table."""
+    asked = {}
+
+    def kept(name, df):
+        asked[name] = plan(df)
+        return [df.sparkSession.range(0).selectExpr("id as victim_id", "id as offense_id", "id as incident_id")]
+
+    keyed_facts(raw_tables(spark, SF), kept=kept)
+    assert set(asked) == {"incident", "offense", "victim", "victim_offense_link", "weapon_link", "first_offender"}
+    # one scan of lines for the links, none for their victims
+    assert asked["victim_offense_link"].split("== Initial Plan ==")[0].count("FileScan parquet") == 1
