@@ -59,9 +59,9 @@ _FLAT_SQL = "select " + ", ".join(
 
 @query("csv_roundtrip", _FLAT_SQL)
 def csv_roundtrip(spark, sf):
-    """Display names in the file, internal names after it."""
+    """Display names in the file, internal names after it. A file is read whole by one task, packed or not."""
     path = fresh_path(spark, "incidents")
-    write_cleaned(_flat(spark, sf), path, "csv")
+    write_cleaned(_flat(spark, sf), path, "csv", "gzip")
     return read_incidents(spark, path, INCIDENT_SCHEMA)
 
 

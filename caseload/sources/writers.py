@@ -14,30 +14,30 @@ from ..schemas import PREDICTION_COLUMNS
 CSV_ROWS = 250_000
 
 
-def write_result(df: DataFrame, path: str, fmt: str = "csv") -> None:
+def write_result(df: DataFrame, path: str, fmt: str = "csv", compression: str | None = None) -> None:
+    """``compression`` of the files, such as ``gzip``; None leaves it to Spark: none for CSV."""
     writer = df.write.mode("overwrite")
+    if compression:
+        writer = writer.option("compression", compression)
     if fmt == "csv":
         # quotes inside a text are doubled, as other readers expect
         writer = writer.option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_ROWS)
     writer.format(fmt).save(path)
 
 
-def write_cleaned(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def write_cleaned(df: DataFrame, path: str, fmt: str = "parquet", compression: str | None = None) -> None:
     """The cleaned incident table, partitioned by state and year.
 
     The rebalance hint gives each partition folder files of even size: adaptive
     execution splits the large state over many tasks and joins small ones.
     """
     if fmt == "csv":
-        write_result(display(df), path, "csv")
+        write_result(display(df), path, "csv", compression)
         return
-    (
-        df.hint("rebalance", F.col("state"), F.col("year"))
-        .write.mode("overwrite")
-        .partitionBy("state", "year")
-        .format(fmt)
-        .save(path)
-    )
+    writer = df.hint("rebalance", F.col("state"), F.col("year")).write.mode("overwrite").partitionBy("state", "year")
+    if compression:
+        writer = writer.option("compression", compression)
+    writer.format(fmt).save(path)
 
 
 def replace_partitions(df: DataFrame, path: str, by: Sequence[str] = ("state", "year"), fmt: str = "parquet") -> None:

@@ -103,3 +103,13 @@ def test_texts_of_raw_files_are_parsed_once(spark):
 
     plan = QUERIES["extract_from_csv"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "FileScan csv" not in plan
+
+
+def test_csv_files_may_be_packed(spark, tmp_path, rows):
+    values = [(i, *[None] * 9, 'a "b", c', *[None] * 9, "TX", 2020) for i in range(50)]
+    df = spark.createDataFrame(values, INCIDENT_SCHEMA)
+    for name, how in (("packed", "gzip"), ("plain", None)):
+        sources.write_cleaned(df, f"{tmp_path}/{name}", "csv", how)
+        back = sources.read_incidents(spark, f"{tmp_path}/{name}", INCIDENT_SCHEMA)
+        assert rows(back, "offense_id", "victim_type", "state", "year") == rows(df, "offense_id", "victim_type", "state", "year")
+    assert list((tmp_path / "packed").glob("*.csv.gz")) and not list((tmp_path / "packed").glob("*.csv"))
