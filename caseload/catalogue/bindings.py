@@ -13,6 +13,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.joins import BROADCAST_ROWS
 from ..sources.readers import read_table
 
 
@@ -182,6 +183,7 @@ FIPS = (
 
 
 _SCHEMAS: dict[str, StructType] = {}
+HASHED_ROWS = 2_000_000  # orders of a shuffle partition that one task may hash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -206,15 +208,21 @@ def incidents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The wanted incident columns (all of them by default).
 
     What hangs on orders is joined to the orders, which are fewer and narrower; the lines are
-    joined once to what comes of it.
+    joined once to what comes of it. Of many orders each task hashes its share and streams the
+    lines past it: sorted, the lines of a task would all be held at once. Of more orders than tasks
+    can hash both sides are sorted, which can spill.
     """
     columns = columns or tuple(INC)
     wanted = _tables_for(columns)
     frame = table(spark, sf_dir, "lineitem")
     if "orders" in wanted:
         orders = table(spark, sf_dir, "orders")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # counted from the files' footers; what is beyond the limit could not be hashed in memory
+        many = BROADCAST_ROWS < orders.count() <= HASHED_ROWS * parts
         for t in (t for t in wanted if _ON[t][1]):
             orders = orders.join(table(spark, sf_dir, t), F.expr(_ON[t][0]))
+        orders = orders.hint("shuffle_hash") if many else orders
         frame = frame.join(orders, F.expr(_ON["orders"][0]))
     for t in (t for t in wanted if t != "orders" and not _ON[t][1]):
         frame = frame.join(table(spark, sf_dir, t), F.expr(_ON[t][0]))

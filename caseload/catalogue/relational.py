@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from ..plans.extract import Profile, extract_incidents
 from ..plans.stored import StoredFacts, extract_stored, store_facts
+from ..session import settle
 from .bindings import fips, incidents, raw_tables, table
 from .registry import query
 
@@ -194,8 +195,8 @@ def picked_key_join(spark, sf):
     "select state, county, count(*) as count from inc group by 1, 2",
 )
 def union_states(spark, sf):
-    """One frame per state, stacked by name in whatever column order."""
-    rows = incidents(spark, sf, "state", "county")
+    """One frame per state, stacked by name in whatever column order; the incidents are joined once."""
+    rows = settle(incidents(spark, sf, "state", "county"))
     states = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
     frames = [rows.filter(F.col("state") == s) for s in states]
     frames[1] = frames[1].select("county", "state")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseload import operators as op
-from caseload.catalogue import QUERIES
+from caseload.catalogue import QUERIES, bindings
 from caseload.catalogue.bindings import incidents
 from caseload.plans import cleaning, marts, profile
 
@@ -124,3 +124,39 @@ def test_null_keys_stay_a_join_key(spark):
     right = spark.range(10).selectExpr("id as k", "id as b")
     plan = planned(op.join_facts(left, right.hint("merge"), ["k"], sparse=True))
     assert re.search(r"Exchange hashpartitioning\(k#\d+L, _spread#\d+L", plan)
+
+
+def many_orders(spark, folder) -> str:
+    """Tables of 200,100 orders with three lines each, one of them of no order."""
+    made = {
+        "region": spark.sql("select * from values (0, 'AFRICA'), (1, 'ASIA') as t(r_regionkey, r_name)"),
+        "nation": spark.range(4).selectExpr("cast(id as int) as n_nationkey", "concat('N', id) as n_name", "cast(id % 2 as int) as n_regionkey"),
+        "customer": spark.range(8).selectExpr("id as c_custkey", "cast(id % 4 as int) as c_nationkey"),
+        "orders": spark.range(200_100).selectExpr("id as o_orderkey", "id % 8 as o_custkey"),
+        "lineitem": spark.range(600_300).selectExpr("nullif(id % 200100, 7) as l_orderkey", "cast(id % 3 as int) as l_linenumber"),
+    }
+    for name, df in made.items():
+        df.write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_lines_of_many_orders_are_not_sorted(spark, tmp_path, rows, monkeypatch):
+    sf = many_orders(spark, tmp_path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 4000)
+    try:
+        plan = planned(incidents(spark, sf, "state", "county"))
+        assert "ShuffledHashJoin [l_orderkey" in plan and "SortMergeJoin [l_orderkey" not in plan
+        monkeypatch.setattr(bindings, "HASHED_ROWS", 10)  # more orders than may be hashed: sorted, which can spill
+        assert "SortMergeJoin [l_orderkey" in planned(incidents(spark, sf, "state", "county"))
+        got = rows(QUERIES["union_states"](spark, sf), "state", "county", "count")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # order 7 of customer 7, thus nation 3, has lost its three lines
+    assert got == [("AFRICA", "N0", 150_075), ("AFRICA", "N2", 150_075), ("ASIA", "N1", 150_075), ("ASIA", "N3", 150_072)]
+
+
+def test_stacked_states_join_once(spark):
+    plan = planned(QUERIES["union_states"](spark, SF))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 5 and all("/settled-" in line for line in scans) and "Join" not in plan
