@@ -81,31 +81,38 @@ def oversample_to(
     goes to the rows first in a seeded hash order. Repeatable. Rows without a
     group stay as they are.
 
-    The hash order is cut into ranges whose number follows the target; the
-    sizes of the ranges before give each its first rank, and only rows of one
-    range are ordered in one task.
+    The rows are kept in the shared folder, since they are read four times. The
+    hash order is cut into ranges whose number follows the target; the sizes of
+    the ranges say which of them get one copy more as a whole, and only the one
+    range of a group in which the remainder ends is shuffled and ordered.
     """
     columns = df.columns
-    sizes = count_by(df, by, name="_n")
-    sized = attach(df, sizes, [by], null_safe=True)
-    grouped = F.col(by).isNotNull()
-    enough = sized.filter(~grouped | (F.col("_n") >= target)).select(*columns)
+    df = settle(df)
     bits = max(0, (target // RANGE_ROWS).bit_length())
-    short = (
-        sized.filter(grouped & (F.col("_n") < target))
-        .withColumn("_hash", F.xxhash64(*columns, F.lit(seed)))
-        .withColumn("_range", F.shiftright("_hash", 64 - bits) if bits else F.lit(0).cast("long"))
-    )
-    counts = short.groupBy(by, "_range").agg(F.count(F.lit(1)).alias("_rows"))
-    earlier = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select(by, "_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_first"))
-    order = Window.partitionBy(by, "_range").orderBy("_hash", *columns)
+    hashed = F.xxhash64(*columns, F.lit(seed))
+    ranged = df.withColumn("_range", F.shiftright(hashed, 64 - bits) if bits else F.lit(0).cast("long"))
+    counts = ranged.filter(F.col(by).isNotNull()).groupBy(by, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    group = Window.partitionBy(by)
+    earlier = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     copies = F.floor(F.lit(target) / F.col("_n")).cast("int")
     extra = F.lit(target) - copies * F.col("_n")
+    # the range in which the remainder ends, and how many of its rows get one copy more
+    cut = (
+        counts.withColumns({"_n": F.sum("_rows").over(group), "_first": F.coalesce(F.sum("_rows").over(earlier), F.lit(0))})
+        .filter(F.col("_n") < target)
+        .withColumn("_left", extra - F.col("_first"))
+        .filter((F.col("_left") >= 0) & (F.col("_left") < F.col("_rows")))
+        .select(by, copies.alias("_copies"), F.col("_range").alias("_cut"), "_left")
+    )
+    sized = attach(ranged, cut, [by])
+    enough = sized.filter(F.col("_cut").isNull()).select(*columns)
+    whole = sized.filter(F.col("_range") != F.col("_cut")).withColumn("_more", F.col("_range") < F.col("_cut"))
+    rank = F.row_number().over(group.orderBy(hashed, *columns))
+    split = sized.filter(F.col("_range") == F.col("_cut")).withColumn("_more", rank <= F.col("_left"))
     repeated = (
-        attach(short.withColumn("_rank", F.row_number().over(order)), first, [by, "_range"])
-        .withColumn("_copies", copies + (F.col("_rank") + F.col("_first") <= extra).cast("int"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        union_states([whole, split])
+        .withColumn("_times", F.col("_copies") + F.col("_more").cast("int"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
         .select(*columns)
     )
     return union_states([enough, repeated])

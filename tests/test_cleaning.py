@@ -33,6 +33,28 @@ def test_oversampling_is_exact_and_repeatable(spark):
     assert Counter(map(tuple, first.collect())) == Counter(map(tuple, again.collect()))
 
 
+def test_oversampling_orders_one_range_of_a_group(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cleaning, "RANGE_ROWS", 10)
+    sizes = {"a": 37, "b": 50, "c": 1, "d": 333, "e": 334, "f": 1000, None: 5}
+    made = [(g, i // 3) for g, n in sizes.items() for i in range(n)]  # rows that occur three times as well
+    spark.createDataFrame(made, "state string, n int").repartition(5).write.parquet(f"{tmp_path}/given")
+    df = spark.read.parquet(f"{tmp_path}/given")
+    target, want = 1000, Counter()
+    hashes = df.withColumn("h", F.xxhash64("state", "n", F.lit(42))).collect()
+    for g, n in sizes.items():
+        ranked = sorted((r.h, r.state, r.n) for r in hashes if r.state == g) if g else []
+        for k, (_, state, i) in enumerate(ranked):
+            want[state, i] += target // n + (k < target % n)
+    want += Counter((g, i) for g, i in made if g is None)
+    out = cleaning.oversample_to(df, target)
+    assert Counter(map(tuple, out.collect())) == want
+    # the rows given are read once; of the copy kept of them only the ranges cut are shuffled
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert f"{tmp_path}/given" not in plan
+    moved = cleaning.oversample_to(df, target).filter("state = 'd'")._jdf.queryExecution().executedPlan().toString()
+    assert moved.count("Exchange hashpartitioning") == 1
+
+
 def test_oversampling_in_expectation(spark):
     df = spark.range(3000).selectExpr("'s' as state", "id")
     got = cleaning.oversample_about(df, 10_000)
