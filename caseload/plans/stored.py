@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import as_number
-from ..operators.joins import common_keys, hot_keys_of, join_facts
+from ..operators.joins import common_keys, hot_keys_of, join_facts, small
 from ..operators.shape import first_per_key, project_ordered, union_states
 from ..schemas import FLAT_COLUMNS
 from ..session import fresh_path, sibling_session
@@ -164,7 +164,7 @@ def extract_stored(stored: StoredFacts, lookups: Tables, profile: Profile = Prof
 
     tables = {**lookups, "offense": stored.even["offense"]}
     key = type_key(tables, profile)
-    known = agencies(lookups)
+    known = small(agencies(lookups))
     even, hot = ({**f, "incident": with_agency(f["incident"], known)} if f else {} for f in (stored.even, stored.hot))
     rows = _cases(even, tables, key, plain)
     if set(hot) == {"incident"}:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
 import pytest
@@ -121,3 +122,72 @@ def test_large_lookups_meet_narrow_rows(spark, monkeypatch):
     extract.extract_incidents(raw_tables(spark, "/root/testdata/sf0.001"))
     assert {"agency_name", "county", "population", "offense_name", "offense_category"} <= seen[0]
     assert "location_name" not in seen[0]
+
+
+def spread_tables(spark, incidents):
+    """Two offenses for each of 40 incidents, two victims for every offense, every other incident known by ``incidents``."""
+    ids = spark.range(80).selectExpr("id as offense_id", "id % 40 as incident_id", "id % 3 as offense_type_id", "id % 4 as location_id")
+    victims = spark.range(160).selectExpr(
+        "id as victim_id", "id % 40 as incident_id", "id % 2 as victim_type_id", "id % 2 as age_id", "'30' as age_num",
+        "id % 2 as race_id", "'F' as sex_code", "'R' as resident_status_code")
+    names = {"location_type": "location", "weapon_type": "weapon", "age": "age", "relationship": "relationship", "victim_type": "victim_type"}
+    made = {n: spark.range(2).selectExpr(f"id as {c}_id", f"concat('{c}', id) as {c}_name") for n, c in names.items()}
+    return made | {
+        "incident": spark.createDataFrame(incidents, "incident_id long, agency_id long, incident_date string, incident_hour string"),
+        "agencies": spark.range(3).selectExpr("id as agency_id", "concat('a', id) as ucr_agency_name", "'c' as county_name", "'9' as population"),
+        "offense": ids, "victim": victims,
+        "victim_offense_link": spark.range(160).selectExpr("id as victim_id", "id % 80 as offense_id"),
+        "offender": spark.range(5).selectExpr("id as offender_id", "'M' as sex_code", "id % 2 as age_id", "id % 2 as race_id", "'20' as age_num"),
+        "victim_offender_rel": spark.range(160).selectExpr("id as victim_id", "id % 7 as offender_id", "id % 2 as relationship_id"),
+        "weapon_link": spark.range(60).selectExpr("id as offense_id", "id % 3 as weapon_id"),
+        "offense_type": spark.range(3).selectExpr("id as offense_type_id", "concat('o', id) as offense_name", "'x' as offense_category_name"),
+        "race": spark.range(2).selectExpr("id as race_id", "concat('r', id) as race_desc"),
+    }
+
+
+def test_cases_cross_no_shuffle(spark):
+    """Incidents, offenses and victims are dealt by incident once each; rows with the three are not dealt again."""
+    tables = spread_tables(spark, [(i, i % 3, "2020-01-01", "5") for i in range(50)])
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = extract_incidents(tables, Profile(hot={}))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        dealt = re.findall(r"Exchange hashpartitioning\((incident_id#\d+L[^)]*)\)", plan)
+        assert len(dealt) == 3 and not any("offense_id" in keys for keys in dealt)
+        got = flat(out, *FLAT_COLUMNS)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # any share makes keys hot: the cases are joined first and dealt with their incident
+    assert got == flat(extract_incidents(tables, Profile(hot_share=1e-3)), *FLAT_COLUMNS)
+    assert len(got) == 170  # 160 links, and ten incidents without an offense
+
+
+def test_hot_incidents_are_not_dealt_by_incident_alone(spark):
+    """Ids that a third of the incidents hold, null among them, leave the join to be split by its left side."""
+    from caseload.plans.extract import find_hot
+
+    even = [(i, i % 3, "2020-01-01", "5") for i in range(40)]
+    assert find_hot(spread_tables(spark, even), 0.2)["incident"] == []
+    for key in (None, 7):
+        tables = spread_tables(spark, even + [(key, 1, "2020-01-02", "6")] * 20)
+        hot = find_hot(tables, 0.2)
+        assert len(hot["incident"]) == 1 and hot["offense_incident"] == []
+        calm, known = extract_incidents(tables, Profile(hot={})), extract_incidents(tables, Profile(hot_share=0.2))
+        assert flat(calm, *FLAT_COLUMNS) == flat(known, *FLAT_COLUMNS)
+
+
+def test_few_agencies_come_last_and_many_first(spark, monkeypatch):
+    from caseload.plans import extract
+
+    joined = []
+
+    def spy(rows, agencies, _with=extract.with_agency):
+        joined.append("victim_id" in rows.columns)
+        return _with(rows, agencies)
+
+    monkeypatch.setattr(extract, "with_agency", spy)
+    tables = spread_tables(spark, [(i, i % 4, "2020-01-01", "5") for i in range(50)])
+    few = flat(extract_incidents(tables, Profile(hot={})), *FLAT_COLUMNS)
+    monkeypatch.setattr(extract, "fits", lambda df: False)
+    assert few == flat(extract_incidents(tables, Profile(hot={})), *FLAT_COLUMNS) and joined == [True, False]

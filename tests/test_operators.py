@@ -209,3 +209,15 @@ def test_what_is_too_large_is_not_broadcast(spark):
     assert not hinted(small(df, max_rows=99))
     assert not hinted(small(df, max_bytes=100_000))
     assert hinted(small(df.filter("id < 0"), max_rows=0))
+
+
+def test_hot_keys_read_a_table_once(spark, rows):
+    from caseload.operators.joins import _key_hashes, hot_keys_of
+
+    df = spark.range(100).selectExpr("if(id < 60, 1, id) as a", "if(id % 2 = 0, null, if(id < 50, 2, id)) as b")
+    assert hot_keys_of({"x": (df, ["a"]), "y": (df, ["b"])}, 0.3) == {
+        "x": hot_keys_of({"": (df, ["a"])}, 0.3)[""], "y": hot_keys_of({"": (df, ["b"])}, 0.3)[""]}
+    both = _key_hashes(df, {"x": ["a"], "y": ["b"]})
+    assert both._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+    each = [_key_hashes(df, {n: [c]}) for n, c in (("x", "a"), ("y", "b"))]
+    assert rows(both) == rows(each[0].union(each[1]))
