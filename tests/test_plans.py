@@ -160,3 +160,16 @@ def test_stacked_states_join_once(spark):
     plan = planned(QUERIES["union_states"](spark, SF))
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert len(scans) == 5 and all("/settled-" in line for line in scans) and "Join" not in plan
+
+
+def test_extraction_by_code_deals_rows_by_incident_once(spark):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = planned(QUERIES["extract_star_by_code"](spark, SF))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # by their names in the tables behind: no exchange has the incident and the offense as its keys
+    joins = re.findall(r"SortMergeJoin \[(incident_id#\d+L, offense_id#\d+L)\]", plan)
+    assert len(joins) == 1 and f"Exchange hashpartitioning({joins[0]}" not in plan
+    assert not re.search(r"Exchange hashpartitioning\(incident_id#\d+L, offense_id#", plan)
