@@ -113,3 +113,17 @@ def test_csv_files_may_be_packed(spark, tmp_path, rows):
         back = sources.read_incidents(spark, f"{tmp_path}/{name}", INCIDENT_SCHEMA)
         assert rows(back, "offense_id", "victim_type", "state", "year") == rows(df, "offense_id", "victim_type", "state", "year")
     assert list((tmp_path / "packed").glob("*.csv.gz")) and not list((tmp_path / "packed").glob("*.csv"))
+
+
+def test_raw_files_and_their_copies_are_packed(spark):
+    """The CSV files of the extraction are gzip, the Parquet copies of their texts zstd."""
+    import os
+
+    from caseload.catalogue import QUERIES
+    from caseload.session import _made
+
+    before = len(_made.get(spark.sparkContext.applicationId, []))
+    QUERIES["extract_from_csv"](spark, "/root/testdata/sf0.001")
+    folders = _made[spark.sparkContext.applicationId][before:]
+    files = [f for folder in folders for _, _, names in os.walk(folder) for f in names if f.startswith("part-")]
+    assert {f.split(".", 1)[1] for f in files} == {"csv.gz", "zstd.parquet"}
